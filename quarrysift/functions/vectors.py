@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +47,23 @@ def checked_distance(distance: Column, file_path: Column, shape: str) -> Column:
     return F.when(distance.isNull(), F.raise_error(text).cast("double")).otherwise(distance)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often it is used.
+
+    Inside lambdas Spark would otherwise evaluate an expression again for every
+    element.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def unit(vector: Column) -> Column:
     """``vector`` scaled to length one; a zero vector stays zero."""
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(vector, lambda x: x / F.greatest(norm, F.lit(1e-9)))
+
+    def norm(v: Column) -> Column:
+        squares = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x)
+        return F.greatest(F.sqrt(squares), F.lit(1e-9))
+
+    return let(vector, lambda v: let(norm(v), lambda n: F.transform(v, lambda x: x / n)))
 
 
 def nearest(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import decoded, is_not_blank, path_suffix
+from ..functions.vectors import let
 from ..schema import CHUNK
 
 # Sizes in characters.
@@ -228,21 +229,34 @@ def section_spans(content: Column, header: str) -> Column:
     inclusive) and ``lines``. Lines before the first header belong to none.
     Everything happens inside one row, so no line is ever shuffled.
     """
-    lines = F.split(content, "\n", -1)
-    at = F.filter(
-        F.sequence(F.lit(1), F.size(lines)), lambda i: F.rlike(F.get(lines, i - 1), F.lit(header))
-    )
-    ends = F.concat(
-        F.when(F.size(at) > 1, F.slice(at, 2, F.size(at))).otherwise(F.array().cast("array<int>")),
-        F.array(F.size(lines) + 1),
-    )
-    return F.transform(
-        at,
-        lambda start, i: F.struct(
-            (i + 1).alias("section"),
-            start.alias("start_line"),
-            (F.get(ends, i) - 1).alias("end_line"),
-            F.slice(lines, start, F.get(ends, i) - start).alias("lines"),
+
+    def spans(lines: Column, at: Column) -> Column:
+        ends = F.concat(
+            F.when(F.size(at) > 1, F.slice(at, 2, F.size(at))).otherwise(
+                F.array().cast("array<int>")
+            ),
+            F.array(F.size(lines) + 1),
+        )
+        return F.transform(
+            F.arrays_zip(at.alias("start"), ends.alias("stop")),
+            lambda s, i: F.struct(
+                (i + 1).alias("section"),
+                s["start"].alias("start_line"),
+                (s["stop"] - 1).alias("end_line"),
+                F.slice(lines, s["start"], s["stop"] - s["start"]).alias("lines"),
+            ),
+        )
+
+    def headers(lines: Column) -> Column:
+        numbers = F.sequence(F.lit(1), F.size(lines))
+        return F.filter(numbers, lambda i: F.rlike(F.get(lines, i - 1), F.lit(header)))
+
+    return let(
+        F.split(content, "\n", -1),
+        lambda lines: let(
+            headers(lines),
+            # With no header there is nothing to pair.
+            lambda at: F.when(F.size(at) > 0, spans(lines, at)).otherwise(F.array()),
         ),
     )
 

@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vectors import as_float32, unit
+from ..functions.vectors import as_float32, let, unit
 from .skew import hot_keys, lookup_join
 
 #: Most texts sent to a model in one request.
@@ -56,12 +56,12 @@ class LetterEmbedder(Embedder):
 
     @staticmethod
     def column(text: Column) -> Column:
-        lower = F.lower(text)
-        counts = [
-            (F.length(lower) - F.length(F.replace(lower, F.lit(c), F.lit("")))).cast("double")
-            for c in "abcdefghijklmnopqrstuvwxyz"
-        ]
-        return unit(F.array(*counts))
+        def count(lower: Column, letter: str) -> Column:
+            rest = F.replace(lower, F.lit(letter), F.lit(""))
+            return (F.length(lower) - F.length(rest)).cast("double")
+
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        return unit(let(F.lower(text), lambda s: F.array(*[count(s, c) for c in letters])))
 
     def add_column(self, rows: DataFrame, text: str, **params: Any) -> DataFrame:
         return rows.withColumn("embedding", self.column(F.col(text)).cast("array<float>"))

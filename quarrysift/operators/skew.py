@@ -54,5 +54,5 @@ def lookup_join(
     parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALT_PARTS - 1))).otherwise(
         F.array(F.lit(0))
     )
-    spread = lookup.withColumn(part, F.explode(parts).cast("bigint"))
+    spread = lookup.withColumn(part, F.explode(parts.cast("array<bigint>")))
     return salted.join(spread, [key, part], how).drop(part)

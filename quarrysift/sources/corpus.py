@@ -10,6 +10,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import ancestor_dirs, parent_dir
 from ..operators.skew import lookup_join
@@ -32,7 +33,7 @@ def from_table(
     )
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _ignored(path: pd.Series, is_dir: pd.Series, chain: pd.Series) -> pd.Series:
     return pd.Series(
         [
