@@ -17,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..functions.text import decoded, is_not_blank, path_suffix
 from ..functions.vectors import let
 from ..schema import CHUNK
+from .spread import spread
 
 # Sizes in characters.
 CHUNK_SIZE = 1000
@@ -213,7 +214,7 @@ def chunk_files(
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return texts.select("file_path", "language", "content").mapInArrow(run, CHUNK)
+    return spread(texts.select("file_path", "language", "content")).mapInArrow(run, CHUNK)
 
 
 def readable(files: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import as_float32, let, unit
 from .skew import hot_keys, lookup_join
+from .spread import spread
 
 #: Most texts sent to a model in one request.
 MAX_BATCH = 64
@@ -246,6 +247,7 @@ def create_embedder(provider: str, model: str) -> Embedder:
 
 def embed_texts(rows: DataFrame, embedder: Embedder, text: str, **params: Any) -> DataFrame:
     """``rows`` with an ``embedding`` column, without any shuffle of its own."""
+    rows = spread(rows)
     column_form = embedder.add_column(rows, text, **params)
     if column_form is not None:
         return column_form

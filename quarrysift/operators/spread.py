@@ -1,0 +1,23 @@
+"""Enough tasks for CPU-heavy steps over small inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` over at least as many tasks as there are cores.
+
+    A table in one file with one row group is one task, however many cores
+    wait. Large tables have more splits than there are cores and pass
+    unchanged, and so does whatever has been shuffled already.
+    """
+    plan = rows._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return rows
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if plan.outputPartitioning().numPartitions() >= cores:
+        return rows
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)

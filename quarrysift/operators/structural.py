@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import functools
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -32,6 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..functions.globs import path_glob
 from ..functions.languages import LANGUAGE_EXTENSIONS, UNMATCHABLE, language_of
 from ..functions.text import decoded, gutter
+from .spread import spread
 
 MATCH = T.StructType(
     [
@@ -77,10 +78,7 @@ _KIND = {
     **dict.fromkeys(["html", "xml", "vue", "svelte", "dtd"], "markup"),
     "json": "data",
 }
-_CODE = (
-    r"(?P<word>[^\W\d]\w*)|(?P<number>\d[\w.]*)|(?P<open>[(\[{])|(?P<close>[)\]}])"
-    r"|->|=>|::|:=|\.\.\.|===|!==|[=!<>]=|&&|\|\||<<|>>|[-+*/%&|^]=|\*\*|\S"
-)
+_OPERATORS = r"->|=>|::|:=|\.\.\.|===|!==|[=!<>]=|&&|\|\||<<|>>|[-+*/%&|^]=|\*\*|\S"
 _CLOSER = {"(": ")", "[": "]", "{": "}"}
 _LINKS = {".", "::", "->", "?."}
 
@@ -97,7 +95,11 @@ def _lexer(language: str) -> re.Pattern[str]:
     if language in ("rust", "pascal"):
         # A quote may open a lifetime, which has no closing one.
         strings = strings.replace(_SINGLE, r"'(?:\\[^\n']+|[^'\\\n])'")
-    return re.compile(rf"(?P<comment>{_COMMENTS[kind]})|(?P<string>{strings})|{_CODE}")
+    return re.compile(
+        r"\s*(?:(?P<word>[^\W\d]\w*)|(?P<number>\d[\w.]*)"
+        rf"|(?P<comment>{_COMMENTS[kind]})|(?P<string>{strings})"
+        rf"|(?P<open>[(\[{{])|(?P<close>[)\]}}])|(?P<operator>{_OPERATORS}))"
+    )
 
 
 class Tokens:
@@ -105,27 +107,31 @@ class Tokens:
 
     def __init__(self, text: str, language: str) -> None:
         self.text: list[str] = []
-        self.span: list[tuple[int, int]] = []
-        self.kind: list[str | None] = []
+        self.start: list[int] = []
+        self.kind: list[str] = []
         self.partner: dict[int, int] = {}
-        stack: list[int] = []
+        opened: dict[str, list[int]] = {")": [], "]": [], "}": []}
         for found in _lexer(language).finditer(text):
             kind = found.lastgroup
             if kind == "comment":
                 continue
-            i = len(self.text)
-            self.text.append(found[0])
-            self.span.append(found.span())
-            self.kind.append(kind)
+            token = found[kind]
             if kind == "open":
-                stack.append(i)
-            elif kind == "close":
-                for depth in range(len(stack) - 1, max(-1, len(stack) - 65), -1):
-                    if _CLOSER[self.text[stack[depth]]] == found[0]:
-                        self.partner[stack[depth]] = i
-                        self.partner[i] = stack[depth]
-                        del stack[depth:]
-                        break
+                opened[_CLOSER[token]].append(len(self.text))
+            elif kind == "close" and opened[token]:
+                # Brackets left open inside a closed pair stay without partner.
+                start = opened[token].pop()
+                self.partner[start] = len(self.text)
+                self.partner[len(self.text)] = start
+                for others in opened.values():
+                    while others and others[-1] > start:
+                        others.pop()
+            self.text.append(token)
+            self.start.append(found.start(kind))
+            self.kind.append(kind)
+
+    def end(self, i: int) -> int:
+        return self.start[i] + len(self.text[i])
 
     def closes(self, i: int) -> bool:
         """Whether no sibling follows at ``i``: the end or a paired closing bracket."""
@@ -137,7 +143,7 @@ class Tokens:
 
     def node_ends(self, i: int) -> list[int]:
         """Ends of the nodes that start at ``i``, longest first."""
-        if self.closes(i) or self.kind[i] in (None, "close"):
+        if self.closes(i) or self.kind[i] in ("operator", "close"):
             return []
         if self.kind[i] == "open" and i not in self.partner:
             return []
@@ -220,7 +226,7 @@ class Pattern:
         for found in _lexer(self.language).finditer(source):
             if found.lastgroup == "comment":
                 continue
-            token = found[0]
+            token = found[found.lastgroup]
             if found.lastgroup == "open":
                 brackets.append(token)
             elif found.lastgroup == "close":
@@ -232,74 +238,95 @@ class Pattern:
 
     def find(self, tokens: Tokens) -> list[tuple[int, int, dict[str, tuple[int, int]]]]:
         """(first token, end token, captures) of every match, in source order."""
-        first = self.elements[0]
-        found = []
-        failed: set[tuple[int, int, int]] = set()
-        for i in range(len(tokens.text)):
-            if first.kind == "literal" and tokens.text[i] != first.value:
+        return _Finder(tokens, self._repeats).all(self.elements)
+
+
+class _Finder:
+    """The search for one pattern in one text.
+
+    Unless a name is repeated, whether elements match at a token does not
+    depend on what was captured before, so every failure is remembered and no
+    token is scanned again for the same element.
+    """
+
+    def __init__(self, tokens: Tokens, repeats: bool) -> None:
+        self.tokens = tokens
+        self.repeats = repeats
+        self.failed: set[tuple[int, int, int]] = set()
+        self.inner: dict[int, list] = {}
+
+    def all(self, elements) -> list[tuple[int, int, dict[str, tuple[int, int]]]]:
+        tokens, first, found = self.tokens, elements[0], []
+        for i, token in enumerate(tokens.text):
+            if first.kind == "literal" and token != first.value:
                 continue
             if first.kind == "node" and i and tokens.text[i - 1] in _LINKS:
                 continue
             captures: dict[str, tuple[int, int]] = {}
-            end = self._match(self.elements, 0, i, tokens, captures, failed)
+            end = self.match(elements, 0, i, captures)
             if end > i:
                 found.append((i, end, captures))
         return found
 
-    def _match(self, elements, p, i, tokens, captures, failed) -> int:
+    def match(self, elements, p: int, i: int, captures: dict) -> int:
         """End of the first match of ``elements[p:]`` at ``i``, or -1."""
         if p == len(elements):
             return i
-        key = (id(elements), p, i)
-        if key in failed:
-            return -1
-        step = elements[p]
+        step, tokens = elements[p], self.tokens
         if step.kind == "literal":
             if i < len(tokens.text) and tokens.text[i] == step.value:
-                end = self._match(elements, p + 1, i + 1, tokens, captures, failed)
-                if end >= 0:
-                    return end
-        else:
-            for stop in self._stops(step, i, tokens, captures, failed):
-                before = captures.get(step.value) if step.value else None
-                if before is not None:
-                    if tokens.text[slice(*before)] != tokens.text[i:stop]:
-                        continue
-                elif step.value:
-                    captures[step.value] = (i, stop)
-                end = self._match(elements, p + 1, stop, tokens, captures, failed)
-                if end >= 0:
-                    return end
-                if step.value and before is None:
-                    del captures[step.value]
-        if not self._repeats:
-            # Without repeated names, failing here does not depend on captures.
-            failed.add(key)
+                return self.match(elements, p + 1, i + 1, captures)
+            return -1
+        if (id(elements), p, i) in self.failed:
+            return -1
+        tried = []
+        for stop in self.stops(step, i, captures):
+            if step.kind == "run" and stop > i and (id(elements), p, stop) in self.failed:
+                # An earlier run passed here and found nothing further on.
+                break
+            tried.append(stop)
+            before = captures.get(step.value) if step.value else None
+            if before is not None:
+                if tokens.text[slice(*before)] != tokens.text[i:stop]:
+                    continue
+            elif step.value:
+                captures[step.value] = (i, stop)
+            end = self.match(elements, p + 1, stop, captures)
+            if end >= 0:
+                return end
+            if step.value and before is None:
+                del captures[step.value]
+        if not self.repeats:
+            self.failed.add((id(elements), p, i))
+            if step.kind == "run":
+                self.failed.update((id(elements), p, stop) for stop in tried)
         return -1
 
-    def _stops(self, step, i, tokens, captures, failed):
+    def stops(self, step: Element, i: int, captures: dict):
         """Where a node, run or containment that starts at ``i`` may end."""
+        tokens = self.tokens
         if step.kind == "node":
             yield from tokens.node_ends(i)
-            return
-        if step.kind == "run":
+        elif step.kind == "run":
             yield i
             while not tokens.closes(i):
                 i = tokens.after(i)
                 yield i
-            return
-        nearest = None
-        while not tokens.closes(i):
-            end = tokens.after(i)
-            for k in range(i, end):
-                found: dict[str, tuple[int, int]] = dict(captures)
-                stop = self._match(step.inner, 0, k, tokens, found, failed)
-                if stop > k and (nearest is None or stop < nearest):
-                    nearest = stop
-                    captures.update(found)
-            i = end
-            if nearest is not None and nearest <= i:
-                yield i
+        else:
+            hits = self.inner.get(id(step))
+            if hits is None:
+                hits = self.inner[id(step)] = self.all(step.inner)
+            at = bisect_left(hits, i, key=lambda hit: hit[0])
+            nearest = None
+            while not tokens.closes(i) and (at < len(hits) or nearest is not None):
+                i = tokens.after(i)
+                while at < len(hits) and hits[at][0] < i:
+                    if nearest is None or hits[at][1] < nearest:
+                        nearest = hits[at][1]
+                        captures.update(hits[at][2])
+                    at += 1
+                if nearest is not None and nearest <= i:
+                    yield i
 
 
 def compile_patterns(source: str, languages: Sequence[str]) -> tuple[dict[str, Pattern], dict]:
@@ -326,14 +353,14 @@ def match_text(text: str, pattern: Pattern) -> list[dict]:
     lines = text.split("\n")
     rows, at, byte = [], 0, 0
     for number, (first, end, captures) in enumerate(found):
-        start, stop = tokens.span[first][0], tokens.span[end - 1][1]
+        start, stop = tokens.start[first], tokens.end(end - 1)
         byte += len(text[at:start].encode())
         at = start
         start_line, end_line = bisect_right(starts, start), bisect_right(starts, stop - 1)
 
         def source(span: tuple[int, int]) -> str:
             low, high = span
-            return text[tokens.span[low][0] : tokens.span[high - 1][1]] if high > low else ""
+            return text[tokens.start[low] : tokens.end(high - 1)] if high > low else ""
 
         rows.append(
             {
@@ -429,7 +456,7 @@ def _match_files(texts: DataFrame, compiled: dict[str, Pattern]) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return texts.mapInArrow(run, MATCH)
+    return spread(texts).mapInArrow(run, MATCH)
 
 
 def _dim(text: Column) -> Column:
