@@ -53,6 +53,12 @@ MATCH = T.StructType(
     ]
 )
 
+#: Matches and unreadable files in one stream: the latter have only a message.
+ROW = T.StructType(
+    [T.StructField("message", T.StringType())]
+    + [T.StructField(f.name, f.dataType, f.name not in ("path", "language")) for f in MATCH.fields]
+)
+
 _ROWS_PER_BATCH = 2_000
 
 # Comment and string syntax by kind of language.
@@ -387,21 +393,31 @@ def match_text(text: str, pattern: Pattern) -> list[dict]:
 class GrepRun:
     """The parts of a grep run, all lazy.
 
-    ``matches`` has one row per match, ``warnings`` one per unreadable file and
-    per language that rejected the pattern, ``targets`` one per file that was
-    eligible.
+    ``rows`` is one pass over the files: matches, and unreadable files with a
+    ``message``. ``language_warnings`` has one row per language that was met and
+    rejected the pattern, ``targets`` one per file that was eligible; neither
+    reads a file.
     """
 
-    matches: DataFrame
-    warnings: DataFrame
+    rows: DataFrame
+    language_warnings: DataFrame
     targets: DataFrame
 
+    @property
+    def matches(self) -> DataFrame:
+        return self.rows.where("message IS NULL").select(*MATCH.names)
+
+    @property
+    def warnings(self) -> DataFrame:
+        unreadable = self.rows.where("message IS NOT NULL")
+        return self.language_warnings.unionByName(
+            unreadable.select("message", F.lit(None).cast("string").alias("language"))
+        )
+
     def verdict(self) -> dict:
         """Languages that rejected the pattern, and whether none was left to match."""
-        failed = [
-            row["language"]
-            for row in self.warnings.where("language IS NOT NULL").select("language").collect()
-        ]
+        # There are only as many rows as languages.
+        failed = [row["language"] for row in self.language_warnings.collect()]
         unusable = bool(failed) and self.targets.limit(1).count() == 0
         return {"failed_languages": sorted(failed), "unusable": unusable}
 
@@ -412,51 +428,67 @@ def grep(
     languages: Sequence[str] | None = None,
     path_filter: str | None = None,
     overrides: Mapping[str, str] | None = None,
+    listing: DataFrame | None = None,
 ) -> GrepRun:
-    """Match ``pattern`` in ``files`` (columns of :data:`quarrysift.schema.FILE`)."""
+    """Match ``pattern`` in ``files`` (columns of :data:`quarrysift.schema.FILE`).
+
+    ``listing`` is the same files as paths only, where reading ``files`` for
+    their names would mean opening them.
+    """
     known = sorted({*LANGUAGE_EXTENSIONS, *(overrides or {}).values()})
     compiled, rejected = compile_patterns(pattern, known)
-    rows = files.withColumn("language", language_of(F.col("file_path"), overrides, None))
-    rows = rows.where(F.col("language").isNotNull())
-    if languages:
-        rows = rows.where(F.lower("language").isin([name.lower() for name in languages]))
-    if path_filter:
-        rows = rows.where(path_glob(F.col("file_path"), [path_filter]))
-    seen = rows.where(F.col("language").isin(list(rejected)) if rejected else F.lit(False))
-    messages = F.create_map(*[F.lit(x) for pair in rejected.items() for x in pair] or [F.lit("")] * 2)
-    warnings = seen.select("language").distinct().select(
-        F.element_at(messages, F.col("language")).alias("message"), "language"
-    )
-    targets = rows.where(F.col("language").isin(list(compiled)) if compiled else F.lit(False))
-    unreadable = targets.where(F.col("error").isNotNull()).select(
-        F.concat(F.lit("cannot read "), "file_path", F.lit(": "), "error").alias("message"),
-        F.lit(None).cast("string").alias("language"),
+
+    def chosen(rows: DataFrame, among: Mapping) -> DataFrame:
+        rows = rows.withColumn("language", language_of(F.col("file_path"), overrides, None))
+        rows = rows.where(F.col("language").isin(list(among)) if among else F.lit(False))
+        if languages:
+            rows = rows.where(F.lower("language").isin([name.lower() for name in languages]))
+        if path_filter:
+            rows = rows.where(path_glob(F.col("file_path"), [path_filter]))
+        return rows
+
+    paths = (files if listing is None else listing).select("file_path")
+    messages = F.create_map(*[F.lit(x) for pair in (rejected or {"": ""}).items() for x in pair])
+    warned = chosen(paths, rejected).select("language").distinct()
+    texts = chosen(files, compiled).select(
+        "file_path", "language", decoded(F.col("content")).alias("content"), "error"
     )
-    texts = targets.select(
-        "file_path", "language", decoded(F.col("content")).alias("content")
-    ).where(F.col("content").isNotNull())
+    keep = F.col("content").isNotNull()
+    # Every language needs these words, so files without them need no matching.
     words = set.intersection(*(p.words for p in compiled.values())) if compiled else set()
     for word in sorted(words):
-        texts = texts.where(F.col("content").contains(word))
-    return GrepRun(_match_files(texts, compiled), warnings.unionByName(unreadable), targets)
+        keep = keep & F.col("content").contains(word)
+    return GrepRun(
+        _match_files(texts.where(keep | F.col("error").isNotNull()), compiled),
+        warned.select(F.element_at(messages, F.col("language")).alias("message"), "language"),
+        chosen(paths, compiled),
+    )
 
 
 def _match_files(texts: DataFrame, compiled: dict[str, Pattern]) -> DataFrame:
-    schema = to_arrow_schema(MATCH)
+    schema = to_arrow_schema(ROW)
+
+    def results(path: str, language: str, text: str | None, error: str | None):
+        base = {"path": path, "language": language}
+        if text is None:
+            yield {**base, "message": f"cannot read {path}: {error}"}
+        else:
+            for match in match_text(text, compiled[language]):
+                yield {**base, **match}
 
     def run(batches):
         rows = []
         for batch in batches:
-            for path, language, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for match in match_text(text, compiled[language]):
-                    rows.append({"path": path, "language": language, **match})
+            for values in zip(*(c.to_pylist() for c in batch.columns)):
+                for row in results(*values):
+                    rows.append(row)
                     if len(rows) >= _ROWS_PER_BATCH:
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)
                         rows = []
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return spread(texts).mapInArrow(run, MATCH)
+    return spread(texts).mapInArrow(run, ROW)
 
 
 def _dim(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.globs import path_glob
@@ -33,9 +33,9 @@ def grep_path(
     rules = cfg.load_project(project) if project else None
     overrides = rules.language_overrides if rules else {}
     if target.is_file():
-        files = read_files(single_file(spark, str(target)), str(target.parent))
-        files = files.withColumn("shown", F.lit(Path(root).as_posix()))
-        path_filter = None
+        base = target.parent
+        found = single_file(spark, str(target))
+        shown = F.lit(Path(root).as_posix())
     else:
         base = project or cfg.find_git_root(target) or target
         start = target.relative_to(base).as_posix()
@@ -45,7 +45,10 @@ def grep_path(
             found = found.where(path_glob(F.col("file_path"), [path_filter]))
         below = F.substring("file_path", len(start) + 2 if start else 1, 1 << 30)
         prefix = Path(root).as_posix()
-        head = F.lit("" if prefix == "." else prefix.rstrip("/") + "/")
-        files = read_files(found, str(base)).withColumn("shown", F.concat(head, below))
-    files = files.drop("file_path").withColumnRenamed("shown", "file_path")
-    return grep(files, pattern, languages, None, overrides)
+        shown = F.concat(F.lit("" if prefix == "." else prefix.rstrip("/") + "/"), below)
+
+    def displayed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("file_path", shown)
+
+    files = displayed(read_files(found, str(base)))
+    return grep(files, pattern, languages, None, overrides, displayed(found))

@@ -758,7 +758,7 @@ def grep_warnings(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(code_path().alias("file_path"), "text")
     files = corpus.from_table(docs, "file_path", "text")
     run = structural.grep(files, r"def \NAME \{{ return", overrides={"inc": "php"})
-    return run.warnings.select("language")
+    return run.language_warnings.select("language")
 
 
 # Model ranking, with parts as scores: brand is the model, type the task
