@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.globs import path_glob
 from ..operators.structural import GrepRun, grep
+from ..session import ship_package
 from ..sources import settings as cfg
 from ..sources.selection import Selection
 from ..sources.tree import read_files, single_file, walk
@@ -28,6 +29,7 @@ def grep_path(
     there is one. A single file is matched whatever the rules say. Paths in the
     result start with ``root`` as it was given.
     """
+    ship_package(spark)
     target = Path(root).resolve()
     project = cfg.find_project_root(target if target.is_dir() else target.parent)
     rules = cfg.load_project(project) if project else None

@@ -17,6 +17,7 @@ from ..operators.embedding import (
     create_embedder,
     resolve_params,
 )
+from ..session import ship_module, ship_package
 from ..sources import settings as cfg
 from ..sources.tree import walk
 from .index import COUNTERS, Index
@@ -53,13 +54,17 @@ class Project:
             params = resolve_params(
                 chosen.provider, chosen.model, chosen.indexing_params, chosen.query_params
             )
+        chunkers = {f".{ext}": load_chunker(name) for ext, name in rules.chunkers.items()}
+        ship_package(spark)
+        for chunker in chunkers.values():
+            ship_module(spark, chunker.__module__)
         self.index = Index(
             spark,
             cfg.index_location(self.root),
             embedder or HashEmbedder(),
             params,
             rules.language_overrides,
-            {f".{ext}": load_chunker(name) for ext, name in rules.chunkers.items()},
+            chunkers,
         )
 
     def refresh(self) -> dict[str, int]:

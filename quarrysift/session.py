@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -72,3 +73,10 @@ def ship_package(spark: SparkSession) -> None:
                     target.write(path, os.path.relpath(path, os.path.dirname(package)))
     context.addPyFile(archive)
     context._quarrysift_shipped = True
+
+
+def ship_module(spark: SparkSession, module: str) -> None:
+    """Send a user's single-file module to the executors, so that tasks can import it."""
+    path = getattr(sys.modules.get(module), "__file__", None)
+    if path and path.endswith(".py") and "." not in module and "site-packages" not in path:
+        spark.sparkContext.addPyFile(path)

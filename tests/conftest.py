@@ -23,6 +23,11 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     ship_package(session)
+    # Functions defined in tests run in tasks, as those of a user's module would.
+    here = os.path.dirname(os.path.abspath(__file__))
+    for name in os.listdir(here):
+        if name.endswith(".py"):
+            session.sparkContext.addPyFile(os.path.join(here, name))
     yield session
     session.stop()
 
