@@ -40,7 +40,7 @@ def checked_distance(distance: Column, file_path: Column, shape: str) -> Column:
     query, which is a fault of the index and not a row to rank last.
     """
     text = F.concat(
-        F.lit(f"Vector index returned a row with no distance ({shape}, file_path='"),
+        F.lit(f"no distance for a stored vector ({shape}, file_path='"),
         F.coalesce(file_path, F.lit("?")),
         F.lit("')"),
     )
@@ -99,7 +99,7 @@ def nearest(
                 where = path if path in batch.schema.names else batch.schema.names[0]
                 value = batch.column(batch.schema.get_field_index(where))[int(bad[0])].as_py()
                 raise RuntimeError(
-                    f"Vector index returned a row with no distance ({shape}, {where}={value!r})"
+                    f"no distance for a stored vector ({shape}, {where}={value!r})"
                 )
             flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             delta = flat.reshape(batch.num_rows, target.size) - target

@@ -272,6 +272,11 @@ def embed_texts(rows: DataFrame, embedder: Embedder, text: str, **params: Any) -
     return rows.withColumn("embedding", run(F.col(text)))
 
 
+def with_text_key(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with the key under which the vector of a text is kept."""
+    return rows.withColumn("text_key", F.sha2(F.col(text), 256))
+
+
 def embed_once(
     rows: DataFrame,
     embedder: Embedder,
@@ -280,16 +285,15 @@ def embed_once(
     target: str,
     **params: Any,
 ) -> DataFrame:
-    """As :func:`embed_texts`, but equal texts are embedded once, now and later.
+    """As :func:`embed_texts` for rows with a ``text_key``, each text once.
 
     ``have`` holds (``text_key``, ``embedding``) of earlier runs; what it lacks
-    is embedded and written to the new folder ``target``. ``rows`` is read three
-    times, so it should be a stored table. A text that many rows share is one
+    is embedded and written to the new folder ``target``. ``rows`` is read four
+    times, twice of these its keys only, so it should be a stored table. A text that many rows share is one
     row until the final join, where its hot key is split.
     """
     spark = rows.sparkSession
-    keyed = rows.withColumn("text_key", F.sha2(F.col(text), 256))
-    missing = keyed.groupBy("text_key").agg(F.any_value(text).alias("__text"))
+    missing = rows.groupBy("text_key").agg(F.any_value(text).alias("__text"))
     if have is not None:
         missing = missing.join(have, "text_key", "left_anti")
     new = embed_texts(missing, embedder, "__text", **params).select("text_key", "embedding")
@@ -297,7 +301,9 @@ def embed_once(
     vectors = spark.read.schema(CACHE_SCHEMA).parquet(target)
     if have is not None:
         vectors = have.unionByName(vectors)
-    return lookup_join(keyed, vectors, "text_key", hot=hot_keys(keyed, "text_key")).drop("text_key")
+    hot = hot_keys(rows, "text_key")
+    salt = [c for c in rows.columns if c != text]
+    return lookup_join(rows, vectors, "text_key", hot=hot, salt=salt).drop("text_key")
 
 
 def embed_query(

@@ -21,27 +21,32 @@ def hot_keys(rows: DataFrame, key: str, share: int = HOT_SHARE) -> list:
     """The keys that hold more than ``1/share`` of the rows: at most ``share``.
 
     Counting reads the key column only and combines inside each task before
-    the shuffle.
+    the shuffle. Give it a stored table.
     """
-    counts = rows.groupBy(key).count()
-    stats = counts.agg(F.sum("count").alias("n")).first()
-    total = stats["n"] or 0
+    total = rows.count()
     if total <= SMALL_ROWS:
         return []
+    counts = rows.groupBy(key).count()
     hot = counts.where((F.col("count") * share > total) & F.col(key).isNotNull())
     return [row[key] for row in hot.select(key).collect()]
 
 
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", hot: list | None = None
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "inner",
+    hot: list | None = None,
+    salt: list[str] | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup``, which has one row per key, without a hot task.
 
     Spark picks broadcast or shuffle by size as for any join; with the shuffle,
     a skewed partition of ``rows`` is split at run time by AQE. Pass ``hot``
-    (see :func:`hot_keys`) to split known hot keys beforehand: their rows get a
-    random part number and the few lookup rows are repeated once per part, so
-    no task depends on run-time detection.
+    (see :func:`hot_keys`) to split known hot keys beforehand: their rows are
+    spread by a hash of the ``salt`` columns, and the few lookup rows are
+    repeated once per part, so no task depends on run-time detection. A hash and
+    not a random number, so that a repeated task sends each row to the same place.
     """
     if not hot:
         return rows.join(lookup, key, how)
@@ -49,7 +54,7 @@ def lookup_join(
     part = "__part"
     salted = rows.withColumn(
         part,
-        F.when(is_hot, F.pmod(F.xxhash64(*rows.columns), F.lit(SALT_PARTS))).otherwise(F.lit(0)),
+        F.when(is_hot, F.pmod(F.xxhash64(*(salt or rows.columns)), F.lit(SALT_PARTS))).otherwise(F.lit(0)),
     )
     parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALT_PARTS - 1))).otherwise(
         F.array(F.lit(0))

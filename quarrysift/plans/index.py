@@ -22,7 +22,7 @@ import json
 import re
 import threading
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
@@ -51,6 +51,8 @@ COUNTERS = [
     "num_errors",
 ]
 
+Progress = Callable[[dict[str, int]], None]
+
 _locks: dict[str, threading.Lock] = {}
 _locks_guard = threading.Lock()
 
@@ -162,12 +164,12 @@ class Index:
 
     # Refresh
 
-    def refresh(self, files: DataFrame) -> dict[str, int]:
+    def refresh(self, files: DataFrame, progress: Progress | None = None) -> dict[str, int]:
         """Bring the index in line with a file table and give the counters.
 
         ``files`` has the columns of :data:`quarrysift.schema.FILE`, one row per
         path. It is read twice: once for fingerprints, once for the files that
-        need work.
+        need work. ``progress`` gets the counters before that work begins.
         """
         with self._lock:
             current = files.select(
@@ -176,9 +178,13 @@ class Index:
                 "length",
                 "mtime_us",
             )
-            return self._apply(self.manifest(), current, lambda changed: _only(files, changed))
+            return self._apply(
+                self.manifest(), current, lambda changed: _only(files, changed), progress
+            )
 
-    def refresh_tree(self, listing: DataFrame, base: str) -> dict[str, int]:
+    def refresh_tree(
+        self, listing: DataFrame, base: str, progress: Progress | None = None
+    ) -> dict[str, int]:
         """As :meth:`refresh` for a listed directory tree.
 
         A file whose size and time are those of the last refresh is taken as
@@ -206,9 +212,15 @@ class Index:
             def read(changed: DataFrame | None) -> DataFrame:
                 return read_files(_only(suspects, changed), base)
 
-            return self._apply(manifest, current, read)
+            return self._apply(manifest, current, read, progress)
 
-    def _apply(self, manifest: Manifest | None, current: DataFrame, read) -> dict[str, int]:
+    def _apply(
+        self,
+        manifest: Manifest | None,
+        current: DataFrame,
+        read: Callable[[DataFrame | None], DataFrame],
+        progress: Progress | None = None,
+    ) -> dict[str, int]:
         logic = self.logic()
         base = manifest or Manifest()
         rebuild = manifest is None or base.logic != logic
@@ -219,17 +231,22 @@ class Index:
         # Small columns only. Everything after this reads the stored copy.
         current.write.parquet(f"{staged}/current")
         now = self.spark.read.schema(FILE_STATE).parquet(f"{staged}/current")
-        twice = now.groupBy("file_path").count().where("count > 1").limit(1).collect()
-        if twice:
-            raise ValueError(f"the file table has a path twice: {twice[0]['file_path']!r}")
         known = self.state(base if manifest else None)
-        actions = diff(known, now)
+        # Counting paths shares its shuffle and sort with the join that follows.
+        per_path = now.groupBy("file_path").agg(
+            F.any_value("fingerprint").alias("fingerprint"), F.count("*").alias("n")
+        )
+        more = F.raise_error(F.concat(F.lit("the file table has a path twice: "), "file_path"))
+        checked = F.when(F.col("n") == 1, F.col("fingerprint")).otherwise(more)
+        actions = diff(known, per_path.withColumn("fingerprint", checked))
         if rebuild and manifest is not None:
             again = F.when(F.col("action") == "unchanged", "reprocess").otherwise(F.col("action"))
             actions = actions.withColumn("action", again)
         actions.write.parquet(f"{staged}/actions")
         actions = self.spark.read.parquet(f"{staged}/actions")
         counters = stats.action_counters(actions).first().asDict()
+        if progress is not None:
+            progress(dict(counters))
         touched = counters["num_adds"] + counters["num_reprocesses"] + counters["num_deletes"]
         if manifest is not None and not rebuild and not touched:
             self.storage.delete(f"staging/run={run}")
@@ -284,6 +301,7 @@ class Index:
             "language",
         )
         if self.embedder.memo:
+            rows = embedding.with_text_key(rows, "content")
             rows.write.parquet(f"{staged}/chunks")
             rows = self.spark.read.parquet(f"{staged}/chunks")
             have = None

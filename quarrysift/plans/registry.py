@@ -252,7 +252,9 @@ def embed_memo(spark: SparkSession, folder: str) -> DataFrame:
     """Equal texts are embedded once and every row gets its vector."""
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     target = scratch_dir(spark, "vectors")
-    done = embedding.embed_once(rows, embedding.LetterEmbedder(), "text", None, target)
+    done = embedding.embed_once(
+        embedding.with_text_key(rows, "text"), embedding.LetterEmbedder(), "text", None, target
+    )
     made = spark.read.schema(embedding.CACHE_SCHEMA).parquet(target)
     totals = done.agg(
         F.count("*").alias("n_rows"),
@@ -303,7 +305,8 @@ WHERE NOT {_rx("^src3/")} AND NOT {_rx("^src4/de/")}
 def files_ignored(spark: SparkSession, folder: str) -> DataFrame:
     """Nested ignore files with negation and closed directories."""
     rules = spark.createDataFrame(IGNORE_FILES, "dir string, rules string")
-    return corpus.apply_rules(doc_files(spark, folder), rules).select("file_path")
+    everything = Selection((), ())
+    return corpus.select_files(doc_files(spark, folder), everything, rules).select("file_path")
 
 
 @query("SELECT doc_id, strlen(text) AS length FROM documents WHERE strlen(text) <= 5000")

@@ -20,6 +20,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # The second pass of a search looks up to this many paths up by value.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "2000",
 }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import ancestor_dirs, parent_dir
+from ..functions.text import ancestor_dirs, decoded, parent_dir
 from ..operators.skew import lookup_join
 from .ignore import is_ignored
 from .selection import Selection
@@ -44,72 +44,58 @@ def _ignored(path: pd.Series, is_dir: pd.Series, chain: pd.Series) -> pd.Series:
     )
 
 
-def rule_chains(paths: DataFrame, rule_files: DataFrame) -> DataFrame:
-    """For every directory: its ignore-file chain and whether it is closed.
+def directories(
+    paths: DataFrame, selection: Selection | None = None, rule_files: DataFrame | None = None
+) -> DataFrame:
+    """For every directory of ``paths``: whether it is closed, and its rule chain.
 
     ``rule_files`` has ``dir`` and ``rules``. A directory is closed when an
-    ignore rule hits it or any directory above it. The chain holds at most one
-    entry per path component.
+    exclude glob or an ignore rule hits it or any directory above it. The chain
+    lists the ignore files that apply, at most one per path component.
     """
-    dirs = (
-        paths.select(parent_dir(F.col("file_path")).alias("leaf"))
-        .distinct()
-        .select(F.explode(ancestor_dirs(F.col("leaf"))).alias("dir"))
-        .distinct()
-    )
+    leaves = paths.select(parent_dir(F.col("file_path")).alias("dir")).distinct()
+    dirs = leaves.select(F.explode(ancestor_dirs(F.col("dir"))).alias("dir")).distinct()
     above = dirs.select("dir", F.explode(ancestor_dirs(F.col("dir"))).alias("above"))
-    # Every directory has the root above it, so that key is hot by construction.
-    by_dir = rule_files.withColumnRenamed("dir", "above")
-    with_rules = lookup_join(above, by_dir, "above", hot=[""])
-    chains = with_rules.groupBy("dir").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("above").alias("dir"), "rules"))).alias("chain")
-    )
-    own = dirs.join(chains, "dir", "left").withColumn(
-        "hit", (F.col("dir") != "") & _ignored("dir", F.lit(True), "chain")
-    )
-    hits = own.where("hit").select(F.col("dir").alias("above"), F.lit(True).alias("closed_above"))
-    closed = (
-        lookup_join(above, hits, "above", "inner").select("dir", "closed_above").distinct()
-    )
-    return own.join(closed, "dir", "left").select(
-        "dir", "chain", F.coalesce("closed_above", F.lit(False)).alias("closed")
+    inside = F.col("dir") != ""
+    hit = F.lit(False) if selection is None else inside & ~selection.dir_column(F.col("dir"))
+    if rule_files is None:
+        own = dirs.withColumns({"chain": F.lit(None), "hit": hit})
+    else:
+        # Every directory has the root above it, so that key is hot by construction.
+        by_dir = rule_files.withColumnRenamed("dir", "above")
+        found = lookup_join(above, by_dir, "above", hot=[""])
+        entry = F.struct(F.col("above").alias("dir"), "rules")
+        chains = found.groupBy("dir").agg(F.array_sort(F.collect_list(entry)).alias("chain"))
+        ignored = inside & _ignored("dir", F.lit(True), "chain")
+        own = dirs.join(chains, "dir", "left").withColumn("hit", hit | ignored)
+    hits = own.where("hit").select(F.col("dir").alias("above"))
+    closed = above.join(hits, "above", "left_semi").select("dir").distinct()
+    return own.join(closed.withColumn("closed", F.lit(True)), "dir", "left").select(
+        "dir", "chain", F.coalesce("closed", F.lit(False)).alias("closed")
     )
 
 
-def excluded_dirs(paths: DataFrame, selection: Selection) -> DataFrame:
-    """Directories that are excluded or lie below an excluded one."""
-    leaves = paths.select(parent_dir(F.col("file_path")).alias("dir")).distinct()
-    above = leaves.select("dir", F.explode(ancestor_dirs(F.col("dir"))).alias("above"))
-    bad = (F.col("above") != "") & ~selection.dir_column(F.col("above"))
-    return above.where(bad).select("dir").distinct()
-
-
-def select_files(files: DataFrame, selection: Selection) -> DataFrame:
+def select_files(
+    files: DataFrame, selection: Selection, rule_files: DataFrame | None = None
+) -> DataFrame:
     """The rows of ``files`` (``file_path``, ``length``, ...) a selection admits.
 
-    Ignore files are rows of the table itself, read from ``content``.
+    Ignore files are given as ``rule_files`` (``dir``, ``rules``) or else are
+    rows of the table itself, read from ``content``. Everything is decided on
+    paths alone; texts meet the verdict once, in the last join.
     """
-    kept = files.where(selection.file_column(F.col("file_path"), F.col("length")))
-    kept = kept.withColumn("dir", parent_dir(F.col("file_path")))
-    kept = kept.join(excluded_dirs(kept, selection), "dir", "left_anti")
-    if not selection.ignore_files or "content" not in files.columns:
-        return kept.drop("dir")
-    rule_files = files.where(F.col("file_path").rlike(r"(^|/)\.gitignore\z")).select(
-        parent_dir(F.col("file_path")).alias("dir"),
-        F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string"))
-        .otherwise(F.lit(""))
-        .alias("rules"),
-    )
-    return apply_rules(kept, rule_files).drop("dir")
-
-
-def apply_rules(files: DataFrame, rule_files: DataFrame) -> DataFrame:
-    """Drop files that an ignore rule hits or that lie in a closed directory."""
-    if "dir" not in files.columns:
-        files = files.withColumn("dir", parent_dir(F.col("file_path")))
-    chains = rule_chains(files, rule_files)
-    joined = lookup_join(files, chains, "dir", "left").where(
-        ~F.coalesce("closed", F.lit(False))
+    if rule_files is None and selection.ignore_files and "content" in files.columns:
+        rule_files = files.where(F.col("file_path").rlike(r"(^|/)\.gitignore\z")).select(
+            parent_dir(F.col("file_path")).alias("dir"),
+            F.coalesce(decoded(F.col("content")), F.lit("")).alias("rules"),
+        )
+    narrow = (
+        files.where(selection.file_column(F.col("file_path"), F.col("length")))
+        .select("file_path")
+        .withColumn("dir", parent_dir(F.col("file_path")))
     )
-    free = F.col("chain").isNull() | ~_ignored("file_path", F.lit(False), "chain")
-    return joined.where(free).drop("chain", "closed")
+    judged = lookup_join(narrow, directories(narrow, selection, rule_files), "dir")
+    allowed = judged.where(~F.col("closed"))
+    if rule_files is not None:
+        allowed = allowed.where(~_ignored("file_path", F.lit(False), "chain"))
+    return files.join(allowed.select("file_path"), "file_path", "left_semi")

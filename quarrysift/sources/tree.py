@@ -114,6 +114,8 @@ def walk(spark: SparkSession, base: str, selection: Selection, start: str = "")
     )
 
     def list_level(batches):
+        # Workers outlive a walk, and ignore files may have been edited since.
+        _ignore_text.cache_clear()
         rows = []
         for batch in batches:
             for directory, rule_dirs in zip(*(c.to_pylist() for c in batch.columns)):
@@ -126,6 +128,7 @@ def walk(spark: SparkSession, base: str, selection: Selection, start: str = "")
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     # Ignore files between base and start apply as well.
+    _ignore_text.cache_clear()
     above = []
     parts = start.split("/") if start else []
     for depth in range(len(parts)):
@@ -134,7 +137,6 @@ def walk(spark: SparkSession, base: str, selection: Selection, start: str = "")
             above.append(directory)
     chain = [(d, _ignore_text(base, d) or "") for d in above] if selection.ignore_files else []
     entered = not start or (selection.dir_passes(start) and not is_ignored(start, True, chain))
-    _ignore_text.cache_clear()
 
     target = scratch_dir(spark, "walk")
     level, n_dirs = 0, int(entered)

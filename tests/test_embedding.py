@@ -50,12 +50,12 @@ def test_letters(spark):
 def test_each_text_is_embedded_once(spark):
     target, second = scratch_dir(spark, "v"), scratch_dir(spark, "v")
     rows = frame(spark, ["aa", "b", "aa", "aa", "ccc"])
-    done = emb.embed_once(rows, Counting(), "t", None, target).orderBy("i").collect()
+    done = emb.embed_once(emb.with_text_key(rows, "t"), Counting(), "t", None, target).orderBy("i").collect()
     assert [r["embedding"][0] for r in done] == [2.0, 1.0, 2.0, 2.0, 3.0]
     cache = spark.read.schema(emb.CACHE_SCHEMA).parquet(target)
     assert cache.count() == 3
     more = frame(spark, ["b", "dddd", "aa"])
-    done = emb.embed_once(more, Counting(), "t", cache, second).orderBy("i").collect()
+    done = emb.embed_once(emb.with_text_key(more, "t"), Counting(), "t", cache, second).orderBy("i").collect()
     assert [r["embedding"][0] for r in done] == [1.0, 4.0, 2.0]
     assert spark.read.parquet(second).count() == 1
 

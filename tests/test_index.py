@@ -94,9 +94,12 @@ def test_unreadable_files_keep_their_rows(spark, tmp_path):
 def test_a_path_may_occur_once(spark, tmp_path):
     index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
     files = table(spark, {"a.py": "alpha"})
-    with pytest.raises(ValueError, match="twice"):
+    with pytest.raises(Exception, match="a path twice: a.py"):
         index.refresh(files.unionByName(files))
     assert index.manifest() is None
+    seen = []
+    index.refresh(files, seen.append)
+    assert [nonzero(s) for s in seen] == [{"execution_starts": 1, "adds": 1}]
 
 
 def test_vectors_are_kept_by_text(spark, tmp_path):
