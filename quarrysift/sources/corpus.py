@@ -34,45 +34,43 @@ def from_table(
 
 
 @F.pandas_udf(T.BooleanType())
-def _ignored(path: pd.Series, is_dir: pd.Series, chain: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            chain is not None and is_ignored(p, d, [(r["dir"], r["rules"]) for r in chain])
-            for p, d, chain in zip(path, is_dir, chain)
-        ],
-        dtype=bool,
-    )
+def _ignored(path: pd.Series, chain: pd.Series) -> pd.Series:
+    """Whether the rules of ``chain`` hit a file."""
+    hits = [c is not None and is_ignored(p, False, _pairs(c)) for p, c in zip(path, chain)]
+    return pd.Series(hits, dtype=bool)
 
 
-def directories(
-    paths: DataFrame, selection: Selection | None = None, rule_files: DataFrame | None = None
-) -> DataFrame:
-    """For every directory of ``paths``: whether it is closed, and its rule chain.
+@F.pandas_udf(T.BooleanType())
+def _closed(directory: pd.Series, chain: pd.Series) -> pd.Series:
+    """Whether the rules of ``chain`` hit a directory or one above it."""
+
+    def closed(path: str, pairs: list[tuple[str, str]]) -> bool:
+        parts = path.split("/") if path else []
+        above = ("/".join(parts[:n]) for n in range(1, len(parts) + 1))
+        return any(is_ignored(one, True, pairs) for one in above)
+
+    return pd.Series([closed(d, _pairs(c)) for d, c in zip(directory, chain)], dtype=bool)
+
+
+def _pairs(chain) -> list[tuple[str, str]]:
+    return [(entry["dir"], entry["rules"]) for entry in chain]
 
-    ``rule_files`` has ``dir`` and ``rules``. A directory is closed when an
-    exclude glob or an ignore rule hits it or any directory above it. The chain
-    lists the ignore files that apply, at most one per path component.
+
+def rule_chains(paths: DataFrame, rule_files: DataFrame) -> DataFrame:
+    """The directories of ``paths`` that ignore files apply to.
+
+    ``rule_files`` has ``dir`` and ``rules``. ``chain`` lists the ignore files
+    from the root down, at most one per path component, and ``closed`` tells
+    whether a rule hits the directory or one above it.
     """
-    leaves = paths.select(parent_dir(F.col("file_path")).alias("dir")).distinct()
-    dirs = leaves.select(F.explode(ancestor_dirs(F.col("dir"))).alias("dir")).distinct()
-    above = dirs.select("dir", F.explode(ancestor_dirs(F.col("dir"))).alias("above"))
-    inside = F.col("dir") != ""
-    hit = F.lit(False) if selection is None else inside & ~selection.dir_column(F.col("dir"))
-    if rule_files is None:
-        own = dirs.withColumns({"chain": F.lit(None), "hit": hit})
-    else:
-        # Every directory has the root above it, so that key is hot by construction.
-        by_dir = rule_files.withColumnRenamed("dir", "above")
-        found = lookup_join(above, by_dir, "above", hot=[""])
-        entry = F.struct(F.col("above").alias("dir"), "rules")
-        chains = found.groupBy("dir").agg(F.array_sort(F.collect_list(entry)).alias("chain"))
-        ignored = inside & _ignored("dir", F.lit(True), "chain")
-        own = dirs.join(chains, "dir", "left").withColumn("hit", hit | ignored)
-    hits = own.where("hit").select(F.col("dir").alias("above"))
-    closed = above.join(hits, "above", "left_semi").select("dir").distinct()
-    return own.join(closed.withColumn("closed", F.lit(True)), "dir", "left").select(
-        "dir", "chain", F.coalesce("closed", F.lit(False)).alias("closed")
-    )
+    leaves = paths.select("dir").distinct()
+    above = leaves.select("dir", F.explode(ancestor_dirs(F.col("dir"))).alias("above"))
+    by_dir = rule_files.withColumnRenamed("dir", "above")
+    # Every directory has the root above it, so that key is hot by construction.
+    found = lookup_join(above, by_dir, "above", hot=[""])
+    entry = F.struct(F.col("above").alias("dir"), "rules")
+    chains = found.groupBy("dir").agg(F.array_sort(F.collect_list(entry)).alias("chain"))
+    return chains.withColumn("closed", _closed("dir", "chain"))
 
 
 def select_files(
@@ -81,21 +79,19 @@ def select_files(
     """The rows of ``files`` (``file_path``, ``length``, ...) a selection admits.
 
     Ignore files are given as ``rule_files`` (``dir``, ``rules``) or else are
-    rows of the table itself, read from ``content``. Everything is decided on
-    paths alone; texts meet the verdict once, in the last join.
+    rows of the table itself, read from ``content``. Globs and the size cap are
+    plain filters. Ignore rules are applied to paths alone, and texts meet the
+    verdict once, in the last join.
     """
+    kept = files.where(selection.file_column(F.col("file_path"), F.col("length")))
     if rule_files is None and selection.ignore_files and "content" in files.columns:
         rule_files = files.where(F.col("file_path").rlike(r"(^|/)\.gitignore\z")).select(
             parent_dir(F.col("file_path")).alias("dir"),
             F.coalesce(decoded(F.col("content")), F.lit("")).alias("rules"),
         )
-    narrow = (
-        files.where(selection.file_column(F.col("file_path"), F.col("length")))
-        .select("file_path")
-        .withColumn("dir", parent_dir(F.col("file_path")))
-    )
-    judged = lookup_join(narrow, directories(narrow, selection, rule_files), "dir")
-    allowed = judged.where(~F.col("closed"))
-    if rule_files is not None:
-        allowed = allowed.where(~_ignored("file_path", F.lit(False), "chain"))
-    return files.join(allowed.select("file_path"), "file_path", "left_semi")
+    if rule_files is None:
+        return kept
+    narrow = kept.select("file_path", parent_dir(F.col("file_path")).alias("dir"))
+    judged = lookup_join(narrow, rule_chains(narrow, rule_files), "dir")
+    dropped = judged.where(F.col("closed") | _ignored("file_path", "chain"))
+    return kept.join(dropped.select("file_path"), "file_path", "left_anti")
