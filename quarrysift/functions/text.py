@@ -92,6 +92,12 @@ def map_prefix(path: Column, mappings: Sequence[tuple[str, str]]) -> Column:
     return F.coalesce(result, path)
 
 
+def epoch_micros(moment: Column) -> Column:
+    """Microseconds since 1970 of a time without zone, whatever the session's zone."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", start, moment.cast("timestamp_ntz"))
+
+
 def rate_limit_delay(message: Column, attempt: Column) -> Column:
     """Seconds to wait before the next request, NULL when not rate limited."""
     hint = r"(?i)Please try again in ([0-9.]+)(ms|s)"

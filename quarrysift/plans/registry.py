@@ -708,6 +708,21 @@ def grep_links(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    r"""WITH m AS (SELECT page_id, unnest(regexp_extract_all(html, '\w+\(\s*\w*\s*\)\s*;')) AS c FROM pages)
+SELECT concat('page_', page_id, '.html') AS path, regexp_extract(c, '^\w+') AS name,
+       regexp_extract(c, '\(\s*(\w*)', 1) AS args FROM m"""
+)
+def grep_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """Calls with their arguments, a run of siblings between paired brackets."""
+    found = structural.grep(_page_files(spark, folder), r"\NAME(\(ARGS*\));").matches
+    return found.select(
+        "path",
+        F.element_at("captures", F.lit("NAME")).alias("name"),
+        F.element_at("captures", F.lit("ARGS")).alias("args"),
+    )
+
+
 # Documents read as data files: words, numbers, double-quoted strings, brackets.
 SQL_TOKENS = r"""
 t AS (SELECT doc_id, regexp_extract_all(text,
@@ -876,6 +891,42 @@ def rank_tags(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """Tags for each stand-in model, taken from its smallest part."""
+    kind = F.when(F.col("p_type") == "ECONOMY", "BERT").otherwise("causal-lm")
+    size = F.concat(F.col("p_size").cast("string"), F.lit("M"))
+    tags = F.min_by(F.array(kind, size), "p_partkey")
+    return table(spark, folder, "part").groupBy(F.col("p_brand").alias("model_name")).agg(
+        tags.alias("tags")
+    )
+
+
+@query(
+    f"""WITH {SQL_MERGED},
+k AS (SELECT p_brand AS model_name, min_by(p_size, p_partkey)::DOUBLE AS size_mb,
+             CASE WHEN min_by(p_type, p_partkey) = 'ECONOMY' THEN 'Encoder' ELSE 'Decoder' END
+               AS architecture FROM part GROUP BY p_brand)
+SELECT m.model_name, size_mb, architecture, {SQL_TIER} AS tier,
+       CASE WHEN architecture = 'Decoder' THEN 'Slow (Decoder)'
+            WHEN size_mb < 50 THEN 'Very Fast' ELSE 'Fast' END AS cpu_speed
+FROM m LEFT JOIN k ON k.model_name = m.model_name"""
+)
+def rank_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Size, architecture, tier and speed filled in from metadata."""
+    rows = ranking.with_lookups(_merged(spark, folder), _metadata(spark, folder))
+    return rows.select("model_name", "size_mb", "architecture", "tier", "cpu_speed")
+
+
+@query(
+    f"""WITH {SQL_MERGED}
+SELECT model_name FROM m ORDER BY greatest(score_general, score_code) DESC NULLS LAST, model_name
+LIMIT 5"""
+)
+def rank_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """The best models that still lack a size or an architecture."""
+    return ranking.needing_metadata(ranking.best(_merged(spark, folder)), 5)
+
+
 # Labels and small conversions as columns
 
 
@@ -898,7 +949,7 @@ def path_labels(spark: SparkSession, folder: str) -> DataFrame:
 def mtime_micros(spark: SparkSession, folder: str) -> DataFrame:
     """Latest time per group in microseconds."""
     return table(spark, folder, "events").groupBy("event_type").agg(
-        F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("last_us")
+        F.max(text.epoch_micros(F.col("ts"))).alias("last_us")
     )
 
 
