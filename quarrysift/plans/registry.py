@@ -786,7 +786,8 @@ def _scores(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         F.col("p_brand").alias("model_name"),
         F.concat("p_type", F.lit("-"), F.pmod("p_size", F.lit(10))).alias("task_name"),
-        F.col("p_retailprice").alias("score"),
+        # Whole numbers add up to the same total in any order.
+        F.round(F.col("p_retailprice") * 10).alias("score"),
         (F.col("p_size") > 48).alias("is_public"),
     )
 
@@ -795,7 +796,7 @@ GENERAL_STAND_IN = ["ECONOMY-1", "ECONOMY-2", "SMALL-3"]
 CODE_STAND_IN = ["SMALL-1", "ECONOMY-4"]
 SQL_MERGED = f"""
 s AS (SELECT p_brand AS model_name, concat(p_type, '-', p_size % 10) AS task_name,
-             p_retailprice AS score, p_size > 48 AS is_public FROM part),
+             round(p_retailprice * 10) AS score, p_size > 48 AS is_public FROM part),
 g AS (SELECT model_name, avg(score) AS score_general FROM s
       WHERE task_name IN ({str(GENERAL_STAND_IN)[1:-1]}) GROUP BY model_name),
 c AS (SELECT model_name, avg(score) AS score_code FROM s
