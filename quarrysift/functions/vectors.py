@@ -106,7 +106,8 @@ def nearest(
             distance = np.sqrt(np.einsum("ij,ij->i", delta, delta))
             if batch.num_rows > keep:
                 bound = np.partition(distance, keep - 1)[keep - 1] if keep > 0 else -math.inf
-                chosen = np.flatnonzero(distance <= bound)
+                # Written so that rows without an order (NaN) stay.
+                chosen = np.flatnonzero(~(distance > bound))
             else:
                 chosen = np.arange(batch.num_rows)
             index = pa.array(chosen, type=pa.int64())

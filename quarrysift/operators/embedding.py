@@ -13,10 +13,10 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vectors import as_float32, let, unit
+from ..functions.vectors import as_float32, unit
 from .skew import hot_keys, lookup_join
 from .spread import spread
 
@@ -55,17 +55,13 @@ class LetterEmbedder(Embedder):
 
     name = "letters"
 
-    @staticmethod
-    def column(text: Column) -> Column:
-        def count(lower: Column, letter: str) -> Column:
-            rest = F.replace(lower, F.lit(letter), F.lit(""))
-            return (F.length(lower) - F.length(rest)).cast("double")
-
-        letters = "abcdefghijklmnopqrstuvwxyz"
-        return unit(let(F.lower(text), lambda s: F.array(*[count(s, c) for c in letters])))
-
-    def add_column(self, rows: DataFrame, text: str, **params: Any) -> DataFrame:
-        return rows.withColumn("embedding", self.column(F.col(text)).cast("array<float>"))
+    def embed(self, texts: list[str], **params: Any) -> list[np.ndarray]:
+        vectors = []
+        for text in texts:
+            codes = np.frombuffer(text.lower().encode(), dtype=np.uint8)
+            counts = np.bincount(codes, minlength=256)[ord("a") : ord("z") + 1].astype(float)
+            vectors.append(counts / max(np.sqrt(counts @ counts), 1e-9))
+        return vectors
 
 
 class HashEmbedder(Embedder):

@@ -41,6 +41,8 @@ from ..sources.tree import read_files
 MAX_RUNS = 24
 #: Share of files with void rows before runs are merged.
 MAX_GONE_SHARE = 0.3
+#: Snapshots that stay readable. A refresh adds at most two.
+KEPT_SNAPSHOTS = 3
 
 COUNTERS = [
     "num_execution_starts",
@@ -257,13 +259,15 @@ class Index:
         new = replace(base, version=version, logic=logic, state=run)
         if rebuild:
             # Files that failed to read this time are left out until they can be read.
-            new = replace(new, runs=[], gone=[], vectors=[], n_gone=0)
+            new = replace(new, runs=[], gone=[], vectors=[], n_gone=0, dim=0)
         n_todo = counters["num_adds"] + counters["num_reprocesses"]
         if n_todo:
-            dim, problem = embedding.check_embedder(
-                self.spark, self.embedder, **self.params.indexing
-            )
-            if dim is None:
+            dim, problem = new.dim, ""
+            if rebuild:
+                dim, problem = embedding.check_embedder(
+                    self.spark, self.embedder, **self.params.indexing
+                )
+            if not dim:
                 raise RuntimeError(f"embedder {self.embedder.name} failed: {problem}")
             files = read(None if everything else todo)
             vectors = self._write_chunks(files, run, dim, new.vectors, staged)
@@ -359,9 +363,9 @@ class Index:
         self._commit(replace(manifest, version=version, runs=[run], gone=[], n_gone=0))
 
     def _clean(self) -> None:
-        """Remove runs that neither of the two newest snapshots uses."""
+        """Remove runs that none of the newest snapshots uses, for readers still at work."""
         names = [n for n in self.storage.names("manifests") if re.fullmatch(r"\d+\.json", n)]
-        kept = [Manifest(**json.loads(self.storage.read(f"manifests/{n}"))) for n in names[-2:]]
+        kept = [Manifest(**json.loads(self.storage.read(f"manifests/{n}"))) for n in names[-KEPT_SNAPSHOTS:]]
         newest = f"{kept[-1].version:08d}"
         used = {
             "chunks": {r for m in kept for r in m.runs},
@@ -375,7 +379,7 @@ class Index:
                 # A higher number belongs to a refresh that is still running.
                 if run not in runs and run[:8] <= newest:
                     self.storage.delete(f"{kind}/{name}")
-        for name in names[:-2]:
+        for name in names[:-KEPT_SNAPSHOTS]:
             self.storage.delete(f"manifests/{name}")
 
     # Queries

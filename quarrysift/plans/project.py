@@ -23,6 +23,10 @@ from ..sources.tree import walk
 from .index import COUNTERS, Index
 
 
+#: Directories named in a report; the rest is counted.
+SHOWN_DIRS = 100
+
+
 @dataclass
 class Check:
     """One diagnostic: what it looked at and what went wrong."""
@@ -91,10 +95,12 @@ class Project:
         counts = stats.by_extension(found.files).collect()
         details = [f"Total matched files: {sum(r['cnt'] for r in counts)}"]
         details += [f"  {r['ext']}: {r['cnt']}" for r in counts]
-        rule_dirs = found.rule_dirs.orderBy("file_path").limit(100).collect()
-        if rule_dirs:
-            names = ", ".join(r["file_path"] or "." for r in rule_dirs)
-            details.append(f"Ignore files in: {names}")
+        n_rules = found.rule_dirs.count()
+        if n_rules:
+            first = found.rule_dirs.orderBy("file_path").limit(SHOWN_DIRS).collect()
+            names = ", ".join(r["file_path"] or "." for r in first)
+            more = f" and {n_rules - SHOWN_DIRS} more" if n_rules > SHOWN_DIRS else ""
+            details.append(f"Ignore files in: {names}{more}")
         return Check("File walk", True, details)
 
     def _check_index(self) -> Check:

@@ -69,13 +69,20 @@ def doc_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Extensions that spread the documents over languages, as a source tree would.
-EXTENSIONS = ["py", "rs", "go", "md", "toml", "inc", "xyz", "txt"]
+# Extensions by language and length, so that documents look like a source tree.
+EXTENSIONS = {
+    "en": ("py", "md"),
+    "fr": ("rs", "toml"),
+    "de": ("go", "xyz"),
+    "es": ("inc", "txt"),
+}
 
 
 def code_path() -> Column:
-    names = F.array(*[F.lit(e) for e in EXTENSIONS])
-    ext = F.get(names, F.pmod(F.col("doc_id"), F.lit(len(EXTENSIONS))).cast("int"))
+    ext = F.lit("txt")
+    for lang, (long, short) in EXTENSIONS.items():
+        by_length = F.when(F.col("n_chars") > 1500, long).otherwise(short)
+        ext = F.when(F.col("lang") == lang, by_length).otherwise(ext)
     return F.concat(F.col("source"), F.lit("/doc_"), F.col("doc_id"), F.lit("."), ext)
 
 
@@ -99,9 +106,10 @@ def first_vector(spark: SparkSession, folder: str) -> list[float]:
 
 
 SQL_PATH = "concat(source, '/', lang, '/doc_', doc_id, '.txt')"
-SQL_CODE_PATH = (
-    f"concat(source, '/doc_', doc_id, '.', list_extract({EXTENSIONS!r}, (doc_id % 8 + 1)::INT))"
-)
+SQL_CODE_PATH = """concat(source, '/doc_', doc_id, '.', CASE lang
+WHEN 'en' THEN if(n_chars > 1500, 'py', 'md') WHEN 'fr' THEN if(n_chars > 1500, 'rs', 'toml')
+WHEN 'de' THEN if(n_chars > 1500, 'go', 'xyz') WHEN 'es' THEN if(n_chars > 1500, 'inc', 'txt')
+ELSE 'txt' END)"""
 SQL_CHUNKS = f"""
 c AS (SELECT d.doc_id AS id, {SQL_PATH} AS file_path, d.lang AS language, d.text AS content,
              1 AS start_line, len(string_split(d.text, chr(10))) AS end_line, e.embedding
@@ -779,23 +787,23 @@ def grep_warnings(spark: SparkSession, folder: str) -> DataFrame:
     return run.language_warnings.select("language")
 
 
-# Model ranking, with parts as scores: brand is the model, type the task
+# Model ranking, with parts as scores: brand is the model, type and kind are the task
 
 
 def _scores(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         F.col("p_brand").alias("model_name"),
-        F.concat("p_type", F.lit("-"), F.pmod("p_size", F.lit(10))).alias("task_name"),
+        F.concat("p_type", F.lit("-"), F.split_part("p_name", F.lit(" "), F.lit(2))).alias("task_name"),
         # Whole numbers add up to the same total in any order.
         F.round(F.col("p_retailprice") * 10).alias("score"),
         (F.col("p_size") > 48).alias("is_public"),
     )
 
 
-GENERAL_STAND_IN = ["ECONOMY-1", "ECONOMY-2", "SMALL-3"]
-CODE_STAND_IN = ["SMALL-1", "ECONOMY-4"]
+GENERAL_STAND_IN = ["ECONOMY-ring", "ECONOMY-bolt", "SMALL-rod"]
+CODE_STAND_IN = ["SMALL-widget", "ECONOMY-gear"]
 SQL_MERGED = f"""
-s AS (SELECT p_brand AS model_name, concat(p_type, '-', p_size % 10) AS task_name,
+s AS (SELECT p_brand AS model_name, concat(p_type, '-', split_part(p_name, ' ', 2)) AS task_name,
              round(p_retailprice * 10) AS score, p_size > 48 AS is_public FROM part),
 g AS (SELECT model_name, avg(score) AS score_general FROM s
       WHERE task_name IN ({str(GENERAL_STAND_IN)[1:-1]}) GROUP BY model_name),
@@ -956,7 +964,7 @@ def mtime_micros(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """SELECT o_orderkey, round(CASE WHEN o_orderstatus = 'O' THEN least(o_custkey / 1000.0 + 0.1, 10.0)
-WHEN o_orderstatus = 'F' THEN least(least(0.5 * pow(2.0, o_orderkey % 6), 10.0) + 0.1, 10.0) END, 6)
+WHEN o_orderstatus = 'F' THEN least(least(0.5 * pow(2.0, left(o_orderpriority, 1)::INT), 10.0) + 0.1, 10.0) END, 6)
 AS delay FROM orders"""
 )
 def retry_delays(spark: SparkSession, folder: str) -> DataFrame:
@@ -969,7 +977,7 @@ def retry_delays(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "F", "RATE LIMIT reached")
         .otherwise("bad request")
     )
-    attempt = F.pmod("o_orderkey", F.lit(6))
+    attempt = F.substring("o_orderpriority", 1, 1).cast("int")
     return table(spark, folder, "orders").select(
         "o_orderkey", F.round(text.rate_limit_delay(message, attempt), 6).alias("delay")
     )
