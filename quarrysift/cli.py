@@ -68,7 +68,7 @@ def run_init(args: argparse.Namespace) -> int:
 
 def run_index(spark: SparkSession, args: argparse.Namespace) -> int:
     project = Project(spark, project_root())
-    echo(describe_counters(project.refresh()))
+    echo(describe_counters(project.refresh(lambda seen: echo(describe_counters(seen)))))
     print_status(project)
     return 0
 
@@ -128,6 +128,7 @@ def run_grep(spark: SparkSession, args: argparse.Namespace) -> int:
         echo(row["block"])
         before = row["path"]
     verdict = run.verdict()
+    run.release()
     if verdict["unusable"]:
         names = ", ".join(verdict["failed_languages"])
         echo(

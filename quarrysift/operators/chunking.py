@@ -186,7 +186,8 @@ def chunk_files(
     def run(batches):
         rows = []
         for batch in batches:
-            for path, language, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in zip(*batch.columns):
+                path, language, text = (value.as_py() for value in row)
                 pure = PurePosixPath(path)
                 chunker = table.get(pure.suffix)
                 if chunker is None:

@@ -20,7 +20,7 @@ from __future__ import annotations
 import functools
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -402,6 +402,8 @@ class GrepRun:
     rows: DataFrame
     language_warnings: DataFrame
     targets: DataFrame
+    #: Removes what the listing of a tree has left on scratch storage.
+    release: Callable[[], object] = lambda: None
 
     @property
     def matches(self) -> DataFrame:
@@ -479,8 +481,8 @@ def _match_files(texts: DataFrame, compiled: dict[str, Pattern]) -> DataFrame:
     def run(batches):
         rows = []
         for batch in batches:
-            for values in zip(*(c.to_pylist() for c in batch.columns)):
-                for row in results(*values):
+            for values in zip(*batch.columns):
+                for row in results(*(value.as_py() for value in values)):
                     rows.append(row)
                     if len(rows) >= _ROWS_PER_BATCH:
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)

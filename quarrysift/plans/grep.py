@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,12 +38,13 @@ def grep_path(
     if target.is_file():
         base = target.parent
         found = single_file(spark, str(target))
-        shown = F.lit(Path(root).as_posix())
+        shown, release = F.lit(Path(root).as_posix()), None
     else:
         base = project or cfg.find_git_root(target) or target
         start = target.relative_to(base).as_posix()
         start = "" if start == "." else start
-        found = walk(spark, str(base), rules.selection() if rules else Selection(), start).files
+        listing = walk(spark, str(base), rules.selection() if rules else Selection(), start)
+        found, release = listing.files, listing.release
         if path_filter:
             found = found.where(path_glob(F.col("file_path"), [path_filter]))
         below = F.substring("file_path", len(start) + 2 if start else 1, 1 << 30)
@@ -53,4 +55,5 @@ def grep_path(
         return rows.withColumn("file_path", shown)
 
     files = displayed(read_files(found, str(base)))
-    return grep(files, pattern, languages, None, overrides, displayed(found))
+    run = grep(files, pattern, languages, None, overrides, displayed(found))
+    return run if release is None else replace(run, release=release)

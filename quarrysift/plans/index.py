@@ -54,6 +54,8 @@ COUNTERS = [
 ]
 
 Progress = Callable[[dict[str, int]], None]
+#: Gives the files at some paths, or all of them, with their content.
+Reader = Callable[[DataFrame | None], DataFrame]
 
 _locks: dict[str, threading.Lock] = {}
 _locks_guard = threading.Lock()
@@ -171,38 +173,32 @@ class Index:
 
         ``files`` has the columns of :data:`quarrysift.schema.FILE`, one row per
         path. It is read twice: once for fingerprints, once for the files that
-        need work. ``progress`` gets the counters before that work begins.
+        need work. A file whose size and time (if it has one) are those of the
+        last refresh is taken as unchanged without hashing its text.
+        ``progress`` gets the counters before the work on texts begins.
         """
-        with self._lock:
-            current = files.select(
-                "file_path",
-                F.when(F.col("error").isNull(), F.sha2("content", 256)).alias("fingerprint"),
-                "length",
-                "mtime_us",
-            )
-            return self._apply(
-                self.manifest(), current, lambda changed: _only(files, changed), progress
-            )
+        return self._refresh(files, lambda paths: _only(files, paths), progress)
 
     def refresh_tree(
         self, listing: DataFrame, base: str, progress: Progress | None = None
     ) -> dict[str, int]:
-        """As :meth:`refresh` for a listed directory tree.
+        """As :meth:`refresh` for a listed directory tree; unchanged files are not opened."""
+        return self._refresh(
+            listing, lambda paths: read_files(_only(listing, paths), base), progress
+        )
 
-        A file whose size and time are those of the last refresh is taken as
-        unchanged without being read.
-        """
+    def _refresh(self, listing: DataFrame, read: Reader, progress: Progress | None):
         with self._lock:
             manifest = self.manifest()
-            known = self.state(manifest)
             if manifest is None or manifest.logic != self.logic():
-                same = None
-                suspects = listing
+                same, suspects = None, None
             else:
                 marks = ["file_path", "length", "mtime_us"]
+                known = self.state(manifest)
                 same = known.join(listing.select(*marks), marks, "left_semi")
-                suspects = listing.join(known.select(*marks), marks, "left_anti")
-            current = read_files(suspects, base).select(
+                suspects = listing.select(*marks).join(known.select(*marks), marks, "left_anti")
+                suspects = suspects.select("file_path")
+            current = read(suspects).select(
                 "file_path",
                 F.when(F.col("error").isNull(), F.sha2("content", 256)).alias("fingerprint"),
                 "length",
@@ -210,17 +206,13 @@ class Index:
             )
             if same is not None:
                 current = current.unionByName(same)
-
-            def read(changed: DataFrame | None) -> DataFrame:
-                return read_files(_only(suspects, changed), base)
-
             return self._apply(manifest, current, read, progress)
 
     def _apply(
         self,
         manifest: Manifest | None,
         current: DataFrame,
-        read: Callable[[DataFrame | None], DataFrame],
+        read: Reader,
         progress: Progress | None = None,
     ) -> dict[str, int]:
         logic = self.logic()
@@ -308,11 +300,7 @@ class Index:
             rows = embedding.with_text_key(rows, "content")
             rows.write.parquet(f"{staged}/chunks")
             rows = self.spark.read.parquet(f"{staged}/chunks")
-            have = None
-            if vectors:
-                have = self.spark.read.schema(embedding.CACHE_SCHEMA).parquet(
-                    *self._folders("vectors", vectors)
-                )
+            have = self._vectors(vectors) if vectors else None
             target = self._folders("vectors", [run])[0]
             rows = embedding.embed_once(
                 rows, self.embedder, "content", have, target, **self.params.indexing
@@ -360,7 +348,18 @@ class Index:
         version = manifest.version + 1
         run = f"{version:08d}-{uuid.uuid4().hex[:8]}"
         self._write_run(self.chunks(manifest), run)
-        self._commit(replace(manifest, version=version, runs=[run], gone=[], n_gone=0))
+        vectors = manifest.vectors
+        if len(vectors) > 1:
+            self._vectors(vectors).hint("rebalance").write.parquet(*self._folders("vectors", [run]))
+            vectors = [run]
+        new = replace(manifest, version=version, runs=[run], gone=[], vectors=vectors, n_gone=0)
+        self._commit(new)
+
+    def _vectors(self, runs: Sequence[str]) -> DataFrame:
+        """Vectors by text. No text is in two runs."""
+        return self.spark.read.schema(embedding.CACHE_SCHEMA).parquet(
+            *self._folders("vectors", runs)
+        )
 
     def _clean(self) -> None:
         """Remove runs that none of the newest snapshots uses, for readers still at work."""

@@ -20,7 +20,7 @@ from ..operators.embedding import (
 from ..session import ship_module, ship_package
 from ..sources import settings as cfg
 from ..sources.tree import walk
-from .index import COUNTERS, Index
+from .index import COUNTERS, Index, Progress
 
 
 #: Directories named in a report; the rest is counted.
@@ -71,11 +71,14 @@ class Project:
             chunkers,
         )
 
-    def refresh(self) -> dict[str, int]:
+    def refresh(self, progress: Progress | None = None) -> dict[str, int]:
         rules = cfg.load_project(self.root)
         self.index.overrides = dict(rules.language_overrides)
-        listing = walk(self.spark, str(self.root), rules.selection()).files
-        return self.index.refresh_tree(listing, str(self.root))
+        found = walk(self.spark, str(self.root), rules.selection())
+        try:
+            return self.index.refresh_tree(found.files, str(self.root), progress)
+        finally:
+            found.release()
 
     def search(self, query: str, limit: int = 5, offset: int = 0, refresh: bool = True, **filters):
         """Search after bringing the index up to date; a first index is always built."""
@@ -101,6 +104,7 @@ class Project:
             names = ", ".join(r["file_path"] or "." for r in first)
             more = f" and {n_rules - SHOWN_DIRS} more" if n_rules > SHOWN_DIRS else ""
             details.append(f"Ignore files in: {names}{more}")
+        found.release()
         return Check("File walk", True, details)
 
     def _check_index(self) -> Check:

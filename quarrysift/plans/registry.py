@@ -264,12 +264,14 @@ def embed_memo(spark: SparkSession, folder: str) -> DataFrame:
         embedding.with_text_key(rows, "text"), embedding.LetterEmbedder(), "text", None, target
     )
     made = spark.read.schema(embedding.CACHE_SCHEMA).parquet(target)
-    totals = done.agg(
-        F.count("*").alias("n_rows"),
-        F.round(F.sum(F.get("embedding", 0).cast("double")), 3).alias("sum_a"),
+    both = done.select(
+        F.lit(1).alias("row"), F.lit(0).alias("text"), F.get("embedding", 0).alias("a")
+    ).unionByName(made.select(F.lit(0).alias("row"), F.lit(1).alias("text"), F.lit(0.0).alias("a")))
+    return both.agg(
+        F.sum("row").alias("n_rows"),
+        F.sum("text").alias("n_embedded"),
+        F.round(F.sum(F.col("a").cast("double")), 3).alias("sum_a"),
     )
-    # Both sides are a single row of totals.
-    return totals.join(made.agg(F.count("*").alias("n_embedded")), F.lit(True))
 
 
 # File selection

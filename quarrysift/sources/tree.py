@@ -23,6 +23,7 @@ from ..schema import FILE, LISTING
 from ..session import scratch_dir
 from .ignore import IGNORE_FILE, is_ignored
 from .selection import Selection
+from .storage import Storage
 
 _LEVEL = (
     "kind string, file_path string, length bigint, mtime_us bigint, rule_dirs array<string>"
@@ -90,10 +91,17 @@ def _children(base: str, directory: str, rule_dirs: list[str], selection: Select
 
 @dataclass
 class Walk:
-    """A finished listing: the files, and the directories with an ignore file."""
+    """A finished listing: the files, and the directories with an ignore file.
+
+    Both read what was written under ``folder``; call :meth:`release` when done.
+    """
 
     files: DataFrame
     rule_dirs: DataFrame
+    folder: str
+
+    def release(self) -> None:
+        Storage(self.files.sparkSession, self.folder).delete()
 
 
 def walk(spark: SparkSession, base: str, selection: Selection, start: str = "") -> Walk:
@@ -161,6 +169,7 @@ def walk(spark: SparkSession, base: str, selection: Selection, start: str = "")
     return Walk(
         found.where("kind = 'file'").select(*LISTING.names),
         found.where("kind = 'rules'").select("file_path"),
+        target,
     )
 
 

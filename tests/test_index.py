@@ -102,7 +102,8 @@ def test_a_path_may_occur_once(spark, tmp_path):
     assert [nonzero(s) for s in seen] == [{"execution_starts": 1, "adds": 1}]
 
 
-def test_vectors_are_kept_by_text(spark, tmp_path):
+def test_vectors_are_kept_by_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("quarrysift.plans.index.MAX_GONE_SHARE", 9)
     index = Index(spark, str(tmp_path / "i"), Counting())
     index.refresh(table(spark, {"a.py": "same", "b.py": "same", "c.py": "other!"}))
     index.refresh(table(spark, {"a.py": "same", "b.py": "other!", "c.py": "fresh text"}))
@@ -110,6 +111,30 @@ def test_vectors_are_kept_by_text(spark, tmp_path):
     assert found == {"a.py": 4.0, "b.py": 6.0, "c.py": 10.0}
     runs = index.manifest().vectors
     assert [spark.read.parquet(p).count() for p in index._folders("vectors", runs)] == [2, 1]
+    index.compact()
+    assert len(index.manifest().vectors) == 1 and index._vectors(index.manifest().vectors).count() == 3
+    files = {"a.py": "other!", "d.py": "fresh text", "e.py": "one more text"}
+    index.refresh(table(spark, files))
+    found = {r["file_path"]: r["embedding"][0] for r in index.chunks().collect()}
+    assert found == {"a.py": 6.0, "d.py": 10.0, "e.py": 13.0}
+
+
+def test_times_spare_hashing(spark, tmp_path):
+    index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
+
+    def refresh(files):
+        rows = [(path, text.encode(), time) for path, (text, time) in files.items()]
+        schema = "file_path string, content binary, mtime_us bigint"
+        return nonzero(index.refresh(corpus.from_table(spark.createDataFrame(rows, schema))))
+
+    files = {"a.py": ("one", 1), "b.py": ("two", 1)}
+    assert refresh(files) == {"execution_starts": 2, "adds": 2}
+    files["a.py"] = ("eno", 1)  # same size and time
+    assert refresh(files) == {"execution_starts": 2, "unchanged": 2}
+    files["a.py"] = ("eno", 2)
+    files["b.py"] = ("two", 2)
+    assert refresh(files) == {"execution_starts": 2, "reprocesses": 1, "unchanged": 1}
+    assert contents(index)["a.py", "python"] == "eno"
 
 
 class WrongSize(Counting):
