@@ -11,12 +11,12 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vectors import as_float32, unit
+from ..functions.vectors import as_float32
 from .skew import hot_keys, lookup_join
 from .spread import spread
 
@@ -67,8 +67,8 @@ class LetterEmbedder(Embedder):
 class HashEmbedder(Embedder):
     """Hashed counts of words and identifier parts, scaled to unit length.
 
-    The default where no model is installed. ``HashingTF`` does the hashing
-    inside the JVM, so no text leaves it.
+    The default where no model is installed. All of it runs inside the JVM on
+    sparse vectors, so no text leaves it.
     """
 
     def __init__(self, dim: int = 256) -> None:
@@ -76,13 +76,15 @@ class HashEmbedder(Embedder):
         self.name = f"hash-{dim}"
 
     def add_column(self, rows: DataFrame, text: str, **params: Any) -> DataFrame:
-        parts = F.regexp_extract_all(F.col(text), F.lit(r"\p{Lu}?\p{Ll}+|\p{L}+|\p{N}+"), F.lit(0))
-        words = F.transform(parts, lambda w: F.lower(w))
-        hashing = HashingTF(inputCol="__words", outputCol="__counts", numFeatures=self.dim)
-        counted = hashing.transform(rows.withColumn("__words", words))
-        damped = F.transform(vector_to_array(F.col("__counts")), lambda x: F.log1p(x))
-        vector = unit(damped).cast("array<float>")
-        return counted.withColumn("embedding", vector).drop("__words", "__counts")
+        apart = F.lower(F.regexp_replace(text, r"(?<=\p{Ll})(?=\p{Lu})", " "))
+        words = F.regexp_extract_all(apart, F.lit(r"\p{L}+|\p{N}+"), F.lit(0))
+        hashing = HashingTF(
+            inputCol="__words", outputCol="__hashed", numFeatures=self.dim
+        )
+        scaling = Normalizer(inputCol="__hashed", outputCol="__scaled")
+        scaled = scaling.transform(hashing.transform(rows.withColumn("__words", words)))
+        vector = vector_to_array(F.col("__scaled"), "float32")
+        return scaled.withColumn("embedding", vector).drop("__words", "__hashed", "__scaled")
 
 
 class TransformerEmbedder(Embedder):

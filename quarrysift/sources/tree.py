@@ -56,6 +56,12 @@ def _stat(path: str) -> tuple[int | None, int | None]:
     return info.st_size, info.st_mtime_ns // 1000
 
 
+def _require(base: str) -> None:
+    """Fail where the tree is not mounted, instead of finding it empty."""
+    if not os.path.isdir(base):
+        raise FileNotFoundError(f"{base} is not a directory on this executor")
+
+
 def _children(base: str, directory: str, rule_dirs: list[str], selection: Selection):
     """Rows for what one directory holds."""
     chain_dirs = list(rule_dirs)
@@ -124,6 +130,7 @@ def walk(spark: SparkSession, base: str, selection: Selection, start: str = "")
     def list_level(batches):
         # Workers outlive a walk, and ignore files may have been edited since.
         _ignore_text.cache_clear()
+        _require(base)
         rows = []
         for batch in batches:
             for directory, rule_dirs in zip(*(c.to_pylist() for c in batch.columns)):
@@ -201,6 +208,7 @@ def read_files(listing: DataFrame, base: str) -> DataFrame:
     )
 
     def read(batches):
+        _require(base)
         rows, size = [], 0
         for batch in batches:
             for row in batch.to_pylist():

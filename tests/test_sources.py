@@ -108,6 +108,26 @@ def test_unreadable_and_single_files(spark, tmp_path):
     assert bytes(one["content"]) == b"\xff\x00" and one["length"] == 2
 
 
+def test_a_missing_tree_is_an_error_and_not_empty(spark, tmp_path):
+    with pytest.raises(Exception, match="is not a directory on this executor"):
+        walk(spark, str(tmp_path / "none"), Selection())
+
+
+def test_ignore_files_are_read_again_by_the_next_walk(spark, tmp_path):
+    write_tree(tmp_path, {"a.py": "x", "b.py": "x", ".gitignore": "a.py\n"})
+    assert listed(spark, tmp_path, Selection()) == {"b.py"}
+    write_tree(tmp_path, {".gitignore": "b.py\n"})
+    assert listed(spark, tmp_path, Selection()) == {"a.py"}
+
+
+def test_listing_can_be_released(spark, tmp_path):
+    write_tree(tmp_path, {"a.py": "x"})
+    found = walk(spark, str(tmp_path), Selection())
+    assert found.files.count() == 1 and os.path.isdir(found.folder.removeprefix("file:"))
+    found.release()
+    assert not os.path.exists(found.folder.removeprefix("file:"))
+
+
 @pytest.mark.parametrize(
     "value, size",
     [
