@@ -84,6 +84,20 @@ def test_exact_against_brute_force(spark):
         assert np.allclose([r["distance"] for r in found], distance[wanted])
 
 
+def test_deep_pages(spark, monkeypatch):
+    monkeypatch.setattr("quarrysift.operators.search.MAX_TASK_ROWS", 100)
+    rows = spark.range(5000).select(
+        "id",
+        F.concat(F.lit("p"), "id").alias("file_path"),
+        F.lit("x").alias("language"),
+        F.array((F.col("id") % 40).cast("float"), F.lit(0).cast("float")).alias("embedding"),
+    )
+    order = sorted(range(5000), key=lambda i: (i % 40, i))
+    for limit, offset in [(300, 0), (150, 2500), (500, 4800), (10, 6000)]:
+        page = top(rows.repartition(6), SearchSpec([0.0, 0.0], limit, offset)).collect()
+        assert [r["id"] for r in page] == order[offset : offset + limit]
+
+
 def test_column_forms(spark):
     row = spark.createDataFrame([([3.0, 4.0], [0.0, 0.0])], "a array<double>, b array<double>")
     out = row.select(
