@@ -99,8 +99,8 @@ def search(chunks: DataFrame, spec: SearchSpec) -> DataFrame:
 
     The first pass reads keys and vectors only. The second reads text and lines
     for the page's rows; their paths go into the scan as literals, so row
-    groups without any of them are skipped. A page is ``limit`` rows, so what
-    passes through the driver is the answer's own keys.
+    groups without any of them are skipped. At most ``MAX_LISTED_PATHS`` keys
+    pass through the driver and are broadcast; a longer page is joined.
     """
     keys = ["id", "file_path", "language"]
     page = top(chunks.select(*keys, "embedding"), spec).select(*keys, "distance", "score")
@@ -108,7 +108,7 @@ def search(chunks: DataFrame, spec: SearchSpec) -> DataFrame:
         winners, rest = page, chunks
     else:
         rows = page.collect()
-        winners = chunks.sparkSession.createDataFrame(rows, page.schema)
+        winners = F.broadcast(chunks.sparkSession.createDataFrame(rows, page.schema))
         if not rows:
             return winners.select(
                 "file_path",

@@ -26,7 +26,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.languages import language_of
@@ -152,9 +152,11 @@ class Index:
                 .option("basePath", f"{self.location}/gone")
                 .parquet(*self._folders("gone", manifest.gone))
                 .groupBy(F.col("file_path").alias("gone_path"))
-                .agg(F.max("run").alias("gone_run"))
+                .agg(F.max(_number(F.col("run"))).alias("gone_at"))
+            )
+            void = (F.col("file_path") == F.col("gone_path")) & (
+                _number(F.col("run")) < F.col("gone_at")
             )
-            void = (F.col("file_path") == F.col("gone_path")) & (F.col("run") < F.col("gone_run"))
             rows = rows.join(gone, void, "left_anti")
         return rows.select(*columns)
 
@@ -419,6 +421,11 @@ class Index:
             return self.storage.delete()
 
 
+def _number(run: Column) -> Column:
+    """The version a run name starts with."""
+    return F.substring(run, 1, 8).cast("int")
+
+
 def _only(rows: DataFrame, paths: DataFrame | None) -> DataFrame:
     return rows if paths is None else rows.join(paths, "file_path", "left_semi")
 
