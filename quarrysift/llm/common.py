@@ -72,3 +72,51 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
         for c, field in zip(columns, schema)
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Texts (x) with labels (y, 0 or 1) of about ``per_class`` labelled ids of each class.
+
+    The ids are chosen by a hash of the id, the same in every run. At most four times
+    ``per_class`` ids are broadcast to the texts, so no text moves. Null labels, ids and
+    texts are left out; an id labelled twice counts twice.
+    """
+    marks = labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y"))
+    marks = marks.where("k IS NOT NULL AND y IN (0, 1)")
+    counts = {r["y"]: r["count"] for r in marks.groupBy("y").count().collect()}
+    place = F.pmod(F.xxhash64("k"), F.lit(1_000_003)) / 1_000_003
+    share = F.lit(0.0)
+    for y, n in counts.items():
+        share = F.when(F.col("y") == y, min(1.0, per_class / n)).otherwise(share)
+    marks = marks.where(place < share).limit(4 * per_class)
+    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("x")).where("x IS NOT NULL")
+    return texts.join(F.broadcast(marks), "k").select("x", "y")
+
+
+def logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def calibrate(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the weighted logistic fit of labels on margins, by Newton steps."""
+    a, b = 1.0, 0.0
+    if not len(margin):
+        return a, b
+    spread = margin.std() or 1.0
+    x = margin / spread
+    weight = weight / weight.sum()
+    for _ in range(50):
+        p = logistic(a * x + b)
+        # A small penalty keeps the slope finite where the classes do not overlap.
+        g = np.array([(weight * (p - label) * x).sum() + 1e-3 * a, (weight * (p - label)).sum() + 1e-5 * b])
+        v = weight * p * (1 - p)
+        h = np.array([[(v * x * x).sum() + 1e-3, (v * x).sum()], [(v * x).sum(), v.sum() + 1e-5]])
+        step = np.linalg.solve(h, g)
+        size = np.abs(step).max()
+        step = step * min(1.0, 2.0 / size) if size else step
+        a, b = a - step[0], b - step[1]
+        if size < 1e-8:
+            break
+    return float(a / spread), float(b)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, tokenfiles
-from .common import prepare, table
+from . import bpe, langid, quality, tokenfiles
+from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,3 +45,27 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     manifest = tokenfiles.write_sequences(docs, public_tokenizers.path(VOCABULARY))
     return tokenfiles.read_documents(manifest, docs.schema["doc_id"].dataType)
+
+
+@query()
+def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from three of four parts."""
+    docs = table(spark, folder, "documents")
+    network = langid.fit(docs.where(~_held_out(4, 2)), "text", "lang")
+    found = langid.identify(docs, network)
+    return found.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def _held_out(parts: int, left_out: int) -> Column:
+    return F.coalesce(fold("doc_id", parts) == left_out, F.lit(False))
+
+
+@query()
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document, learned from two of three parts of the labels."""
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").where(~_held_out(3, 1))
+    found = quality.score(docs, quality.fit(docs, labels))
+    return found.select(
+        "doc_id", _held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
