@@ -200,3 +200,10 @@ def added_tokens(path: str) -> dict[str, int]:
         if token["single_word"] or token["lstrip"] or token["rstrip"]:
             raise ValueError(f"added token {token['content']!r} uses an option that is not supported")
     return {token["content"]: token["id"] for token in tokens}
+
+
+def largest_id(path: str) -> int:
+    """The largest id of a tokenizer file."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    return max([*model["vocab"].values(), *added_tokens(path).values()])

@@ -2,7 +2,8 @@
 
 The ids of all documents, in ascending document order and each with an end id, form one
 long stream. Every task writes its part of the stream as an Arrow IPC file whose record
-batches hold two fixed-size lists per row: ``ids`` and ``mask``. All values of a list column lie side
+batches hold two fixed-size lists per row: ``ids``, in 16 bits where the vocabulary fits, and
+``mask``, one bit each. All values of a list column lie side
 by side, so row r of a memory-mapped file is the slice [r * length, (r + 1) * length) of
 one buffer: nothing is copied or parsed. Only a file's last row has masked places. A second
 Arrow file beside it says where each document starts. The manifest, written by Spark when
@@ -27,7 +28,7 @@ from pyspark.sql.window import Window
 
 from ..session import scratch_dir
 from .common import ROWS_PER_BATCH, batch_of, crop, drop_on_exit, prepare, stored
-from .pieces import Encoder, added_tokens
+from .pieces import Encoder, added_tokens, largest_id
 
 SEQUENCE_LENGTH = 1024
 SEQUENCES_PER_BATCH = 256
@@ -61,10 +62,11 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
 class SequenceFile:
     """Writes a stream of ids as rows of equal length."""
 
-    def __init__(self, sink, length: int) -> None:
+    def __init__(self, sink, length: int, largest: int) -> None:
         self.length = length
+        self.kind = np.uint16 if largest < 1 << 16 else np.uint32
         self.schema = pa.schema(
-            [("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))],
+            [("ids", pa.list_(pa.from_numpy_dtype(self.kind), length)), ("mask", pa.list_(pa.bool_(), length))],
             {b"sequence_length": str(length).encode()},
         )
         self.writer = pa.ipc.new_file(sink, self.schema)
@@ -72,7 +74,7 @@ class SequenceFile:
         self.size = self.rows = self.ids = 0
 
     def add(self, ids: np.ndarray) -> None:
-        self.kept.append(ids.astype(np.uint32))
+        self.kept.append(ids.astype(self.kind))
         self.size += len(ids)
         self.ids += len(ids)
         step = self.length * SEQUENCES_PER_BATCH
@@ -80,7 +82,7 @@ class SequenceFile:
             # All record batches but the last have the same number of rows.
             flat = np.concatenate(self.kept)
             whole = len(flat) // step * step
-            self._write(flat[:whole], np.ones(whole, np.uint8))
+            self._write(flat[:whole], np.ones(whole, bool))
             self.kept, self.size = [flat[whole:]], len(flat) - whole
 
     def _write(self, ids: np.ndarray, mask: np.ndarray) -> None:
@@ -93,13 +95,11 @@ class SequenceFile:
             self.rows += len(columns[0])
 
     def close(self) -> None:
-        flat = np.concatenate(self.kept) if self.kept else np.zeros(0, np.uint32)
+        flat = np.concatenate(self.kept) if self.kept else np.zeros(0, self.kind)
         if len(flat):
-            blank = np.zeros(-len(flat) % self.length, np.uint32)
-            self._write(
-                np.concatenate([flat, blank]),
-                np.concatenate([np.ones(len(flat), np.uint8), blank.astype(np.uint8)]),
-            )
+            blank = np.zeros(-len(flat) % self.length, self.kind)
+            mask = np.arange(len(flat) + len(blank)) < len(flat)
+            self._write(np.concatenate([flat, blank]), mask)
         self.writer.close()
 
 
@@ -113,19 +113,19 @@ class SequenceReader:
             self.source = folder.open_input_file(path)
         self.file = pa.ipc.open_file(self.source)
         self.length = int(self.file.schema.metadata[b"sequence_length"])
-        self.last: tuple[int, np.ndarray, np.ndarray] | None = None
+        self.last: tuple[int, pa.Array, pa.Array] | None = None
 
     def close(self) -> None:
         self.source.close()
 
-    def _batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _batch(self, k: int) -> tuple[pa.Array, pa.Array]:
         if self.last is None or self.last[0] != k:
             batch = self.file.get_batch(k)
-            self.last = (k, *(batch.column(c).flatten().to_numpy() for c in (0, 1)))
+            self.last = (k, *(batch.column(c).flatten() for c in (0, 1)))
         return self.last[1:]
 
-    def sequence(self, row: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of one row."""
+    def sequence(self, row: int) -> tuple[pa.Array, pa.Array]:
+        """Ids and mask of one row: slices of the file's buffers."""
         k, at = divmod(row, SEQUENCES_PER_BATCH)
         part = slice(at * self.length, (at + 1) * self.length)
         ids, mask = self._batch(k)
@@ -137,8 +137,8 @@ class SequenceReader:
         while count > 0:
             k, at = divmod(start, step)
             ids, mask = self._batch(k)
-            found = ids[at : at + count]
-            if not len(found) or not mask[at + len(found) - 1]:
+            found = ids[at : at + count].to_numpy()
+            if not len(found) or not mask[at + len(found) - 1].as_py():
                 raise ValueError("the range ends after the stream")
             yield found
             start, count = start + len(found), count - len(found)
@@ -169,6 +169,7 @@ def write_sequences(
         folder = scratch_dir(spark, "sequences")
         drop_on_exit(spark, folder)
     names = {id_col: "d", text_col: "x"}
+    largest = max(end_id, largest_id(path))
     rows = docs.select(id_col, text_col).withColumnsRenamed(names)
     rows = rows.repartitionByRange("d", "x").sortWithinPartitions("d", "x")
     rows = rows.select("d", "x", F.spark_partition_id().alias("p"))
@@ -184,7 +185,7 @@ def write_sequences(
             if sink is None:
                 part = batch.column(2)[0].as_py()
                 target = store.open_output_stream(f"{root}/{name}.arrow")
-                sink = SequenceFile(target, length)
+                sink = SequenceFile(target, length, largest)
                 entries = pa.schema([batch.schema.field(0), ("start", pa.int64()), ("n_tokens", pa.int64())])
                 side = store.open_output_stream(f"{root}/{name}.index.arrow")
                 index = pa.ipc.new_file(side, entries)
@@ -241,7 +242,7 @@ def read_documents(manifest: DataFrame, id_type: T.DataType = T.LongType(), id_c
                         for i, (a, n) in enumerate(zip(starts.tolist(), counts.tolist())):
                             value = 0
                             for ids in reader.stream(a, n):
-                                value = zlib.crc32(ids, value)
+                                value = zlib.crc32(ids.astype("<u4"), value)
                             sums[i] = value
                         yield pa.RecordBatch.from_arrays(
                             [entries.column(0), pa.array(starts + row["start"]), entries.column(2), pa.array(sums)],
