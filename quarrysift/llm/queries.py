@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, quality, tokenfiles
+from . import bpe, langid, quality, tokenfiles, toxicity
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,18 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", _held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query()
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, learned from three of four parts of the labels."""
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").where(~_held_out(4, 2))
+    found = toxicity.score(docs, toxicity.fit(docs, labels))
+    return found.select(
+        "doc_id",
+        _held_out(4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
