@@ -120,3 +120,11 @@ def calibrate(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
         if size < 1e-8:
             break
     return float(a / spread), float(b)
+
+
+def forget(frame: DataFrame) -> None:
+    """Remove the files of a stored frame that nothing reads any more."""
+    spark = frame.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, quality, tokenfiles, toxicity
+from . import bpe, langid, neardup, quality, tokenfiles, toxicity
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,9 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
         F.size("passages").alias("n_passages"),
     )
+
+
+@query()
+def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate documents on three-word shingles at 0.85."""
+    return neardup.deduplicate(table(spark, folder, "documents"), width=3, percent=85)
