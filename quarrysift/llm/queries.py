@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, neardup, quality, tokenfiles, toxicity
+from . import bpe, decontam, langid, neardup, quality, tokenfiles, toxicity
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,33 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate documents on three-word shingles at 0.85."""
     return neardup.deduplicate(table(spark, folder, "documents"), width=3, percent=85)
+
+
+# Words are numbered per text; a window is ten of an item's words in a row.
+SQL_CONTAMINATION = r"""
+WITH dw AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+iw AS (
+  SELECT item_id::VARCHAR AS item, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
+win AS (
+  SELECT item, n, array_to_string(ws[i:i + n - 1], ' ') AS key
+  FROM (SELECT item, ws, least(len(ws), 10) AS n, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM iw WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+pos AS (
+  SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS key
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM dw CROSS JOIN sizes WHERE len(ws) >= n)),
+hit AS (SELECT pos.doc_id, pos.i, pos.n, win.item FROM pos JOIN win ON pos.n = win.n AND pos.key = win.key),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+own AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS items
+        FROM hit GROUP BY doc_id)
+SELECT dw.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN cov USING (doc_id) LEFT JOIN own USING (doc_id)"""
+
+
+@query(SQL_CONTAMINATION)
+def op6_decontam(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of ten benchmark words in the documents."""
+    return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
