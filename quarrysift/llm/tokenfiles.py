@@ -158,7 +158,7 @@ def write_sequences(
 
     ``folder`` must be one that all executors share; by default it is a new one in the
     session's scratch folder. Documents are sorted by id (null ids first, equal ids by
-    text, null before all texts); a null or empty text has the end id alone. Texts move
+    a hash of the text); a null or empty text has the end id alone. Texts move
     once, in the range partitioning that sorts them. A task holds one batch.
     The manifest has ``start``, the number of ids in earlier files; it is found from one number per
     file, of which there are as many as tasks.
@@ -171,7 +171,8 @@ def write_sequences(
     names = {id_col: "d", text_col: "x"}
     largest = max(end_id, largest_id(path))
     rows = docs.select(id_col, text_col).withColumnsRenamed(names)
-    rows = rows.repartitionByRange("d", "x").sortWithinPartitions("d", "x")
+    # A hash stands in for the text, so that the sample which finds the ranges holds no texts.
+    rows = rows.withColumn("h", F.xxhash64("x")).repartitionByRange("d", "h").sortWithinPartitions("d", "h")
     rows = rows.select("d", "x", F.spark_partition_id().alias("p"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
