@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, neardup, quality, tokenfiles, toxicity
+from . import bpe, decontam, langid, neardup, quality, tokenfiles, toxicity, warc
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,17 @@ FROM dw LEFT JOIN cov USING (doc_id) LEFT JOIN own USING (doc_id)"""
 def op6_decontam(spark: SparkSession, folder: str) -> DataFrame:
     """Windows of ten benchmark words in the documents."""
     return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS n, sha256(h) AS digest FROM p),
+f AS (SELECT digest, min(page_id) AS least FROM d WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN least IS NOT NULL AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN least IS NOT NULL AND page_id <> least THEN least END AS refers_to
+FROM d LEFT JOIN f ON f.digest = d.digest"""
+)
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """A WARC record per page, written and read back."""
+    return warc.round_trip(table(spark, folder, "pages"))
