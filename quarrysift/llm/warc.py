@@ -28,6 +28,7 @@ LEAST_PAYLOAD = 100
 ARCHIVE_BYTES = 1 << 28
 RANGE_BYTES = 4 << 20
 READ_BYTES = 1 << 20
+UNPACK_BYTES = 1 << 14
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
@@ -169,7 +170,7 @@ def unpack(source: Source, place: int) -> tuple[bytes, int]:
     """The member at ``place`` and where the next one starts."""
     unpacker, parts, at = zlib.decompressobj(31), [], place
     while not unpacker.eof:
-        data = source.view(at, READ_BYTES)
+        data = source.view(at, UNPACK_BYTES)
         if not data:
             raise EOFError("the member is cut off")
         parts.append(unpacker.decompress(data))
@@ -185,10 +186,10 @@ def members(source: Source, start: int, end: int) -> Iterator[tuple[int, bytes]]
     """
     place = start
     while place < end:
-        data = source.view(place, READ_BYTES)
+        data = source.view(place, UNPACK_BYTES)
         at = data.find(MAGIC)
         if at < 0:
-            if len(data) < READ_BYTES:
+            if len(data) < UNPACK_BYTES:
                 return
             place += len(data) - len(MAGIC) + 1
             continue
