@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, neardup, quality, tokenfiles, toxicity, warc
+from . import bpe, decontam, langid, neardup, quality, tokenfiles, topk, toxicity, warc
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +134,18 @@ FROM d LEFT JOIN f ON f.digest = d.digest"""
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     """A WARC record per page, written and read back."""
     return warc.round_trip(table(spark, folder, "pages"))
+
+
+@query(
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
+)
+def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty best vectors for every twentieth one."""
+    vectors = table(spark, folder, "embeddings")
+    return topk.search(vectors, vectors.where("vec_id % 20 = 0"))
