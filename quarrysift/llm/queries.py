@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, neardup, quality, tokenfiles, topk, toxicity, warc
+from . import bpe, chat, decontam, langid, neardup, quality, tokenfiles, topk, toxicity, warc
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,3 +149,9 @@ def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The twenty best vectors for every twentieth one."""
     vectors = table(spark, folder, "embeddings")
     return topk.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query()
+def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with its roles repaired, turn by turn in the ChatML form."""
+    return chat.format_chats(table(spark, folder, "conversations"))
