@@ -1,20 +1,67 @@
-"""The corpus pipeline: language, quality, near duplicates, benchmarks, tokens."""
+"""The corpus pipeline: language, quality, near duplicates, benchmarks, tokens.
+
+Each stage takes the documents its predecessor kept. All but the last return the columns
+of ``documents``; the last returns a row of token counts and digests per document left.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarrysift.llm import bpe
+from quarrysift.llm import bpe, decontam, langid, neardup, quality
 from quarrysift.llm.common import prepare, stored, table
 
+# A language is taken as known from this share of the probability on.
+LEAST_LANGUAGE_SCORE = 0.4
+LEAST_QUALITY_SCORE = 0.5
+# Names for what a stage adds and takes away again; no column of documents may have them.
+ADDED = "_stage_value"
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known: those without letters or with no clear language go."""
+    network = langid.fit(docs, "text", "lang")
+    known = (F.col(f"{ADDED}.label") != langid.UNKNOWN) & (F.col(f"{ADDED}.score") >= LEAST_LANGUAGE_SCORE)
+    return langid.with_language(docs, network, "text", ADDED).where(known).drop(ADDED)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labels of those at hand, takes for good."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.with_quality(docs, model, "text", ADDED).where(F.col(ADDED) >= LEAST_QUALITY_SCORE).drop(ADDED)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity of 0.8 or more.
+
+    The one with the smallest id stays, once if its row is repeated. Documents with a null id go.
+    """
+    found = neardup.deduplicate(docs, width=5, percent=80)
+    kept = found.where("kept").select(F.col("doc_id").alias(ADDED)).distinct()
+    return docs.join(kept, F.col("doc_id") == F.col(ADDED), "left_semi").dropDuplicates(["doc_id"])
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of ten words of a benchmark item."""
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    dirty = found.where("contaminated").select(F.col("doc_id").alias(ADDED)).distinct()
+    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col(ADDED)), "left_anti")
+
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every remaining document."""
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("tokens", tokens)]
+STAGES = [
+    ("language", language),
+    ("quality", good_quality),
+    ("near_duplicates", distinct),
+    ("decontamination", uncontaminated),
+    ("tokens", tokens),
+]
 
 # Trained models and hashed signatures have no SQL form.
 ORACLE_SQL = None

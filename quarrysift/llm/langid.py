@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -266,9 +267,7 @@ def with_language(docs: DataFrame, network: Network | None, text_col: str = "tex
     prepare(docs.sparkSession)
 
     @F.pandas_udf("label string, score double")
-    def label(parts: Iterator["pd.Series"]) -> Iterator["pd.DataFrame"]:  # noqa: F821
-        import pandas as pd
-
+    def label(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         predict = predictor(network)
         for texts in parts:
             labels, scores = predict([t if isinstance(t, str) else None for t in texts])

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -206,9 +207,7 @@ def with_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", i
     prepare(docs.sparkSession)
 
     @F.pandas_udf("double")
-    def rate(parts: Iterator["pd.Series"]) -> Iterator["pd.Series"]:  # noqa: F821
-        import pandas as pd
-
+    def rate(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features = Features()
         for texts in parts:
             yield pd.Series([model.score(features(t if isinstance(t, str) else None)) for t in texts], dtype=float)
