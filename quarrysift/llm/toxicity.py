@@ -33,10 +33,10 @@ COUNTED_PER_CLASS = 20_000
 CALIBRATED_PER_CLASS = 2_000
 # Strength of the prior in texts, the least |z| of a feature, and the most features kept.
 PRIOR_TEXTS = 20.0
-LEAST_Z = 5.0
+LEAST_Z = 3.0
 MOST_FEATURES = 100_000
 # Taken off every word's weight, so that segments end.
-DRIFT = 0.2
+DRIFT = 0.4
 # A passage is significant if as good a one is expected less often by chance.
 MOST_EXPECTED = 0.05
 MEMO_WORDS = 400_000
