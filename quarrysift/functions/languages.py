@@ -9,57 +9,71 @@ from pyspark.sql import functions as F
 
 from .text import path_suffix
 
-# Language and its extensions.
-LANGUAGE_EXTENSIONS = {
-    "c": "c",
-    "cpp": "cpp cc cxx h hpp hxx hh",
-    "csharp": "cs",
-    "css": "css scss",
-    "dart": "dart",
-    "dtd": "dtd",
-    "elixir": "ex exs",
-    "fortran": "f f90 f95 f03",
-    "go": "go",
-    "html": "html htm",
-    "java": "java",
-    "javascript": "js jsx mjs cjs",
-    "json": "json",
-    "kotlin": "kt kts",
-    "lua": "lua",
-    "markdown": "md mdx",
-    "pascal": "pas dpr",
-    "php": "php",
-    "python": "py pyi",
-    "r": "r",
-    "ruby": "rb",
-    "rust": "rs",
-    "scala": "scala",
-    "shell": "sh bash zsh",
-    "solidity": "sol",
-    "sql": "sql",
-    "svelte": "svelte",
-    "swift": "swift",
-    "text": "txt rst",
-    "toml": "toml",
-    "tsx": "tsx",
-    "typescript": "ts",
-    "vue": "vue",
-    "xml": "xml",
-    "yaml": "yaml yml",
+# Languages by suffix.
+LANGUAGE_BY_SUFFIX = {
+    ".c": "c",
+    ".cpp": "cpp",
+    ".cc": "cpp",
+    ".cxx": "cpp",
+    ".h": "cpp",
+    ".hpp": "cpp",
+    ".hxx": "cpp",
+    ".hh": "cpp",
+    ".cs": "csharp",
+    ".css": "css",
+    ".scss": "css",
+    ".dart": "dart",
+    ".dtd": "dtd",
+    ".ex": "elixir",
+    ".exs": "elixir",
+    ".f": "fortran",
+    ".f90": "fortran",
+    ".f95": "fortran",
+    ".f03": "fortran",
+    ".go": "go",
+    ".html": "html",
+    ".htm": "html",
+    ".java": "java",
+    ".js": "javascript",
+    ".jsx": "javascript",
+    ".mjs": "javascript",
+    ".cjs": "javascript",
+    ".json": "json",
+    ".kt": "kotlin",
+    ".kts": "kotlin",
+    ".lua": "lua",
+    ".md": "markdown",
+    ".mdx": "markdown",
+    ".pas": "pascal",
+    ".dpr": "pascal",
+    ".php": "php",
+    ".py": "python",
+    ".pyi": "python",
+    ".r": "r",
+    ".rb": "ruby",
+    ".rs": "rust",
+    ".scala": "scala",
+    ".sh": "shell",
+    ".bash": "shell",
+    ".zsh": "shell",
+    ".sol": "solidity",
+    ".sql": "sql",
+    ".svelte": "svelte",
+    ".swift": "swift",
+    ".txt": "text",
+    ".rst": "text",
+    ".toml": "toml",
+    ".tsx": "tsx",
+    ".ts": "typescript",
+    ".vue": "vue",
+    ".xml": "xml",
+    ".yaml": "yaml",
+    ".yml": "yaml",
 }
 
 # Languages that are detected and indexed but have no token structure to match.
 UNMATCHABLE = frozenset({"text", "markdown"})
 
-_BY_SUFFIX = {
-    f".{ext}": language for language, exts in LANGUAGE_EXTENSIONS.items() for ext in exts.split()
-}
-
-
-def detect(suffix: str) -> str | None:
-    return _BY_SUFFIX.get(suffix)
-
-
 def _lookup(table: Mapping[str, str], key: Column) -> Column:
     entries = [F.lit(x) for pair in table.items() for x in pair]
     return F.try_element_at(F.create_map(*entries), key) if entries else F.lit(None).cast("string")
@@ -75,4 +89,4 @@ def language_of(
     """
     suffix = path_suffix(path)
     chosen = _lookup({f".{ext}": lang for ext, lang in (overrides or {}).items()}, suffix)
-    return F.coalesce(chosen, _lookup(_BY_SUFFIX, suffix), F.lit(fallback).cast("string"))
+    return F.coalesce(chosen, _lookup(LANGUAGE_BY_SUFFIX, suffix), F.lit(fallback).cast("string"))

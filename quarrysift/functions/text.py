@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A character Python's str.strip() would keep: not white space in the Unicode
 # sense and not one of the four ASCII separators.
@@ -50,23 +53,30 @@ def suffix_label(path: Column) -> Column:
     return F.coalesce(F.nullif(path_suffix(path), F.lit("")), F.lit("(no ext)"))
 
 
-def posix_path(path: Column) -> Column:
-    return F.replace(path, F.lit("\\"), F.lit("/"))
-
-
 def lines_of(text: Column) -> Column:
     """Lines split at ``\\n`` only, each without trailing carriage returns."""
     return F.transform(F.split(text, "\n", -1), lambda line: F.regexp_replace(line, r"\r+$", ""))
 
 
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _line_offsets(texts: pd.Series) -> pd.Series:
+    """Places after each ``\\n``: one search per text over its code points."""
+    found = []
+    for text in texts:
+        if text is None:
+            found.append(None)
+            continue
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        found.append(np.append(0, np.flatnonzero(points == 10) + 1).astype(np.int32))
+    return pd.Series(found, dtype=object)
+
+
 def line_offsets(text: Column) -> Column:
-    """0-based character offset of each line start, counting ``\\n`` only."""
-    sizes = F.transform(F.split(text, "\n", -1), lambda line: F.length(line) + 1)
-    return F.aggregate(
-        F.slice(sizes, 1, F.size(sizes) - 1),
-        F.array(F.lit(0)),
-        lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n),
-    )
+    """0-based character offset of each line start, counting ``\\n`` only.
+
+    A running sum over an array costs Spark's functions the square of the lines.
+    """
+    return _line_offsets(text)
 
 
 def gutter(line_no: Column, width: Column) -> Column:

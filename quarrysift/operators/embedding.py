@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import re
+import string
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -11,14 +12,14 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import as_float32
 from .skew import hot_keys, lookup_join
-from .spread import spread
 
 #: Most texts sent to a model in one request.
 MAX_BATCH = 64
@@ -55,13 +56,13 @@ class LetterEmbedder(Embedder):
 
     name = "letters"
 
-    def embed(self, texts: list[str], **params: Any) -> list[np.ndarray]:
-        vectors = []
-        for text in texts:
-            codes = np.frombuffer(text.lower().encode(), dtype=np.uint8)
-            counts = np.bincount(codes, minlength=256)[ord("a") : ord("z") + 1].astype(float)
-            vectors.append(counts / max(np.sqrt(counts @ counts), 1e-9))
-        return vectors
+    def add_column(self, rows: DataFrame, text: str, **params: Any) -> DataFrame:
+        lower, size = F.lower(text), F.length(F.lower(text))
+        counts = [size - F.length(F.replace(lower, F.lit(c))) for c in string.ascii_lowercase]
+        counted = rows.withColumn("__counts", F.array(*[n.cast("double") for n in counts]))
+        counted = counted.withColumn("__norm", F.greatest(F.sqrt(F.aggregate("__counts", F.lit(0.0), lambda t, x: t + x * x)), F.lit(1e-9)))
+        vector = F.transform("__counts", lambda x: (x / F.col("__norm")).cast("float"))
+        return counted.withColumn("embedding", vector).drop("__counts", "__norm")
 
 
 class HashEmbedder(Embedder):
@@ -109,20 +110,28 @@ def _load_model(name: str):
     return SentenceTransformer(name)
 
 
-def retry_delay(message: str, attempt: int) -> float | None:
-    """Seconds to wait after a rate-limit error; None for any other error.
+# What a service says when it asks for a pause, and the units it uses in seconds.
+_PAUSE = re.compile(r"please try again in (?P<amount>[0-9.]+)(?P<unit>ms|s)", re.IGNORECASE)
+_UNIT_SECONDS = {"ms": 0.001, "s": 1.0}
+
+
+def pause_before_retry(fault: str, failures: int) -> float | None:
+    """Seconds to wait after ``failures`` earlier ones of the same request; None: do not repeat it.
 
-    The waiting time the service names is used, else 0.5 s doubled per attempt;
-    a tenth of a second is added, and ten seconds is the most.
+    Only rate limits are worth a repetition. A pause that the service names comes before
+    the own one, half a second and double that after each further failure; both with
+    a tenth of a second on top, and never more than ten seconds.
     """
-    if "rate limit" not in message.lower():
+    if "rate limit" not in fault.casefold():
         return None
-    hint = re.search(r"Please try again in ([0-9.]+)(ms|s)", message, re.IGNORECASE)
-    if hint:
-        wait = float(hint[1]) * (0.001 if hint[2].lower() == "ms" else 1.0)
-    else:
-        wait = 0.5 * 2**attempt
-    return min(min(wait, 10.0) + 0.1, 10.0)
+    named = _PAUSE.search(fault)
+    seconds = 0.5 * (1 << failures)
+    if named is not None:
+        try:
+            seconds = float(named["amount"]) * _UNIT_SECONDS[named["unit"].lower()]
+        except ValueError:
+            pass
+    return min(10.0, seconds + 0.1)
 
 
 class RemoteEmbedder(Embedder):
@@ -147,58 +156,60 @@ class RemoteEmbedder(Embedder):
             try:
                 return self.call(texts, **params)
             except Exception as exc:
-                delay = retry_delay(str(exc), attempt)
-                if delay is None or attempt + 1 == MAX_ATTEMPTS:
+                pause = pause_before_retry(str(exc), attempt)
+                if pause is None or attempt + 1 == MAX_ATTEMPTS:
                     raise
-                self.sleep(delay)
+                self.sleep(pause)
         raise AssertionError("unreachable")
 
 
 @dataclass(frozen=True)
 class Params:
-    """Extra arguments of ``embed`` when indexing and when querying."""
+    """Extra arguments of ``embed``: for chunks and for queries.
+
+    ``by_habit`` tells that the query's were not given but are those the model always had.
+    """
 
     indexing: dict[str, Any] = field(default_factory=dict)
     query: dict[str, Any] = field(default_factory=dict)
-    bridged: bool = False
+    by_habit: bool = False
 
 
 # Accepted parameters per provider.
 ACCEPTED_PARAMS = {
-    "sentence-transformers": {"prompt_name"},
-    "litellm": {"input_type"},
-    "hash": set(),
-    "letters": set(),
+    "sentence-transformers": ["prompt_name"],
+    "litellm": ["input_type"],
+    "hash": [],
+    "letters": [],
 }
 
-# Models that used a query prompt before parameters existed.
-PROMPTED_MODELS = {"nomic-ai/nomic-embed-code", "nomic-ai/CodeRankEmbed"}
+# Query parameters of models that had one before parameters existed.
+HABITUAL_QUERY_PARAMS = {
+    ("sentence-transformers", "nomic-ai/nomic-embed-code"): {"prompt_name": "query"},
+    ("sentence-transformers", "nomic-ai/CodeRankEmbed"): {"prompt_name": "query"},
+}
 
-# Recommended parameters as (provider, model pattern, indexing, query).
+# Recommended parameters as (provider, model pattern, indexing, query); the first match counts.
 RECOMMENDED_PARAMS = [
-    ("sentence-transformers", r"nomic-ai/CodeRankEmbed", "", "prompt_name=query"),
-    ("sentence-transformers", r"nomic-ai/nomic-embed-code", "", "prompt_name=query"),
-    (
-        "sentence-transformers",
-        r"nomic-ai/nomic-embed-text-v1(\.5)?",
-        "prompt_name=passage",
-        "prompt_name=query",
-    ),
-    ("sentence-transformers", r"mixedbread-ai/mxbai-embed-large-v1", "", "prompt_name=query"),
-    ("sentence-transformers", r"Snowflake/snowflake-arctic-embed-.+", "", "prompt_name=query"),
+    ("sentence-transformers", r"nomic-ai/CodeRankEmbed", {}, {"prompt_name": "query"}),
+    ("sentence-transformers", r"nomic-ai/nomic-embed-code", {}, {"prompt_name": "query"}),
+    ("sentence-transformers", r"nomic-ai/nomic-embed-text-v1", {"prompt_name": "passage"}, {"prompt_name": "query"}),
+    ("sentence-transformers", r"nomic-ai/nomic-embed-text-v1\.5", {"prompt_name": "passage"}, {"prompt_name": "query"}),
+    ("sentence-transformers", r"mixedbread-ai/mxbai-embed-large-v1", {}, {"prompt_name": "query"}),
+    ("sentence-transformers", r"Snowflake/snowflake-arctic-embed-.+", {}, {"prompt_name": "query"}),
     (
         "litellm",
         r"cohere/embed-(english|multilingual)(-light)?-v3\.0",
-        "input_type=search_document",
-        "input_type=search_query",
+        {"input_type": "search_document"},
+        {"input_type": "search_query"},
     ),
-    ("litellm", r"voyage/.+", "input_type=document", "input_type=query"),
-    ("litellm", r"nvidia_nim/nvidia/.+", "input_type=passage", "input_type=query"),
+    ("litellm", r"voyage/.+", {"input_type": "document"}, {"input_type": "query"}),
+    ("litellm", r"nvidia_nim/nvidia/.+", {"input_type": "passage"}, {"input_type": "query"}),
     (
         "litellm",
         r"gemini/(gemini-embedding|text-embedding|embedding)[-\w.]*",
-        "input_type=RETRIEVAL_DOCUMENT",
-        "input_type=RETRIEVAL_QUERY",
+        {"input_type": "RETRIEVAL_DOCUMENT"},
+        {"input_type": "RETRIEVAL_QUERY"},
     ),
 ]
 
@@ -207,32 +218,45 @@ def recommended_params(provider: str, model: str) -> tuple[dict | None, dict | N
     """Recommended (indexing, query) parameters; (None, None) for unknown models."""
     for known, pattern, indexing, query in RECOMMENDED_PARAMS:
         if known == provider and re.fullmatch(pattern, model):
-            return tuple(dict([p.split("=")]) if p else {} for p in (indexing, query))
+            return dict(indexing), dict(query)
     return None, None
 
 
+def recommended_column(provider: Column, model: Column, side: str) -> Column:
+    """:func:`recommended_params` of many models as a column: ``side`` is indexing or query."""
+    which = {"indexing": 2, "query": 3}[side]
+    chosen = F.lit(None).cast("map<string,string>")
+    for entry in reversed(RECOMMENDED_PARAMS):
+        pairs = [F.lit(x) for pair in entry[which].items() for x in pair]
+        value = F.create_map(*pairs) if pairs else F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+        hit = (provider == entry[0]) & model.rlike(rf"\A(?:{entry[1]})\z")
+        chosen = F.when(hit, value).otherwise(chosen)
+    return chosen
+
+
 def resolve_params(
     provider: str, model: str, indexing: dict | None = None, query: dict | None = None
 ) -> Params:
-    """Checked parameters; None means the user did not set them."""
-    if provider not in ACCEPTED_PARAMS:
-        raise ValueError(f"Unknown provider: {provider!r}")
-    bridged = (
-        indexing is None
-        and query is None
-        and provider == "sentence-transformers"
-        and model in PROMPTED_MODELS
-    )
-    if bridged:
-        query = {"prompt_name": "query"}
-    for side, given in (("indexing_params", indexing), ("query_params", query)):
-        unknown = sorted(set(given or {}) - ACCEPTED_PARAMS[provider])
-        if unknown:
-            raise ValueError(f"{side}: unknown key(s) {unknown!r} for provider {provider!r}")
-    return Params(dict(indexing or {}), dict(query or {}), bridged)
-
-
-def create_embedder(provider: str, model: str) -> Embedder:
+    """The parameters to use, from what the user set; None stands for nothing set at all."""
+    accepted = ACCEPTED_PARAMS.get(provider)
+    if accepted is None:
+        raise ValueError(f"no embedding provider is called {provider!r}")
+    faults = [
+        f"{side} parameter {name!r} is not one that {provider} takes"
+        for side, given in (("indexing", indexing), ("query", query))
+        for name in given or {}
+        if name not in accepted
+    ]
+    if faults:
+        raise ValueError("; ".join(faults))
+    habit = HABITUAL_QUERY_PARAMS.get((provider, model)) if indexing is None and query is None else None
+    return Params(indexing=dict(indexing or {}), query=dict(habit or query or {}), by_habit=habit is not None)
+
+
+def create_embedder(
+    provider: str, model: str, call: Callable[..., Sequence[Sequence[float]]] | None = None, min_interval_ms: int | None = None
+) -> Embedder:
+    """The embedder that settings name. Services need ``call``, the request to make."""
     if provider == "letters":
         return LetterEmbedder()
     if provider == "hash":
@@ -240,12 +264,22 @@ def create_embedder(provider: str, model: str) -> Embedder:
         return HashEmbedder(int(digits[0]) if digits else 256)
     if provider == "sentence-transformers" or model.startswith("sbert/"):
         return TransformerEmbedder(model)
-    raise ValueError(f"provider {provider!r} needs a RemoteEmbedder built by the caller")
+    if provider == "litellm" and call is None:
+        call = functools.partial(_call_litellm, model)
+    if call is None:
+        raise ValueError(f"provider {provider!r} needs the request to make")
+    return RemoteEmbedder(f"{provider}/{model}", call, 5 if min_interval_ms is None else min_interval_ms)
+
+
+def _call_litellm(model: str, texts: list[str], **params: Any) -> list[list[float]]:
+    # The package is looked for when a request is made, on the machine that makes it.
+    import litellm
+
+    return [row["embedding"] for row in litellm.embedding(model=model, input=texts, **params).data]
 
 
 def embed_texts(rows: DataFrame, embedder: Embedder, text: str, **params: Any) -> DataFrame:
     """``rows`` with an ``embedding`` column, without any shuffle of its own."""
-    rows = spread(rows)
     column_form = embedder.add_column(rows, text, **params)
     if column_form is not None:
         return column_form
@@ -275,6 +309,27 @@ def with_text_key(rows: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("text_key", F.sha2(F.col(text), 256))
 
 
+def distinct_texts(rows: DataFrame, text: str) -> DataFrame:
+    """One row (``text_key``, ``__text``) per key, without sorting texts.
+
+    Each task drops what it has seen before, so a text that many rows share moves
+    once per task; after the shuffle by key the same pass leaves one of each.
+    """
+    narrow = rows.select("text_key", F.col(text).alias("__text"))
+
+    def first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in batches:
+            fresh = []
+            for key in batch.column(0).to_pylist():
+                fresh.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(fresh, pa.bool_()))
+
+    once = narrow.mapInArrow(first_seen, narrow.schema)
+    return once.repartition("text_key").mapInArrow(first_seen, narrow.schema)
+
+
 def embed_once(
     rows: DataFrame,
     embedder: Embedder,
@@ -286,12 +341,12 @@ def embed_once(
     """As :func:`embed_texts` for rows with a ``text_key``, each text once.
 
     ``have`` holds (``text_key``, ``embedding``) of earlier runs; what it lacks
-    is embedded and written to the new folder ``target``. ``rows`` is read four
-    times, twice of these its keys only, so it should be a stored table. A text that many rows share is one
+    is embedded and written to the new folder ``target``. ``rows`` is read several
+    times, so it should be a stored table. A text that many rows share is one
     row until the final join, where its hot key is split.
     """
     spark = rows.sparkSession
-    missing = rows.groupBy("text_key").agg(F.any_value(text).alias("__text"))
+    missing = distinct_texts(rows, text)
     if have is not None:
         missing = missing.join(have, "text_key", "left_anti")
     new = embed_texts(missing, embedder, "__text", **params).select("text_key", "embedding")

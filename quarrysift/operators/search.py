@@ -12,13 +12,6 @@ from ..functions.globs import search_glob
 from ..functions.text import location
 from ..functions.vectors import l2_to_score, nearest
 from ..schema import RESULT_COLUMNS
-from ..session import scratch_dir
-
-#: Past this many winners the second pass joins instead of listing their paths.
-MAX_LISTED_PATHS = 2_000
-#: Past this many rows up to the end of a page, no single task may hold them.
-MAX_TASK_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class SearchSpec:
@@ -63,66 +56,27 @@ def top(chunks: DataFrame, spec: SearchSpec) -> DataFrame:
     candidates = nearest(chunks.where(filters(spec)), spec.vector, keep, shape=spec.shape)
     tie = [F.col(c) for c in ("id", "file_path") if c in candidates.columns]
     order = [F.col("distance"), *tie]
-    if keep > MAX_TASK_ROWS:
-        page = deep_page(candidates, order, spec.offset, spec.limit)
-    else:
-        page = candidates.orderBy(*order).offset(spec.offset).limit(spec.limit)
+    # Spark keeps the first rows of each task and merges them: no full sort, no shuffle.
+    page = candidates.orderBy(*order).offset(spec.offset).limit(spec.limit)
     return page.withColumn("score", l2_to_score(F.col("distance")))
 
 
-def deep_page(rows: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of the order, with no task holding them all.
-
-    The rows are sorted by range and stored. One count per stored range, a few
-    thousand numbers at most, then tells where each range starts in the whole.
-    """
-    spark = rows.sparkSession
-    folder = scratch_dir(spark, "page")
-    ordered = rows.orderBy(*order).withColumns(
-        {"__part": F.spark_partition_id(), "__seq": F.monotonically_increasing_id()}
-    )
-    ordered.write.parquet(folder)
-    stored = spark.read.schema(ordered.schema).parquet(folder)
-    sizes = stored.groupBy("__part").agg(F.count("*").alias("n"), F.min("__seq").alias("first"))
-    starts, before = [], 0
-    for part in sizes.orderBy("__part").collect():
-        starts.append((part["__part"], before - part["first"]))
-        before += part["n"]
-    shifts = spark.createDataFrame(starts, "__part int, __shift bigint")
-    place = F.col("__seq") + F.col("__shift")
-    wanted = (place >= offset) & (place < offset + limit)
-    return stored.join(shifts, "__part").where(wanted).orderBy(*order).select(*rows.columns)
-
-
 def search(chunks: DataFrame, spec: SearchSpec) -> DataFrame:
     """The six result columns, nearest first, in two passes.
 
-    The first pass reads keys and vectors only. The second reads text and lines
-    for the page's rows; their paths go into the scan as literals, so row
-    groups without any of them are skipped. At most ``MAX_LISTED_PATHS`` keys
-    pass through the driver and are broadcast; a longer page is joined.
+    The first pass reads keys and vectors only; its result, the ``limit`` keys of the
+    page, passes through the driver. The second reads text and lines for these rows: their
+    paths and languages go into the scan as literals, so row groups and folders
+    without any of them are skipped.
     """
     keys = ["id", "file_path", "language"]
     page = top(chunks.select(*keys, "embedding"), spec).select(*keys, "distance", "score")
-    if spec.limit > MAX_LISTED_PATHS:
-        winners, rest = page, chunks
-    else:
-        rows = page.collect()
-        winners = F.broadcast(chunks.sparkSession.createDataFrame(rows, page.schema))
-        if not rows:
-            return winners.select(
-                "file_path",
-                "language",
-                F.lit(None).cast("string").alias("content"),
-                F.lit(None).cast("int").alias("start_line"),
-                F.lit(None).cast("int").alias("end_line"),
-                "score",
-            )
-        rest = chunks.where(
-            F.col("file_path").isin(sorted({r["file_path"] for r in rows}))
-            & F.col("language").isin(sorted({r["language"] for r in rows}))
-        )
-    detail = rest.select(*keys, "content", "start_line", "end_line")
+    rows = page.collect()
+    winners = chunks.sparkSession.createDataFrame(rows, page.schema)
+    detail = chunks.where(
+        F.col("file_path").isin(sorted({r["file_path"] for r in rows}))
+        & F.col("language").isin(sorted({r["language"] for r in rows}))
+    ).select(*keys, "content", "start_line", "end_line")
     found = detail.join(winners, keys)
     return found.orderBy("distance", "id", "file_path").select(*RESULT_COLUMNS)
 

@@ -13,9 +13,6 @@ HOT_SHARE = 512
 # rows below the share of an ordinary shuffle partition.
 SALT_PARTS = 256
 
-# Under this many rows on the large side, skew cannot hurt.
-SMALL_ROWS = 1_000_000
-
 
 def hot_keys(rows: DataFrame, key: str, share: int = HOT_SHARE) -> list:
     """The keys that hold more than ``1/share`` of the rows: at most ``share``.
@@ -24,8 +21,6 @@ def hot_keys(rows: DataFrame, key: str, share: int = HOT_SHARE) -> list:
     the shuffle. Give it a stored table.
     """
     total = rows.count()
-    if total <= SMALL_ROWS:
-        return []
     counts = rows.groupBy(key).count()
     hot = counts.where((F.col("count") * share > total) & F.col(key).isNotNull())
     return [row[key] for row in hot.select(key).collect()]

@@ -30,9 +30,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.globs import path_glob
-from ..functions.languages import LANGUAGE_EXTENSIONS, UNMATCHABLE, language_of
+from ..functions.languages import LANGUAGE_BY_SUFFIX, UNMATCHABLE, language_of
 from ..functions.text import decoded, gutter
-from .spread import spread
 
 MATCH = T.StructType(
     [
@@ -437,7 +436,7 @@ def grep(
     ``listing`` is the same files as paths only, where reading ``files`` for
     their names would mean opening them.
     """
-    known = sorted({*LANGUAGE_EXTENSIONS, *(overrides or {}).values()})
+    known = sorted({*LANGUAGE_BY_SUFFIX.values(), *(overrides or {}).values()})
     compiled, rejected = compile_patterns(pattern, known)
 
     def chosen(rows: DataFrame, among: Mapping) -> DataFrame:
@@ -490,7 +489,7 @@ def _match_files(texts: DataFrame, compiled: dict[str, Pattern]) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return spread(texts).mapInArrow(run, ROW)
+    return texts.mapInArrow(run, ROW)
 
 
 def _dim(text: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import globs, text, vectors
@@ -254,23 +254,23 @@ def embed_letters(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""WITH t AS (SELECT conv_id, turn, text FROM conversations),
 {_embedded_sql("t", "text")}
-SELECT count(*) AS n_rows, count(DISTINCT text) AS n_embedded, round(sum(e[1]), 3) AS sum_a FROM v"""
+SELECT dim, count(*) AS n_rows, count(DISTINCT text) AS n_embedded, round(sum(e[dim + 1]), 2) AS total
+FROM v, unnest(range(26)) u(dim) GROUP BY dim"""
 )
 def embed_memo(spark: SparkSession, folder: str) -> DataFrame:
-    """Equal texts are embedded once and every row gets its vector."""
+    """Equal texts are embedded once and every row gets its vector, all 26 components."""
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     target = scratch_dir(spark, "vectors")
     done = embedding.embed_once(
         embedding.with_text_key(rows, "text"), embedding.LetterEmbedder(), "text", None, target
     )
     made = spark.read.schema(embedding.CACHE_SCHEMA).parquet(target)
-    both = done.select(
-        F.lit(1).alias("row"), F.lit(0).alias("text"), F.get("embedding", 0).alias("a")
-    ).unionByName(made.select(F.lit(0).alias("row"), F.lit(1).alias("text"), F.lit(0.0).alias("a")))
-    return both.agg(
-        F.sum("row").alias("n_rows"),
-        F.sum("text").alias("n_embedded"),
-        F.round(F.sum(F.col("a").cast("double")), 3).alias("sum_a"),
+    parts = F.posexplode(F.col("embedding").cast("array<double>")).alias("dim", "weight")
+    whole = done.select(F.lit(1).alias("row"), F.lit(0).alias("text"), parts)
+    once = made.select(F.lit(0).alias("row"), F.lit(1).alias("text"), parts).withColumn("weight", F.lit(0.0))
+    sums = whole.unionByName(once).groupBy(F.col("dim").cast("bigint").alias("dim"))
+    return sums.agg(
+        F.sum("row").alias("n_rows"), F.sum("text").alias("n_embedded"), F.round(F.sum("weight"), 2).alias("total")
     )
 
 
@@ -456,15 +456,13 @@ def status_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
 SELECT doc_id, i::INT AS line_no, regexp_replace(l[i], '\\r+$', '') AS line
-FROM l, unnest(range(1, len(l) + 1)) u(i) WHERE regexp_matches(l[i], '^The ?')"""
+FROM l, unnest(range(1, len(l) + 1)) u(i)"""
 )
 def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Numbered lines, kept where they start with a word."""
+    """Every line with its number."""
     docs = table(spark, folder, "documents")
     rows = docs.select("doc_id", F.posexplode(text.lines_of(F.col("text"))).alias("i", "line"))
-    return rows.where(F.col("line").rlike("^The ?")).select(
-        "doc_id", (F.col("i") + 1).alias("line_no"), "line"
-    )
+    return rows.select("doc_id", (F.col("i") + 1).alias("line_no"), "line")
 
 
 @query(
@@ -593,21 +591,31 @@ def chunk_search(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+    """WITH s AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents WHERE trim(text) <> ''),
 l AS (SELECT doc_id, i, l[i] AS line FROM s, unnest(range(1, len(l) + 1)) u(i)),
 h AS (SELECT *, sum(CASE WHEN regexp_matches(line, '^[A-D]') THEN 1 ELSE 0 END)
-             OVER (PARTITION BY doc_id ORDER BY i) AS section FROM l)
-SELECT doc_id, section::INT AS section, min(i)::INT AS start_line, max(i)::INT AS end_line,
-       sum(length(line))::BIGINT AS n_chars FROM h WHERE section > 0 GROUP BY doc_id, section"""
+             OVER (PARTITION BY doc_id ORDER BY i) AS section FROM l),
+g AS (SELECT doc_id, section, min(i) AS start_line, max(i) AS end_line,
+             regexp_replace(regexp_replace(string_agg(line, chr(10) ORDER BY i), '^\\s+', ''), '\\s+$', '') AS body
+      FROM h WHERE section > 0 GROUP BY doc_id, section)
+SELECT doc_id, section::INT AS section, start_line::INT AS start_line, end_line::INT AS end_line,
+       length(body)::BIGINT AS n_chars, md5(body) AS digest FROM g WHERE body <> ''
+UNION ALL
+SELECT doc_id, 1, 1, len(l)::INT, length(text)::BIGINT, md5(text) FROM s
+WHERE doc_id NOT IN (SELECT doc_id FROM g)"""
 )
 def sections(spark: SparkSession, folder: str) -> DataFrame:
-    """Sections from one header line to the next."""
-    docs = table(spark, folder, "documents")
-    spans = F.inline(chunking.section_spans(F.col("text"), "^[A-D]"))
-    size = F.aggregate(
-        "lines", F.lit(0).cast("bigint"), lambda acc, line: acc + F.length(line).cast("bigint")
+    """Section chunks of every document; one without a header is one chunk."""
+    docs = table(spark, folder, "documents").where(text.is_not_blank(F.col("text")))
+    files = docs.select(F.col("doc_id").cast("string").alias("file_path"), F.col("text").alias("content"))
+    return chunking.section_chunks(files, "^[A-D]").select(
+        F.col("file_path").cast("bigint").alias("doc_id"),
+        "section",
+        "start_line",
+        "end_line",
+        F.length("content").cast("bigint").alias("n_chars"),
+        F.md5(F.col("content").cast("binary")).alias("digest"),
     )
-    return docs.select("doc_id", spans).withColumn("n_chars", size).drop("lines")
 
 
 # Snapshots and the index
@@ -938,6 +946,153 @@ def rank_missing(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.needing_metadata(ranking.best(_merged(spark, folder)), 5)
 
 
+# Scores of which some are missing, as NULL and as NaN
+
+
+def _holed_scores(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("p_partkey") % 7
+    hole = F.when(key == 0, F.lit(None).cast("double")).when(key < 4, F.lit(float("nan")))
+    score = F.when(key < 4, hole).otherwise(F.round(F.col("p_retailprice") * 10))
+    return table(spark, folder, "part").select(
+        F.concat("p_brand", F.lit("/"), F.col("p_partkey") % 3).alias("model_name"),
+        F.concat("p_type", F.lit("-"), F.split_part("p_name", F.lit(" "), F.lit(2))).alias("task_name"),
+        score.alias("score"),
+        F.lit(True).alias("is_public"),
+    )
+
+
+SQL_HOLED = f"""
+s AS (SELECT concat(p_brand, '/', p_partkey % 3) AS model_name, concat(p_type, '-', split_part(p_name, ' ', 2)) AS task_name,
+             CASE WHEN p_partkey % 7 >= 4 THEN round(p_retailprice * 10) END AS score FROM part),
+m AS (SELECT model_name, avg(score) FILTER (task_name IN ({str(GENERAL_STAND_IN)[1:-1]})) AS score_general,
+             avg(score) FILTER (task_name IN ({str(CODE_STAND_IN)[1:-1]})) AS score_code
+      FROM s WHERE task_name IN ({str(GENERAL_STAND_IN + CODE_STAND_IN)[1:-1]}) GROUP BY model_name)"""
+
+
+@query(
+    f"""WITH {SQL_HOLED}
+SELECT row_number() OVER (ORDER BY greatest(score_general, score_code) DESC NULLS LAST, model_name)::INT AS rank,
+       model_name, round(score_general, 4) AS score_general, round(score_code, 4) AS score_code,
+       round(greatest(score_general, score_code), 4) AS max_score FROM m"""
+)
+def rank_nan(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranking where many scores are missing: they count in no mean and come last."""
+    merged = ranking.merged_scores(_holed_scores(spark, folder), GENERAL_STAND_IN, CODE_STAND_IN)
+    rows = ranking.best(merged)
+    order = Window.orderBy(F.desc_nulls_last("max_score"), "model_name")
+    return rows.select(
+        F.row_number().over(order).alias("rank"),
+        "model_name",
+        *[F.round(c, 4).alias(c) for c in ("score_general", "score_code", "max_score")],
+    )
+
+
+# Models by their real names, given to parts in turn
+
+MODEL_NAMES = [*ranking.KNOWN_ARCHITECTURES, "someone/unknown-model"]
+SQL_NAMES = f"""
+names AS (SELECT unnest({MODEL_NAMES}) AS name, unnest(range({len(MODEL_NAMES)})) AS i),
+size AS (SELECT unnest({list(ranking.KNOWN_SIZES)}) AS name, unnest({list(ranking.KNOWN_SIZES.values())})::DOUBLE AS size_mb),
+kind AS (SELECT unnest({list(ranking.KNOWN_ARCHITECTURES)}) AS name, unnest({list(ranking.KNOWN_ARCHITECTURES.values())}) AS architecture)"""
+
+
+def _named(spark: SparkSession, folder: str) -> DataFrame:
+    place = (F.col("p_partkey") % len(MODEL_NAMES)).cast("int")
+    return table(spark, folder, "part").withColumn("model_name", F.get(F.array(*map(F.lit, MODEL_NAMES)), place))
+
+
+@query(
+    f"""WITH {SQL_NAMES}
+SELECT p_partkey, names.name AS model_name, size_mb, coalesce(architecture, 'Unknown') AS architecture,
+       CASE WHEN size_mb IS NULL THEN 'Unknown' ELSE {SQL_TIER} END AS tier,
+       CASE WHEN architecture = 'Cloud API' THEN 'Cloud' WHEN architecture = 'Decoder' THEN 'Slow (Decoder)'
+            WHEN architecture IS NULL THEN 'Unknown' WHEN size_mb IS NULL THEN 'Fast (Encoder)'
+            WHEN size_mb < 50 THEN 'Very Fast' WHEN size_mb < 200 THEN 'Fast' ELSE 'Moderate' END AS cpu_speed
+FROM part JOIN names ON i = p_partkey % {len(MODEL_NAMES)} LEFT JOIN size ON size.name = names.name
+LEFT JOIN kind ON kind.name = names.name"""
+)
+def rank_known(spark: SparkSession, folder: str) -> DataFrame:
+    """Size, architecture, tier and speed of models in the known tables."""
+    rows = ranking.with_lookups(_named(spark, folder).select("p_partkey", "model_name"))
+    return rows.select("p_partkey", "model_name", "size_mb", "architecture", "tier", "cpu_speed")
+
+
+@query(
+    f"""WITH {SQL_NAMES},
+m AS (SELECT names.name, avg(round(p_retailprice * 10)) FILTER (p_type = 'SMALL') AS g,
+             avg(round(p_retailprice * 10)) FILTER (p_type = 'ECONOMY') AS c
+      FROM part JOIN names ON i = p_partkey % {len(MODEL_NAMES)} WHERE p_partkey % 4 <> 1 GROUP BY 1),
+f AS (SELECT unnest({ranking.FAMILY}) AS name, unnest(range({len(ranking.FAMILY)})) AS position)
+SELECT position::INT AS position, f.name AS model_name, coalesce(printf('%.4f', c), 'N/A') AS code_score,
+       coalesce(printf('%.4f', g), 'N/A') AS general_score, size_mb
+FROM f LEFT JOIN m ON m.name = f.name LEFT JOIN size ON size.name = f.name"""
+)
+def rank_family(spark: SparkSession, folder: str) -> DataFrame:
+    """The fixed family, with scores or without."""
+    scores = _named(spark, folder).where("p_partkey % 4 <> 1").select(
+        "model_name",
+        F.col("p_type").alias("task_name"),
+        F.round(F.col("p_retailprice") * 10).alias("score"),
+        F.lit(True).alias("is_public"),
+    )
+    merged = ranking.merged_scores(scores, ["SMALL"], ["ECONOMY"])
+    return ranking.family(merged).select("position", "model_name", "code_score", "general_score", "size_mb")
+
+
+PARAM_MODELS = [
+    "nomic-ai/CodeRankEmbed", "nomic-ai/nomic-embed-text-v1.5", "nomic-ai/nomic-embed-text-v1x",
+    "Snowflake/snowflake-arctic-embed-xs", "Snowflake/snowflake-arctic-embed-", "cohere/embed-english-light-v3.0",
+    "voyage/voyage-code-3", "gemini/text-embedding-004", "nvidia_nim/nvidia/nv-embed", "other/model",
+]
+
+
+def _params_sql(side: int) -> str:
+    def text(pairs: dict) -> str:
+        return "'" + ",".join(f"{k}={v}" for k, v in pairs.items()) + "'"
+
+    cases = [
+        f"WHEN provider = '{e[0]}' AND regexp_full_match(model, '{e[1]}') THEN {text(e[side])}"
+        for e in embedding.RECOMMENDED_PARAMS
+    ]
+    return f"CASE {' '.join(cases)} END"
+
+
+@query(
+    f"""WITH n AS (SELECT unnest({PARAM_MODELS}) AS model, unnest(range({len(PARAM_MODELS)})) AS i),
+r AS (SELECT p_partkey, model, CASE WHEN p_size % 2 = 0 THEN 'litellm' ELSE 'sentence-transformers' END AS provider
+      FROM part JOIN n ON i = p_partkey % {len(PARAM_MODELS)})
+SELECT p_partkey, provider, model, {_params_sql(2)} AS indexing, {_params_sql(3)} AS query FROM r"""
+)
+def embed_defaults(spark: SparkSession, folder: str) -> DataFrame:
+    """Recommended parameters of models as columns."""
+    place = (F.col("p_partkey") % len(PARAM_MODELS)).cast("int")
+    rows = table(spark, folder, "part").select(
+        "p_partkey",
+        F.get(F.array(*map(F.lit, PARAM_MODELS)), place).alias("model"),
+        F.when(F.col("p_size") % 2 == 0, "litellm").otherwise("sentence-transformers").alias("provider"),
+    )
+
+    def shown(side: str) -> Column:
+        found = embedding.recommended_column(F.col("provider"), F.col("model"), side)
+        pairs = F.transform(F.map_entries(found), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+        return F.array_join(pairs, ",").alias(side)
+
+    return rows.select("p_partkey", "provider", "model", shown("indexing"), shown("query"))
+
+
+@query(
+    """SELECT CASE WHEN e.vec_id % 3 = 0 THEN 'missing' WHEN e.vec_id % 3 = 1 THEN 'short' ELSE 'whole' END AS kind,
+count(*) AS n, count(*) FILTER (e.vec_id % 3 < 2) AS without_distance FROM embeddings e GROUP BY 1"""
+)
+def knn_null_guard(spark: SparkSession, folder: str) -> DataFrame:
+    """How many stored vectors have no distance to the query, by what is wrong with them."""
+    kind = F.when(F.col("vec_id") % 3 == 0, "missing").when(F.col("vec_id") % 3 == 1, "short").otherwise("whole")
+    broken = F.when(kind == "whole", F.col("embedding")).when(kind == "short", F.slice("embedding", 1, 5))
+    wanted = F.array(*map(F.lit, first_vector(spark, folder)))
+    rows = table(spark, folder, "embeddings").select(kind.alias("kind"), vectors.l2_distance(broken, wanted).alias("d"))
+    return rows.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(F.col("d").isNull()).alias("without_distance"))
+
+
 # Labels and small conversions as columns
 
 

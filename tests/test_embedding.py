@@ -60,8 +60,7 @@ def test_each_text_is_embedded_once(spark):
     assert spark.read.parquet(second).count() == 1
 
 
-def test_hot_keys_are_split_without_losing_rows(spark, monkeypatch):
-    monkeypatch.setattr(skew, "SMALL_ROWS", 10)
+def test_hot_keys_are_split_without_losing_rows(spark):
     rows = spark.range(9000).select(
         "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("bigint").alias("k")
     )
@@ -87,7 +86,7 @@ def test_hot_keys_are_split_without_losing_rows(spark, monkeypatch):
     ],
 )
 def test_retry_delay(spark, message, attempt, delay):
-    assert emb.retry_delay(message, attempt) == (None if delay is None else pytest.approx(delay))
+    assert emb.pause_before_retry(message, attempt) == (None if delay is None else pytest.approx(delay))
     row = spark.range(1).select(rate_limit_delay(F.lit(message), F.lit(attempt))).first()[0]
     assert row == (None if delay is None else pytest.approx(delay))
 
@@ -129,12 +128,12 @@ def test_params():
     assert known("litellm", "nomic-ai/CodeRankEmbed") == (None, None)
     assert known("sentence-transformers", "xnomic-ai/CodeRankEmbed") == (None, None)
     legacy = emb.resolve_params("sentence-transformers", "nomic-ai/CodeRankEmbed")
-    assert legacy.query == {"prompt_name": "query"} and legacy.bridged
+    assert legacy.query == {"prompt_name": "query"} and legacy.by_habit
     opted_out = emb.resolve_params("sentence-transformers", "nomic-ai/CodeRankEmbed", None, {})
-    assert opted_out.query == {} and not opted_out.bridged
-    with pytest.raises(ValueError, match="unknown key"):
+    assert opted_out.query == {} and not opted_out.by_habit
+    with pytest.raises(ValueError, match="is not one that litellm takes"):
         emb.resolve_params("litellm", "m", {"prompt_name": "x"})
-    with pytest.raises(ValueError, match="Unknown provider"):
+    with pytest.raises(ValueError, match="no embedding provider"):
         emb.resolve_params("nope", "m")
     assert isinstance(emb.create_embedder("hash", "hash-64"), emb.HashEmbedder)
     assert emb.create_embedder("x", "sbert/abc").model == "abc"

@@ -84,8 +84,7 @@ def test_exact_against_brute_force(spark):
         assert np.allclose([r["distance"] for r in found], distance[wanted])
 
 
-def test_deep_pages(spark, monkeypatch):
-    monkeypatch.setattr("quarrysift.operators.search.MAX_TASK_ROWS", 100)
+def test_deep_pages(spark):
     rows = spark.range(5000).select(
         "id",
         F.concat(F.lit("p"), "id").alias("file_path"),

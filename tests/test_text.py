@@ -3,7 +3,7 @@ from pathlib import PurePath
 from pyspark.sql import functions as F
 
 from quarrysift.functions import text
-from quarrysift.functions.languages import detect, language_of
+from quarrysift.functions.languages import LANGUAGE_BY_SUFFIX, language_of
 
 
 def values(spark, rows, column):
@@ -47,4 +47,4 @@ def test_languages(spark):
     assert found == ["python", "php", "text", "text", "text"]
     found = values(spark, rows, lambda c: language_of(c, fallback=None))
     assert found == ["python", None, None, None, None]
-    assert detect(".hh") == "cpp" and detect("") is None
+    assert LANGUAGE_BY_SUFFIX[".hh"] == "cpp" and "" not in LANGUAGE_BY_SUFFIX
