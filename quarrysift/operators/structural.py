@@ -175,6 +175,9 @@ class Element:
     inner: tuple["Element", ...] = ()
 
 
+#: Most nodes, runs and containments of one pattern: the search goes as deep.
+MAX_PARTS = 200
+
 _SIGIL = re.compile(
     r"\\\((?P<run>[A-Za-z_]\w*)?\*\\\)|\\(?P<any_run>\*)|\\(?P<node>[A-Za-z_]\w*)"
     r"|\\(?P<into>\{\{)|\\(?P<out>\}\})|(?P<bad>\\)"
@@ -189,8 +192,10 @@ class Pattern:
             raise ValueError(f"structural matching does not support {language}")
         self.language = language
         self.words: set[str] = set()
-        self._names: list[str] = []
+        names: list[tuple[int, str]] = []
         levels: list[list[Element]] = [[]]
+        # The containment that each level belongs to; 0 is outside of all.
+        inside, parts = [0], 0
         brackets: list[str] = []
         at = 0
         for found in [*_SIGIL.finditer(source), None]:
@@ -200,32 +205,43 @@ class Pattern:
                 break
             at = found.end()
             kind = found.lastgroup
+            parts += 1
             if kind == "bad":
                 raise ValueError(f"stray backslash at offset {found.start()}")
             if kind == "into":
                 levels.append([])
+                inside.append(parts)
                 brackets.append("{{")
             elif kind == "out":
                 if len(levels) == 1 or brackets.pop() != "{{":
                     raise ValueError(r"unbalanced \}}")
                 inner = levels.pop()
+                inside.pop()
                 if not inner:
                     raise ValueError(r"empty \{{ \}}")
                 levels[-1].append(Element("contain", inner=tuple(inner)))
             elif kind == "node":
                 name = "" if found["node"] == "_" else found["node"]
                 levels[-1].append(Element("node", name))
-                self._names.append(name)
+                names.append((inside[-1], name))
             else:
                 levels[-1].append(Element("run", found["run"] or ""))
-                self._names.append(found["run"] or "")
+                names.append((inside[-1], found["run"] or ""))
         if brackets:
             raise ValueError(f"unbalanced {brackets[-1]} in the pattern")
         self.elements = tuple(levels[0])
         if not self.elements:
             raise ValueError("the pattern is empty")
-        names = [n for n in self._names if n]
-        self._repeats = len(names) != len(set(names))
+        if parts > MAX_PARTS:
+            raise ValueError(f"the pattern has more than {MAX_PARTS} parts")
+        places: dict[str, set[int]] = {}
+        for place, name in names:
+            places.setdefault(name, set()).add(place)
+        for name, found_in in places.items():
+            if name and len(found_in) > 1:
+                raise ValueError(rf"\{name} stands on both sides of a \{{{{ \}}}}")
+        used = [name for _, name in names if name]
+        self._repeated = tuple(sorted({name for name in used if used.count(name) > 1}))
 
     def _literal(self, source: str, into: list[Element], brackets: list[str]) -> None:
         for found in _lexer(self.language).finditer(source):
@@ -243,21 +259,21 @@ class Pattern:
 
     def find(self, tokens: Tokens) -> list[tuple[int, int, dict[str, tuple[int, int]]]]:
         """(first token, end token, captures) of every match, in source order."""
-        return _Finder(tokens, self._repeats).all(self.elements)
+        return _Finder(tokens, self._repeated).all(self.elements)
 
 
 class _Finder:
     """The search for one pattern in one text.
 
-    Unless a name is repeated, whether elements match at a token does not
-    depend on what was captured before, so every failure is remembered and no
-    token is scanned again for the same element.
+    Whether elements match at a token depends only on what the repeated names hold
+    so far. Every failure is remembered together with that, and no token is scanned
+    again for the same element.
     """
 
-    def __init__(self, tokens: Tokens, repeats: bool) -> None:
+    def __init__(self, tokens: Tokens, repeated: tuple[str, ...]) -> None:
         self.tokens = tokens
-        self.repeats = repeats
-        self.failed: set[tuple[int, int, int]] = set()
+        self.repeated = repeated
+        self.failed: set[tuple] = set()
         self.inner: dict[int, list] = {}
 
     def all(self, elements) -> list[tuple[int, int, dict[str, tuple[int, int]]]]:
@@ -275,18 +291,22 @@ class _Finder:
 
     def match(self, elements, p: int, i: int, captures: dict) -> int:
         """End of the first match of ``elements[p:]`` at ``i``, or -1."""
+        tokens = self.tokens
+        while p < len(elements) and elements[p].kind == "literal":
+            if i >= len(tokens.text) or tokens.text[i] != elements[p].value:
+                return -1
+            p, i = p + 1, i + 1
         if p == len(elements):
             return i
-        step, tokens = elements[p], self.tokens
-        if step.kind == "literal":
-            if i < len(tokens.text) and tokens.text[i] == step.value:
-                return self.match(elements, p + 1, i + 1, captures)
-            return -1
-        if (id(elements), p, i) in self.failed:
+        step = elements[p]
+        held = tuple(captures.get(name) for name in self.repeated)
+        if (id(elements), p, i, held) in self.failed:
             return -1
+        # What a run without a repeated name can reach does not depend on where it starts.
+        free = step.kind == "run" and step.value not in self.repeated
         tried = []
         for stop in self.stops(step, i, captures):
-            if step.kind == "run" and stop > i and (id(elements), p, stop) in self.failed:
+            if free and stop > i and (id(elements), p, stop, held) in self.failed:
                 # An earlier run passed here and found nothing further on.
                 break
             tried.append(stop)
@@ -301,10 +321,9 @@ class _Finder:
                 return end
             if step.value and before is None:
                 del captures[step.value]
-        if not self.repeats:
-            self.failed.add((id(elements), p, i))
-            if step.kind == "run":
-                self.failed.update((id(elements), p, stop) for stop in tried)
+        self.failed.add((id(elements), p, i, held))
+        if free:
+            self.failed.update((id(elements), p, stop, held) for stop in tried)
         return -1
 
     def stops(self, step: Element, i: int, captures: dict):

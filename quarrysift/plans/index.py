@@ -4,8 +4,8 @@ A refresh never rewrites what is stored. It adds one run: the chunks of new and
 changed files, and the paths whose older chunks no longer count. A manifest,
 written last and only if no other writer came first, names the runs that make
 up the snapshot. Readers take the newest manifest, so a search during a refresh
-sees the index as it was, and a refresh that dies leaves nothing visible. The
-cost of a refresh follows the change, not the index.
+sees the index as it was, and a refresh that dies leaves nothing visible. Nothing
+is merged or removed until :meth:`Index.compact` is called.
 
     manifests/00000003.json           what snapshot 3 consists of
     chunks/run=00000003-x/language=y/ rows added by that run
@@ -30,20 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.languages import language_of
+from ..functions.text import ancestor_dirs, parent_dir
 from ..operators import chunking, embedding, stats
 from ..operators.diff import diff
 from ..operators.search import SearchSpec, search
-from ..schema import FILE_STATE, INDEX_ROW
+from ..schema import FILE, FILE_STATE, INDEX_ROW
 from ..sources.storage import Storage
 from ..sources.tree import read_files
 
-#: Runs in a snapshot before they are merged into one.
-MAX_RUNS = 24
-#: Share of files with void rows before runs are merged.
-MAX_GONE_SHARE = 0.3
-#: Snapshots that stay readable. A refresh adds at most two.
-KEPT_SNAPSHOTS = 3
-
 COUNTERS = [
     "num_execution_starts",
     "num_adds",
@@ -54,8 +48,9 @@ COUNTERS = [
 ]
 
 Progress = Callable[[dict[str, int]], None]
-#: Gives the files at some paths, or all of them, with their content.
-Reader = Callable[[DataFrame | None], DataFrame]
+#: Gives the files at some paths, or all of them, with their content. A second reading of
+#: files that may have changed or gone meanwhile is stored in the folder it is given.
+Reader = Callable[[DataFrame | None, str], DataFrame]
 
 _locks: dict[str, threading.Lock] = {}
 _locks_guard = threading.Lock()
@@ -174,41 +169,62 @@ class Index:
         """Bring the index in line with a file table and give the counters.
 
         ``files`` has the columns of :data:`quarrysift.schema.FILE`, one row per
-        path. It is read twice: once for fingerprints, once for the files that
-        need work. A file whose size and time (if it has one) are those of the
-        last refresh is taken as unchanged without hashing its text.
+        path. It is read once for fingerprints, which are made in the scan, so that no text moves to
+        be compared, and once for the files that need work. A file whose size and time (if it has
+        one) are those of the last refresh is taken as unchanged.
         ``progress`` gets the counters before the work on texts begins.
         """
-        return self._refresh(files, lambda paths: _only(files, paths), progress)
+        with self._lock:
+            manifest = self.manifest()
+            current = _marked(files)
+            if manifest is not None and manifest.logic == self.logic():
+                known = self.state(manifest).where("mtime_us IS NOT NULL")
+                known = known.withColumnRenamed("fingerprint", "kept")
+                current = current.join(known, ["file_path", "length", "mtime_us"], "left").select(
+                    "file_path", F.coalesce("kept", "fingerprint").alias("fingerprint"), "length", "mtime_us"
+                )
+            return self._apply(manifest, current, lambda paths, _: _only(files, paths), progress)
 
     def refresh_tree(
-        self, listing: DataFrame, base: str, progress: Progress | None = None
+        self,
+        listing: DataFrame,
+        base: str,
+        progress: Progress | None = None,
+        unlisted: DataFrame | None = None,
     ) -> dict[str, int]:
-        """As :meth:`refresh` for a listed directory tree; unchanged files are not opened."""
-        return self._refresh(
-            listing, lambda paths: read_files(_only(listing, paths), base), progress
-        )
+        """As :meth:`refresh` for a listed directory tree; unchanged files are not opened.
 
-    def _refresh(self, listing: DataFrame, read: Reader, progress: Progress | None):
+        ``unlisted`` has the directories (``file_path``) that could not be listed: what the index holds
+        of files below them stays, and each of these files counts as an error.
+        """
         with self._lock:
             manifest = self.manifest()
-            if manifest is None or manifest.logic != self.logic():
-                same, suspects = None, None
-            else:
+            rows, same = listing, None
+            if manifest is not None and manifest.logic == self.logic():
                 marks = ["file_path", "length", "mtime_us"]
                 known = self.state(manifest)
                 same = known.join(listing.select(*marks), marks, "left_semi")
-                suspects = listing.select(*marks).join(known.select(*marks), marks, "left_anti")
-                suspects = suspects.select("file_path")
-            current = read(suspects).select(
-                "file_path",
-                F.when(F.col("error").isNull(), F.sha2("content", 256)).alias("fingerprint"),
-                "length",
-                "mtime_us",
-            )
+                rows = listing.join(known.select(*marks), marks, "left_anti")
+            current = _marked(read_files(rows, base))
             if same is not None:
                 current = current.unionByName(same)
-            return self._apply(manifest, current, read, progress)
+            if unlisted is not None and manifest is not None:
+                current = current.unionByName(self._below(manifest, unlisted))
+
+            def read(paths: DataFrame | None, folder: str) -> DataFrame:
+                # What was read is kept, so that fingerprint and chunks come from the same bytes.
+                read_files(_only(listing, paths), base).write.parquet(folder)
+                return self.spark.read.schema(FILE).parquet(folder)
+
+            return self._apply(manifest, current, read, progress, reread=True)
+
+    def _below(self, manifest: Manifest, unlisted: DataFrame) -> DataFrame:
+        """Rows without fingerprint for the indexed files below directories that could not be listed."""
+        above = F.explode(ancestor_dirs(parent_dir(F.col("file_path")))).alias("dir")
+        held = self.state(manifest).select("file_path", "length", "mtime_us", above)
+        lost = held.join(unlisted.select(F.col("file_path").alias("dir")), "dir", "left_semi")
+        lost = lost.select("file_path", "length", "mtime_us").distinct()
+        return lost.withColumn("fingerprint", F.lit(None).cast("string"))
 
     def _apply(
         self,
@@ -216,13 +232,30 @@ class Index:
         current: DataFrame,
         read: Reader,
         progress: Progress | None = None,
+        reread: bool = False,
+    ) -> dict[str, int]:
+        try:
+            run = uuid.uuid4().hex[:8]
+            return self._staged(manifest, current, read, progress, reread, run)
+        finally:
+            # Whatever a refresh needed on its way goes, also when it fails.
+            self.storage.delete(f"staging/run={run}")
+
+    def _staged(
+        self,
+        manifest: Manifest | None,
+        current: DataFrame,
+        read: Reader,
+        progress: Progress | None,
+        reread: bool,
+        token: str,
     ) -> dict[str, int]:
         logic = self.logic()
         base = manifest or Manifest()
         rebuild = manifest is None or base.logic != logic
         version = base.version + 1
-        run = f"{version:08d}-{uuid.uuid4().hex[:8]}"
-        staged = f"{self.location}/staging/run={run}"
+        run = f"{version:08d}-{token}"
+        staged = f"{self.location}/staging/run={token}"
 
         # Small columns only. Everything after this reads the stored copy.
         current.write.parquet(f"{staged}/current")
@@ -245,7 +278,6 @@ class Index:
             progress(dict(counters))
         touched = counters["num_adds"] + counters["num_reprocesses"] + counters["num_deletes"]
         if manifest is not None and not rebuild and not touched:
-            self.storage.delete(f"staging/run={run}")
             return counters
 
         todo = actions.where("action IN ('add', 'reprocess')").select("file_path")
@@ -263,7 +295,9 @@ class Index:
                 )
             if not dim:
                 raise RuntimeError(f"embedder {self.embedder.name} failed: {problem}")
-            files = read(None if everything else todo)
+            files = read(None if everything else todo, f"{staged}/files")
+            if reread:
+                now, actions = self._after_reading(files, now, actions, counters)
             vectors = self._write_chunks(files, run, dim, new.vectors, staged)
             new = replace(new, runs=[*new.runs, run], dim=dim, vectors=vectors)
         void = counters["num_reprocesses"] + counters["num_deletes"]
@@ -279,11 +313,29 @@ class Index:
         state.write.parquet(*self._folders("state", [run]))
         listed = counters["num_execution_starts"]
         self._commit(replace(new, n_files=listed))
-        self.storage.delete(f"staging/run={run}")
-        if len(new.runs) > MAX_RUNS or new.n_gone > MAX_GONE_SHARE * max(1, listed):
-            self._compact()
         return counters
 
+    def _after_reading(
+        self, files: DataFrame, now: DataFrame, actions: DataFrame, counters: dict[str, int]
+    ) -> tuple[DataFrame, DataFrame]:
+        """Fingerprints and actions after the second reading of files.
+
+        The fingerprint is that of the bytes the chunks come from. A file that could not be read
+        this time is an error, keeps its earlier rows and is tried again by the next refresh.
+        """
+        again = _marked(files).select("file_path", F.col("fingerprint").alias("f"), F.lit(True).alias("again"))
+        now = now.join(again, "file_path", "left").select(
+            "file_path", F.when(F.col("again"), F.col("f")).otherwise(F.col("fingerprint")).alias("fingerprint"), "length", "mtime_us"
+        )
+        lost = files.where("error IS NOT NULL").select("file_path", F.lit(True).alias("lost"))
+        judged = actions.join(lost, "file_path", "left")
+        for row in judged.where("lost").groupBy("action").count().collect():
+            name = {"add": "num_adds", "reprocess": "num_reprocesses"}[row["action"]]
+            counters[name] -= row["count"]
+            counters["num_errors"] += row["count"]
+        action = F.when(F.col("lost"), "error").otherwise(F.col("action"))
+        return now, judged.withColumn("action", action).drop("lost")
+
     def _write_chunks(
         self, files: DataFrame, run: str, dim: int, vectors: list[str], staged: str
     ) -> list[str]:
@@ -298,6 +350,8 @@ class Index:
             F.col("end.line").alias("end_line"),
             "language",
         )
+        if not self.embedder.memo:
+            rows = _ranged(rows)
         if self.embedder.memo:
             rows = embedding.with_text_key(rows, "content")
             rows.write.parquet(f"{staged}/chunks")
@@ -314,18 +368,21 @@ class Index:
         checked = F.when(F.size("embedding") == dim, F.col("embedding")).otherwise(
             wrong.cast("array<float>")
         )
-        self._write_run(rows.withColumn("embedding", checked), run)
+        rows = rows.withColumn("embedding", checked)
+        if self.embedder.memo:
+            # Vectors are stored: finding the ranges asks no model again.
+            rows = _ranged(rows)
+        self._write_run(rows, run)
         return vectors
 
     def _write_run(self, rows: DataFrame, run: str) -> None:
-        """Write rows by language, sorted by path so that scans can skip row groups.
+        """Write rows by language, sorted by path so that scans can skip files and row groups.
 
-        ``rebalance`` keeps a language together without giving a common one to
-        a single task: AQE splits what is too large.
+        Rows come in ranges of language and path (see :func:`_ranged`), so each file of
+        a large language holds a short range of paths.
         """
         (
-            rows.hint("rebalance", "language")
-            .sortWithinPartitions("language", "file_path")
+            rows.sortWithinPartitions("language", "file_path")
             .write.partitionBy("language")
             .parquet(*self._folders("chunks", [run]))
         )
@@ -336,12 +393,15 @@ class Index:
             self.storage.create(name, json.dumps(asdict(manifest)))
         except FileExistsError as exc:
             raise RuntimeError(f"another refresh of {self.location} finished first") from exc
-        self._clean()
 
     def compact(self) -> None:
-        """Merge all runs of the snapshot into one and drop void rows."""
+        """Merge all runs of the snapshot into one, then remove older snapshots and what they used.
+
+        Readers of an older snapshot must be done.
+        """
         with self._lock:
             self._compact()
+            self._clean()
 
     def _compact(self) -> None:
         manifest = self.manifest()
@@ -349,7 +409,7 @@ class Index:
             return
         version = manifest.version + 1
         run = f"{version:08d}-{uuid.uuid4().hex[:8]}"
-        self._write_run(self.chunks(manifest), run)
+        self._write_run(_ranged(self.chunks(manifest)), run)
         vectors = manifest.vectors
         if len(vectors) > 1:
             self._vectors(vectors).hint("rebalance").write.parquet(*self._folders("vectors", [run]))
@@ -364,24 +424,19 @@ class Index:
         )
 
     def _clean(self) -> None:
-        """Remove runs that none of the newest snapshots uses, for readers still at work."""
-        names = [n for n in self.storage.names("manifests") if re.fullmatch(r"\d+\.json", n)]
-        kept = [Manifest(**json.loads(self.storage.read(f"manifests/{n}"))) for n in names[-KEPT_SNAPSHOTS:]]
-        newest = f"{kept[-1].version:08d}"
-        used = {
-            "chunks": {r for m in kept for r in m.runs},
-            "gone": {r for m in kept for r in m.gone},
-            "vectors": {r for m in kept for r in m.vectors},
-            "state": {m.state for m in kept},
-        }
+        """Remove manifests, runs and leftovers that the newest snapshot does not use."""
+        newest = self.manifest()
+        if newest is None:
+            return
+        used = {"chunks": newest.runs, "gone": newest.gone, "vectors": newest.vectors, "state": [newest.state]}
         for kind, runs in used.items():
             for name in self.storage.names(kind):
-                run = name.removeprefix("run=")
-                # A higher number belongs to a refresh that is still running.
-                if run not in runs and run[:8] <= newest:
+                if name.removeprefix("run=") not in runs:
                     self.storage.delete(f"{kind}/{name}")
-        for name in names[:-KEPT_SNAPSHOTS]:
-            self.storage.delete(f"manifests/{name}")
+        for name in self.storage.names("manifests"):
+            if re.fullmatch(r"\d+\.json", name) and name != f"{newest.version:08d}.json":
+                self.storage.delete(f"manifests/{name}")
+        self.storage.delete("staging")
 
     # Queries
 
@@ -426,6 +481,21 @@ def _number(run: Column) -> Column:
     return F.substring(run, 1, 8).cast("int")
 
 
+def _marked(files: DataFrame) -> DataFrame:
+    """Fingerprints of files, made where their content is read; unreadable ones have none."""
+    return files.select(
+        "file_path",
+        F.when(F.col("error").isNull(), F.sha2("content", 256)).alias("fingerprint"),
+        "length",
+        "mtime_us",
+    )
+
+
+def _ranged(rows: DataFrame) -> DataFrame:
+    """Rows in ranges of language and path; a common language is split into many of them."""
+    return rows.repartitionByRange("language", "file_path")
+
+
 def _only(rows: DataFrame, paths: DataFrame | None) -> DataFrame:
     return rows if paths is None else rows.join(paths, "file_path", "left_semi")
 

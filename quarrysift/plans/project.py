@@ -72,7 +72,7 @@ class Project:
         self.index.overrides = dict(rules.language_overrides)
         found = walk(self.spark, str(self.root), rules.selection())
         try:
-            return self.index.refresh_tree(found.files, str(self.root), progress)
+            return self.index.refresh_tree(found.files, str(self.root), progress, found.unlisted)
         finally:
             found.release()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -34,16 +35,17 @@ class Storage:
             stream.close()
 
     def create(self, name: str, text: str) -> None:
-        """Write a small new file; fails when ``name`` exists already."""
-        draft = f"{name}.draft-{self._jvm.java.util.UUID.randomUUID().toString()}"
-        stream = self._fs.create(self._path(draft), False)
+        """Write a small new file; of two writers of one name the store refuses the second."""
+        try:
+            stream = self._fs.create(self._path(name), False)
+        except Py4JJavaError as exc:
+            if "FileAlreadyExists" in str(exc.java_exception):
+                raise FileExistsError(f"{self.location}/{name}") from exc
+            raise
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        if self.exists(name) or not self._fs.rename(self._path(draft), self._path(name)):
-            self._fs.delete(self._path(draft), False)
-            raise FileExistsError(f"{self.location}/{name}")
 
     def delete(self, name: str = "") -> bool:
         return self._fs.delete(self._path(name), True)

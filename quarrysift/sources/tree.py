@@ -41,10 +41,12 @@ def _ignore_text(base: str, directory: str) -> str | None:
     path = os.path.join(base, directory, IGNORE_FILE)
     if not os.path.isfile(path):
         return None
+    with open(path, "rb") as file:
+        raw = file.read()
     try:
-        with open(path, encoding="utf-8") as file:
-            return file.read()
-    except (OSError, UnicodeDecodeError):
+        return raw.decode()
+    except UnicodeDecodeError:
+        # What is not text holds no rules.
         return ""
 
 
@@ -65,16 +67,20 @@ def _require(base: str) -> None:
 def _children(base: str, directory: str, rule_dirs: list[str], selection: Selection):
     """Rows for what one directory holds."""
     chain_dirs = list(rule_dirs)
-    if _ignore_text(base, directory) is not None:
-        chain_dirs.append(directory)
-        yield "rules", directory, None, None, None
     chain = []
-    if selection.ignore_files:
-        chain = [(d, _ignore_text(base, d) or "") for d in chain_dirs]
     try:
+        # A directory without its rules would let ignored files in.
+        has_rules = _ignore_text(base, directory) is not None
+        if has_rules:
+            chain_dirs.append(directory)
+        if selection.ignore_files:
+            chain = [(d, _ignore_text(base, d) or "") for d in chain_dirs]
         entries = os.scandir(os.path.join(base, directory))
     except OSError:
+        yield "error", directory, None, None, None
         return
+    if has_rules:
+        yield "rules", directory, None, None, None
     with entries:
         for entry in entries:
             path = f"{directory}/{entry.name}" if directory else entry.name
@@ -99,11 +105,13 @@ def _children(base: str, directory: str, rule_dirs: list[str], selection: Select
 class Walk:
     """A finished listing: the files, and the directories with an ignore file.
 
-    Both read what was written under ``folder``; call :meth:`release` when done.
+    ``unlisted`` has the directories that could not be listed or whose ignore file could not
+    be read. All read what was written under ``folder``; call :meth:`release` when done.
     """
 
     files: DataFrame
     rule_dirs: DataFrame
+    unlisted: DataFrame
     folder: str
 
     def release(self) -> None:
@@ -176,6 +184,7 @@ def walk(spark: SparkSession, base: str, selection: Selection, start: str = "")
     return Walk(
         found.where("kind = 'file'").select(*LISTING.names),
         found.where("kind = 'rules'").select("file_path"),
+        found.where("kind = 'error'").select("file_path"),
         target,
     )
 

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from test_embedding import Counting
 
 from quarrysift.operators.embedding import LetterEmbedder
+from quarrysift.plans import index as index_module
 from quarrysift.plans.index import Index
 from quarrysift.plans.project import Project, describe_counters
-from quarrysift.sources import corpus, settings
+from quarrysift.sources import corpus, settings, tree
 from quarrysift.sources.selection import Selection
 from quarrysift.sources.tree import walk
 from quarrysift.streaming.refresh import notices, refresh_on
@@ -91,6 +92,49 @@ def test_unreadable_files_keep_their_rows(spark, tmp_path):
     assert contents(index)["b.py", "python"] == "x"
 
 
+def test_a_file_that_vanishes_between_readings(spark, tmp_path, monkeypatch):
+    root = tmp_path / "tree"
+    write_tree(root, {"a.py": "alpha", "b.py": "beta", "deep/c.py": "gamma"})
+    index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
+
+    def refresh():
+        found = walk(spark, str(root), Selection())
+        return nonzero(index.refresh_tree(found.files, str(root), None, found.unlisted))
+
+    real, calls = index_module.read_files, []
+
+    def second_reading_fails(listing, base):
+        calls.append(1)
+        rows = real(listing, base)
+        if len(calls) < 2:
+            return rows
+        lost = F.col("file_path") == "a.py"
+        return rows.withColumns({"error": F.when(lost, "gone"), "content": F.when(~lost, F.col("content"))})
+
+    monkeypatch.setattr(index_module, "read_files", second_reading_fails)
+    assert refresh() == {"execution_starts": 3, "adds": 2, "errors": 1}
+    assert {k for k, _ in contents(index)} == {"b.py", "deep/c.py"}
+    monkeypatch.setattr(index_module, "read_files", real)
+    assert refresh() == {"execution_starts": 3, "adds": 1, "unchanged": 2}
+    assert {k for k, _ in contents(index)} == {"a.py", "b.py", "deep/c.py"}
+    assert not (tmp_path / "i" / "staging").exists() or not os.listdir(tmp_path / "i" / "staging")
+
+    # A directory that cannot be listed keeps its rows.
+    unlisted = spark.createDataFrame([("deep",)], "file_path string")
+    listing = walk(spark, str(root), Selection()).files.where("file_path NOT LIKE 'deep/%'")
+    assert nonzero(index.refresh_tree(listing, str(root), None, unlisted)) == {
+        "execution_starts": 3, "unchanged": 2, "errors": 1,
+    }
+    assert ("deep/c.py", "python") in contents(index)
+    assert refresh() == {"execution_starts": 3, "unchanged": 3}
+
+
+def test_unlistable_directory_is_an_error(tmp_path, monkeypatch):
+    write_tree(tmp_path, {"a.py": "x"})
+    monkeypatch.setattr(os, "scandir", lambda path: (_ for _ in ()).throw(PermissionError(path)))
+    assert [r[0] for r in tree._children(str(tmp_path), "", [], Selection())] == ["error"]
+
+
 def test_a_path_may_occur_once(spark, tmp_path):
     index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
     files = table(spark, {"a.py": "alpha"})
@@ -102,8 +146,7 @@ def test_a_path_may_occur_once(spark, tmp_path):
     assert [nonzero(s) for s in seen] == [{"execution_starts": 1, "adds": 1}]
 
 
-def test_vectors_are_kept_by_text(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("quarrysift.plans.index.MAX_GONE_SHARE", 9)
+def test_vectors_are_kept_by_text(spark, tmp_path):
     index = Index(spark, str(tmp_path / "i"), Counting())
     index.refresh(table(spark, {"a.py": "same", "b.py": "same", "c.py": "other!"}))
     index.refresh(table(spark, {"a.py": "same", "b.py": "other!", "c.py": "fresh text"}))
@@ -161,7 +204,7 @@ def test_a_late_writer_is_refused(spark, tmp_path):
         current = table(spark, {"z.py": "z"}).select(
             "file_path", F.lit("f").alias("fingerprint"), "length", "mtime_us"
         )
-        index._apply(stale, current, lambda changed: table(spark, {"z.py": "z"}))
+        index._apply(stale, current, lambda changed, folder: table(spark, {"z.py": "z"}))
     assert contents(index) == {("a.py", "python"): "alpha"}
 
 

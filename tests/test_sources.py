@@ -14,26 +14,18 @@ def listed(spark, root, selection, start=""):
 
 
 def test_inverted_ignore_file_keeps_directories_open(spark, tmp_path):
-    write_tree(
-        tmp_path,
-        {
-            ".gitignore": "*\n!*/\n!*.cpp\n!*.h\nContent/\n",
-            "Root.cpp": "int a;",
-            "notes.md": "x",
-            "Engine/Source/One.cpp": "int b;",
-            "Engine/Source/One.h": "int b;",
-            "Engine/Source/readme.md": "x",
-            "Content/Skip.cpp": "int c;",
-        },
-    )
-    found = listed(spark, tmp_path, Selection(["**/*.cpp", "**/*.h", "**/*.md"], []))
-    assert found == {"Root.cpp", "Engine/Source/One.cpp", "Engine/Source/One.h"}
+    rules = "# nothing but Go\n*\n!*/\n!*.go\n!go.mod\nscratch/\n"
+    kept = {"main.go", "go.mod", "cmd/serve/run.go", "cmd/serve/deep/go.mod"}
+    lost = {"Makefile", "cmd/serve/run.txt", "scratch/try.go", "cmd/scratch/deep/try.go"}
+    write_tree(tmp_path, {".gitignore": rules, **dict.fromkeys(kept | lost, "package x")})
+    assert listed(spark, tmp_path, Selection(["**/*"], ["**/.*"])) == kept
 
 
 def test_size_cap_is_inclusive_and_keeps_broken_links(spark, tmp_path):
-    write_tree(tmp_path, {"a.py": "x" * 64, "b.py": "x" * 65})
-    os.symlink(tmp_path / "missing", tmp_path / "gone.py")
-    assert listed(spark, tmp_path, Selection(["**/*.py"], [], 64)) == {"a.py", "gone.py"}
+    write_tree(tmp_path, {f"n{size}.py": "#" * size for size in (0, 9, 10, 11, 200)})
+    os.symlink(tmp_path / "nowhere", tmp_path / "dangling.py")
+    kept = {"n0.py", "n9.py", "n10.py", "dangling.py"}
+    assert listed(spark, tmp_path, Selection(["**/*.py"], [], 10)) == kept
 
 
 def test_underscore_and_dot_names_are_seen(spark, tmp_path):
