@@ -56,16 +56,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def unit(vector: Column) -> Column:
-    """``vector`` scaled to length one; a zero vector stays zero."""
-
-    def norm(v: Column) -> Column:
-        squares = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x)
-        return F.greatest(F.sqrt(squares), F.lit(1e-9))
-
-    return let(vector, lambda v: let(norm(v), lambda n: F.transform(v, lambda x: x / n)))
-
-
 def nearest(
     rows: DataFrame,
     query: Sequence[float],

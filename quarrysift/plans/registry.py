@@ -479,8 +479,14 @@ def line_starts(spark: SparkSession, folder: str) -> DataFrame:
     ).select("doc_id", (F.col("i") + 1).alias("line_no"), "char_offset")
 
 
-def _chunks_sql(source: str) -> str:
-    """CTE ``k``: the default splitter over ``source`` (doc_id, lang, text)."""
+def _chunks_sql(source: str, definition: str | None = None) -> str:
+    """CTE ``k``: the default splitter over ``source`` (doc_id, lang, text).
+
+    Lines that match ``definition`` start a definition of the language.
+    """
+    mark = "1 + after_blank::INT"
+    if definition:
+        mark = f"CASE WHEN regexp_matches(line, '{definition}') THEN 3 ELSE {mark} END"
     space = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
     cut = r"(?s).{1,850}\z|.{0,849}[ \t\n\r\f\v]|.{1,850}"
     return f"""
@@ -495,7 +501,7 @@ s4 AS (SELECT doc_id, off, j, length(cuts[j]) AS n FROM s3, unnest(range(1, len(
 s5 AS (SELECT doc_id, j, (off + coalesce(sum(n) OVER (PARTITION BY doc_id, off ORDER BY j
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS off FROM s4),
 place AS (SELECT doc_id, off, mark, row_number() OVER (PARTITION BY doc_id ORDER BY off) AS i
-          FROM (SELECT doc_id, off, 1 + after_blank::INT AS mark FROM s2
+          FROM (SELECT doc_id, off, {mark} AS mark FROM s2
                 UNION ALL SELECT doc_id, off, 0 FROM s5 WHERE j > 1)),
 total AS (SELECT doc_id, length(text) AS n FROM {source}),
 step AS (SELECT a.doc_id, a.i,
@@ -553,6 +559,59 @@ def chunk_default(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Lines that begin with a vowel are written as definitions, so that there are many.
+SQL_CODE_TEXTS = "t AS (SELECT doc_id, lang, regexp_replace(text, '(^|\\n)([AEIO])', '\\1def \\2', 'g') AS text FROM documents)"
+
+
+@query(
+    f"""WITH {SQL_CODE_TEXTS}, {_chunks_sql("t", "^def [A-Z]")}
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY start_char) - 1)::INT AS chunk_no,
+       start_char::INT AS start_char, start_line::INT AS start_line, content FROM k"""
+)
+def chunk_code(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks of texts in a programming language, which may start at its definitions."""
+    texts = table(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("file_path"),
+        F.lit("python").alias("language"),
+        F.regexp_replace("text", r"(^|\n)([AEIO])", "$1def $2").alias("content"),
+    )
+    return chunking.chunk_files(texts).select(
+        F.col("file_path").cast("bigint").alias("doc_id"),
+        "chunk_no",
+        F.col("start.char_offset").alias("start_char"),
+        F.col("start.line").alias("start_line"),
+        "content",
+    )
+
+
+def line_chunker(path, content: str) -> tuple[str | None, list[chunking.Chunk]]:
+    """A custom chunker: every line that is not empty, in a language of its own."""
+    chunks, offset, size = [], 0, 0
+    for number, line in enumerate(content.split("\n"), 1):
+        if line:
+            start = chunking.Position(size, offset, number, 0)
+            end = chunking.Position(size + len(line.encode()), offset + len(line), number, len(line))
+            chunks.append(chunking.Chunk(line, start, end))
+        offset, size = offset + len(line) + 1, size + len(line.encode()) + 1
+    return ("lines" if path.suffix == ".toml" else None), chunks
+
+
+@query(
+    f"""WITH f AS (SELECT doc_id, {SQL_CODE_PATH} AS p, string_split(text, chr(10)) AS l FROM documents)
+SELECT p AS file_path, CASE WHEN p LIKE '%.toml' THEN 'lines' ELSE 'rust' END AS language,
+       (row_number() OVER (PARTITION BY p ORDER BY i) - 1)::INT AS chunk_no, i::INT AS line_no, l[i] AS content
+FROM f, unnest(range(1, len(l) + 1)) u(i) WHERE (p LIKE '%.toml' OR p LIKE '%.rs') AND l[i] <> ''"""
+)
+def chunk_custom(spark: SparkSession, folder: str) -> DataFrame:
+    """A chunker of the user's for two suffixes; for one it also names the language."""
+    chunkers = {".toml": line_chunker, ".rs": line_chunker}
+    files = table(spark, folder, "documents").select(code_path().alias("file_path"), F.col("text").alias("content"))
+    files = chunking.suffix_chunkers(files, chunkers).withColumn("language", language_of(F.col("file_path")))
+    return chunking.chunk_files(files, chunkers).select(
+        "file_path", "language", "chunk_no", F.col("start.line").alias("line_no"), "content"
+    )
+
+
 @query(
     f"""WITH {_chunks_sql("documents")},
 n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY start_char) - 1 AS chunk_no FROM k),
@@ -677,25 +736,34 @@ def refresh_counters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {SQL_SNAPSHOTS}, t AS (SELECT doc_id, '' AS lang, text FROM n), {_chunks_sql("t")}
+    f"""WITH {SQL_SNAPSHOTS}, t AS (SELECT doc_id, '' AS lang, text FROM n), {_chunks_sql("t")},
+{_embedded_sql("k", "content")}
 SELECT CASE WHEN doc_id < 0 THEN 'items' ELSE 'documents' END AS origin, count(*) AS n_chunks,
-       count(DISTINCT doc_id) AS n_files, sum(length(content))::BIGINT AS n_chars,
-       sum(start_line)::BIGINT AS sum_line FROM k GROUP BY 1"""
+       count(*) AS n_ids, count(DISTINCT doc_id) AS n_files, sum(length(content))::BIGINT AS n_chars,
+       sum(start_line)::BIGINT AS sum_line, round(sum(e[1]), 2) AS sum_a, round(sum(e[26]), 2) AS sum_z
+FROM v GROUP BY 1"""
 )
 def index_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """Build an index, refresh it with the edited files and read what is live."""
+    """Build an index, refresh it with the edited files and read what is live: texts, ids and vectors."""
     index = Index(spark, scratch_dir(spark, "index"), embedding.LetterEmbedder())
     for files in snapshots(spark, folder):
         index.refresh(corpus.from_table(files))
     origin = F.when(F.col("file_path").startswith("items/"), "items").otherwise("documents")
+
+    def total(k: int) -> Column:
+        return F.round(F.sum(F.get("embedding", F.lit(k)).cast("double")), 2)
+
     return (
         index.chunks()
         .groupBy(origin.alias("origin"))
         .agg(
             F.count("*").alias("n_chunks"),
+            F.countDistinct("file_path", "id").alias("n_ids"),
             F.countDistinct("file_path").alias("n_files"),
             F.sum(F.length("content")).alias("n_chars"),
             F.sum("start_line").alias("sum_line"),
+            total(0).alias("sum_a"),
+            total(25).alias("sum_z"),
         )
     )
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarrysift.functions.vectors import as_float32, checked_distance, l2_distance, l2_to_score, unit
+from quarrysift.functions.vectors import as_float32, checked_distance, l2_distance, l2_to_score
 from quarrysift.operators.search import SearchSpec, report, search, top
 
 SCHEMA = (
@@ -99,10 +99,8 @@ def test_deep_pages(spark):
 
 def test_column_forms(spark):
     row = spark.createDataFrame([([3.0, 4.0], [0.0, 0.0])], "a array<double>, b array<double>")
-    out = row.select(
-        l2_distance(F.col("a"), F.col("b")), l2_to_score(F.lit(2.0)), unit(F.col("a")), unit(F.col("b"))
-    ).first()
-    assert out[0] == 5.0 and out[1] == -1.0 and out[2] == [0.6, 0.8] and out[3] == [0.0, 0.0]
+    out = row.select(l2_distance(F.col("a"), F.col("b")), l2_to_score(F.lit(2.0))).first()
+    assert out[0] == 5.0 and out[1] == -1.0
 
 
 def test_plan_prunes_and_pushes_down(spark, chunks, tmp_path):
