@@ -35,7 +35,7 @@ MISS = 1e-7
 # Signatures must agree to within so many standard deviations below the threshold.
 DEVIATIONS = 6.0
 # Shingle hashes that one task compares at a time in the second round.
-CELL_SHINGLES = 1 << 20
+CELL_SHINGLES = 1 << 18
 MEMO_WORDS = 400_000
 
 
