@@ -59,8 +59,10 @@ def run_init(args: argparse.Namespace) -> int:
             args.model or "hash-256", args.provider, indexing_params=indexing, query_params=query
         )
         echo(f"Settings: {cfg.save_user(cfg.UserSettings(chosen))}")
-    if not cfg.project_file(root).is_file():
-        cfg.save_project(root, cfg.ProjectSettings())
+    known = cfg.load_project(root) if cfg.project_file(root).is_file() else cfg.ProjectSettings()
+    wanted = cfg.with_patterns(known, args.include or (), args.exclude or ())
+    if not cfg.project_file(root).is_file() or wanted != known:
+        cfg.save_project(root, wanted)
     cfg.add_ignore_entry(root)
     echo(f"Project: {cfg.shown_path(root)}")
     return 0
@@ -186,6 +188,8 @@ def parser() -> argparse.ArgumentParser:
     init = commands.add_parser("init", help="write settings for the current directory")
     init.add_argument("--model")
     init.add_argument("--provider", default="hash")
+    init.add_argument("--include", action="append", help="a further include pattern")
+    init.add_argument("--exclude", action="append", help="a further exclude pattern")
     init.add_argument("-f", "--force", action="store_true")
     commands.add_parser("index", help="bring the index up to date")
     find = commands.add_parser("search", help="find chunks by meaning")

@@ -50,7 +50,7 @@ class Project:
             user = cfg.load_user()
             os.environ.update(user.envs)
             chosen = user.embedding
-            embedder = create_embedder(chosen.provider, chosen.model)
+            embedder = create_embedder(chosen.provider, chosen.model, None, chosen.min_interval_ms)
             params = resolve_params(
                 chosen.provider, chosen.model, chosen.indexing_params, chosen.query_params
             )
@@ -83,7 +83,13 @@ class Project:
         return self.index.search(query, limit, offset, **filters)
 
     def doctor(self) -> list[Check]:
-        return [self._check_files(), self._check_index(), self._check_embedder()]
+        return [self._check_files(), self._check_index(), self._check_keys(), self._check_embedder()]
+
+    def _check_keys(self) -> Check:
+        given = cfg.load_user().envs if cfg.user_file().is_file() else {}
+        details = [f"{name}: from the settings" for name in sorted(given)]
+        details += [f"{name}: from the process" for name in cfg.process_only(given)]
+        return Check("Keys", True, details or ["none set"])
 
     def _check_files(self) -> Check:
         try:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 from typing import Any
 
@@ -157,6 +157,26 @@ def save_project(root: Path, settings: ProjectSettings) -> Path:
     return _save(project_file(root), project_to_dict(settings))
 
 
+def with_patterns(
+    settings: ProjectSettings, include: Iterable[str] = (), exclude: Iterable[str] = ()
+) -> ProjectSettings:
+    """The settings with further patterns at the end; one that is there already is not repeated."""
+
+    def longer(old: list[str], new: Iterable[str]) -> list[str]:
+        return list(dict.fromkeys([*old, *new]))
+
+    return replace(
+        settings,
+        include_patterns=longer(settings.include_patterns, include),
+        exclude_patterns=longer(settings.exclude_patterns, exclude),
+    )
+
+
+def process_only(given: Iterable[str], ending: str = "_API_KEY") -> list[str]:
+    """Names of the process's variables with this ending that are not among the ``given``."""
+    return sorted(name for name in set(os.environ) - set(given) if name.endswith(ending))
+
+
 def load_user() -> UserSettings:
     return _load(user_file(), user_from_dict, None)
 

@@ -189,3 +189,17 @@ def test_paths(tmp_path, monkeypatch):
     (tmp_path / "w" / "x").mkdir(parents=True)
     (tmp_path / "w" / ".git").write_text("gitdir: elsewhere")
     assert settings.find_git_root(tmp_path / "w" / "x") == tmp_path / "w"
+
+
+def test_patterns_are_appended_once():
+    start = settings.ProjectSettings(["a"], ["x"])
+    more = settings.with_patterns(start, ["b", "a"], ["y", "y"])
+    assert (more.include_patterns, more.exclude_patterns) == (["a", "b"], ["x", "y"])
+    assert start.include_patterns == ["a"]
+
+
+def test_variables_of_the_process_alone(monkeypatch):
+    monkeypatch.setenv("ONE_API_KEY", "1")
+    monkeypatch.setenv("TWO_API_KEY", "2")
+    found = settings.process_only({"TWO_API_KEY": "other"})
+    assert "ONE_API_KEY" in found and "TWO_API_KEY" not in found
