@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir, ship_package
 
-# Rows handed to Python at a time: a batch of long texts must fit beside the JVM.
+# Rows and bytes handed to Python at a time: a batch of long texts must fit beside the JVM.
 ROWS_PER_BATCH = 512
+BYTES_PER_BATCH = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Ship the code and bound the size of the batches that Python gets."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
