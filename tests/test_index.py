@@ -1,5 +1,6 @@
 import json
 import os
+import re
 import threading
 
 import pytest
@@ -135,6 +136,27 @@ def test_unlistable_directory_is_an_error(tmp_path, monkeypatch):
     assert [r[0] for r in tree._children(str(tmp_path), "", [], Selection())] == ["error"]
 
 
+def test_no_text_moves_for_fingerprints(spark, tmp_path, monkeypatch):
+    rows = [(f"d{i}/f{i}.py", b"x" * i, i) for i in range(50)]
+    frame = spark.createDataFrame(rows, "file_path string, content binary, mtime_us bigint")
+    frame.write.parquet(str(tmp_path / "files"))
+    files = corpus.from_table(spark.read.parquet(str(tmp_path / "files")))
+    index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
+    index.refresh(files)
+    seen = []
+    monkeypatch.setattr(Index, "_apply", lambda self, manifest, current, *rest, **more: seen.append(current) or {})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index.refresh(files)
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        text = seen[0]._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+    assert moved and not any("content" in columns for columns in moved)
+
+
 def test_a_path_may_occur_once(spark, tmp_path):
     index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
     files = table(spark, {"a.py": "alpha"})
