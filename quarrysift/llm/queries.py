@@ -151,7 +151,48 @@ def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(vectors, vectors.where("vec_id % 20 = 0"))
 
 
-@query()
+def _chat_sql() -> str:
+    """Costs to go backwards over the turns, then the states forwards; the moves are a table of values."""
+
+    def quoted(value: str) -> str:
+        return "'" + value.replace("\n", "\\n") + "'"
+
+    moves = [
+        f"({code}, {a}, {b}, {m.cost}, '{m.action}', '{m.role}', '{','.join(m.inserted)}', {quoted(chat.rendered(m, '', a > 0))})"
+        for code, table_of in enumerate(chat.MOVES)
+        for a, row in enumerate(table_of)
+        for b, m in enumerate(row)
+        if m is not None
+    ]
+    ends = [f"({s}, {chat.END_COSTS[s]}, {quoted(chat.ending(s))})" for s in range(1, chat.STATES)]
+    codes = " ".join(f"WHEN '{role}' THEN {k}" for k, role in enumerate(chat.ROLES))
+    return f"""
+WITH RECURSIVE move(code, a, b, cost, action, new_role, inserted, prefix) AS (VALUES {", ".join(moves)}),
+ending(s, cost, rest) AS (VALUES {", ".join(ends)}),
+t AS (SELECT conv_id, turn, coalesce(text, '') AS text, CASE lower(trim(role)) {codes} ELSE {len(chat.ROLES)} END AS code,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, count(*) OVER (PARTITION BY conv_id) AS n
+      FROM conversations),
+back(conv_id, i, s, togo) AS (
+  SELECT DISTINCT conv_id, n, s, cost FROM t CROSS JOIN ending
+  UNION ALL
+  SELECT back.conv_id, back.i - 1, move.a, min(move.cost + togo) FROM back
+  JOIN t ON t.conv_id = back.conv_id AND t.i = back.i JOIN move ON move.code = t.code AND move.b = back.s
+  GROUP BY back.conv_id, back.i, move.a),
+forth(conv_id, i, s) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0 FROM t
+  UNION ALL
+  SELECT f.conv_id, f.i + 1, arg_min(move.b, (move.cost + togo) * 10 + move.b) FROM forth f
+  JOIN t ON t.conv_id = f.conv_id AND t.i = f.i + 1 JOIN move ON move.code = t.code AND move.a = f.s
+  JOIN back ON back.conv_id = f.conv_id AND back.i = f.i + 1 AND back.s = move.b
+  GROUP BY f.conv_id, f.i)
+SELECT t.conv_id, t.turn, t.i - 1 AS seq, action, new_role, inserted,
+       concat(replace(prefix, '\\n', chr(10)), text, CASE WHEN t.i = n THEN replace(rest, '\\n', chr(10)) ELSE '' END) AS piece
+FROM t JOIN forth x ON x.conv_id = t.conv_id AND x.i = t.i - 1 JOIN forth y ON y.conv_id = t.conv_id AND y.i = t.i
+JOIN move ON move.code = t.code AND move.a = x.s AND move.b = y.s JOIN ending ON ending.s = y.s"""
+
+
+@query(_chat_sql())
 def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation with its roles repaired, turn by turn in the ChatML form."""
-    return chat.format_chats(table(spark, folder, "conversations"))
+    found = chat.format_chats(table(spark, folder, "conversations"))
+    return found.withColumn("inserted", F.array_join("inserted", ","))

@@ -18,7 +18,7 @@ DATA = "/root/testdata/sf0.001"
 TABLES = "documents benchmark pages conversations embeddings labels".split()
 
 
-@pytest.mark.parametrize("name", ["op3_topk", "op6_decontam", "op8_warc"])
+@pytest.mark.parametrize("name", ["op1_chat", "op3_topk", "op6_decontam", "op8_warc"])
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
     for table in TABLES:
