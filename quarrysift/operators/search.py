@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.globs import search_glob
 from ..functions.text import location
@@ -61,8 +62,8 @@ def top(chunks: DataFrame, spec: SearchSpec) -> DataFrame:
     return page.withColumn("score", l2_to_score(F.col("distance")))
 
 
-def search(chunks: DataFrame, spec: SearchSpec) -> DataFrame:
-    """The six result columns, nearest first, in two passes.
+def search(chunks: DataFrame, spec: SearchSpec, ranked: bool = False) -> DataFrame:
+    """The six result columns, nearest first, in two passes; with ``ranked`` also the place in the page.
 
     The first pass reads keys and vectors only; its result, the ``limit`` keys of the
     page, passes through the driver. The second reads text and lines for these rows: their
@@ -72,21 +73,19 @@ def search(chunks: DataFrame, spec: SearchSpec) -> DataFrame:
     keys = ["id", "file_path", "language"]
     page = top(chunks.select(*keys, "embedding"), spec).select(*keys, "distance", "score")
     rows = page.collect()
-    winners = chunks.sparkSession.createDataFrame(rows, page.schema)
+    places = T.StructType([*page.schema, T.StructField("rank", T.IntegerType())])
+    winners = chunks.sparkSession.createDataFrame([(*row, n) for n, row in enumerate(rows, 1)], places)
     detail = chunks.where(
         F.col("file_path").isin(sorted({r["file_path"] for r in rows}))
         & F.col("language").isin(sorted({r["language"] for r in rows}))
     ).select(*keys, "content", "start_line", "end_line")
     found = detail.join(winners, keys)
-    return found.orderBy("distance", "id", "file_path").select(*RESULT_COLUMNS)
+    return found.orderBy("rank").select(*RESULT_COLUMNS, *(["rank"] if ranked else []))
 
 
 def report(results: DataFrame) -> DataFrame:
-    """Printable lines of a result page, ranked by score and then by place."""
-    # A page is at most limit rows, and the rank runs over the whole page.
-    order = Window.orderBy(F.desc("score"), "file_path", "start_line")
-    ranked = results.withColumn("rank", F.row_number().over(order))
-    return ranked.select(
+    """Printable lines of a result page with its ranks, in the order of the search itself."""
+    return results.select(
         "rank",
         F.format_string("--- Result %d (score: %.3f) ---", "rank", "score").alias("heading"),
         location(

@@ -184,16 +184,15 @@ def search_page(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""WITH {SQL_CHUNKS},
-p AS (SELECT file_path, language, start_line, end_line, 1 - distance * distance / 2 AS score
-      FROM r ORDER BY distance, id LIMIT 10),
-n AS (SELECT *, row_number() OVER (ORDER BY score DESC, file_path, start_line) AS rank FROM p)
+n AS (SELECT file_path, language, start_line, end_line, 1 - distance * distance / 2 AS score,
+             row_number() OVER (ORDER BY distance, id) AS rank FROM r QUALIFY rank <= 10)
 SELECT rank::INT AS rank, printf('--- Result %d (score: %.3f) ---', rank, score) AS heading,
        printf('File: %s:%d-%d [%s]', file_path, start_line, end_line, language) AS place FROM n"""
 )
 def search_report(spark: SparkSession, folder: str) -> DataFrame:
     """Ranked headings and places as printed."""
     spec = SearchSpec(first_vector(spark, folder), 10)
-    return report(search(stored_chunks(spark, folder), spec)).drop("content")
+    return report(search(stored_chunks(spark, folder), spec, ranked=True)).drop("content")
 
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"

@@ -52,7 +52,7 @@ def test_search_returns_the_six_columns(chunks):
     assert found.first()["content"] == "text 1"
     empty = search(chunks, SearchSpec(UNITS[1], 2, languages=["none"]))
     assert empty.columns == found.columns and empty.count() == 0
-    line = report(found).first()
+    line = report(search(chunks, SearchSpec(UNITS[1], 2), ranked=True)).first()
     assert line["heading"] == "--- Result 1 (score: 1.000) ---"
     assert line["place"] == "File: src/util.py:1-5 [python]"
 
