@@ -69,7 +69,7 @@ def nearest(
 
     Each Arrow batch computes its distances with one NumPy pass and forwards
     only rows that can still be among the ``keep`` nearest: everything up to
-    the batch's own ``keep``-th distance, ties included. Nothing is lost, and
+    the ``keep``-th distance that the task has seen, ties included. Nothing is lost, and
     what leaves the scan is a small fraction of it. The caller orders the rest.
     """
     target = np.asarray(as_float32(query), dtype=np.float64)
@@ -77,6 +77,8 @@ def nearest(
     fields = [rows.schema[name] for name in names] + [T.StructField("distance", T.DoubleType())]
 
     def scan(batches):
+        # The smallest distances of the task so far.
+        best = np.empty(0)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -94,12 +96,13 @@ def nearest(
             flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             delta = flat.reshape(batch.num_rows, target.size) - target
             distance = np.sqrt(np.einsum("ij,ij->i", delta, delta))
-            if batch.num_rows > keep:
-                bound = np.partition(distance, keep - 1)[keep - 1] if keep > 0 else -math.inf
-                # Written so that rows without an order (NaN) stay.
-                chosen = np.flatnonzero(~(distance > bound))
-            else:
-                chosen = np.arange(batch.num_rows)
+            seen = np.concatenate([best, distance[~np.isnan(distance)]])
+            if len(seen) > keep:
+                seen = np.partition(seen, keep - 1)[:keep] if keep > 0 else seen[:0]
+            best = seen
+            bound = best.max() if len(best) == keep > 0 else math.inf if keep > 0 else -math.inf
+            # Written so that rows without an order (NaN) stay.
+            chosen = np.flatnonzero(~(distance > bound))
             index = pa.array(chosen, type=pa.int64())
             arrays = [batch.column(batch.schema.get_field_index(n)).take(index) for n in names]
             arrays.append(pa.array(distance[chosen]))

@@ -185,8 +185,7 @@ def chunk_files(
     def run(batches):
         rows = []
         for batch in batches:
-            for row in zip(*batch.columns):
-                path, language, text = (value.as_py() for value in row)
+            for path, language, text in zip(*(column.to_pylist() for column in batch.columns)):
                 pure = PurePosixPath(path)
                 chunker = table.get(pure.suffix)
                 if chunker is None:

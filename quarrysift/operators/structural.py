@@ -499,8 +499,8 @@ def _match_files(texts: DataFrame, compiled: dict[str, Pattern]) -> DataFrame:
     def run(batches):
         rows = []
         for batch in batches:
-            for values in zip(*batch.columns):
-                for row in results(*(value.as_py() for value in values)):
+            for values in zip(*(column.to_pylist() for column in batch.columns)):
+                for row in results(*values):
                     rows.append(row)
                     if len(rows) >= _ROWS_PER_BATCH:
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)
