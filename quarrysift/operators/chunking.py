@@ -266,31 +266,27 @@ def section_chunks(files: DataFrame, header: str = r"^\[(?!\[)") -> DataFrame:
 
     A file without any header is one chunk. Text is trimmed, blank sections go.
     """
-    spans = section_spans(F.col("content"), header)
     n_lines = F.size(F.split(F.regexp_replace("content", r"\n\z", ""), "\n", -1))
+    # Section 0 stands for a file without headers.
     whole = F.array(
         F.struct(
-            F.lit(1).alias("section"),
+            F.lit(0).alias("section"),
             F.lit(1).alias("start_line"),
             n_lines.alias("end_line"),
             F.array(F.col("content")).alias("lines"),
         )
     )
-    one = F.explode(F.when(F.size(spans) > 0, spans).otherwise(whole)).alias("s")
-    text = F.regexp_replace(F.array_join("s.lines", "\n"), r"\A\s+|\s+\z", "")
-    has_header = F.size(spans) > 0
-    last = F.least(F.col("s.end_line"), F.col("n_lines"))
-    return (
-        files.select("file_path", "content", n_lines.alias("n_lines"), has_header.alias("h"), one)
-        .select(
-            "file_path",
-            F.col("s.section").alias("section"),
-            F.col("s.start_line").alias("start_line"),
-            last.alias("end_line"),
-            F.when(F.col("h"), text).otherwise(F.col("content")).alias("content"),
-        )
-        .where(F.col("content") != "")
-    )
+    found = let(section_spans(F.col("content"), header), lambda s: F.when(F.size(s) > 0, s).otherwise(whole))
+    rows = files.select("file_path", n_lines.alias("n_lines"), F.explode(found).alias("s"))
+    text = F.array_join("s.lines", "\n")
+    trimmed = F.regexp_replace(F.regexp_replace(text, r"\A\s+", ""), r"\s+\z", "")
+    return rows.select(
+        "file_path",
+        F.greatest("s.section", F.lit(1)).alias("section"),
+        F.col("s.start_line").alias("start_line"),
+        F.least("s.end_line", "n_lines").alias("end_line"),
+        F.when(F.col("s.section") > 0, trimmed).otherwise(text).alias("content"),
+    ).where(F.col("content") != "")
 
 
 def suffix_chunkers(files: DataFrame, chunkers: Mapping[str, Chunker]) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 import re
-import string
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -13,6 +12,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,12 +57,26 @@ class LetterEmbedder(Embedder):
     name = "letters"
 
     def add_column(self, rows: DataFrame, text: str, **params: Any) -> DataFrame:
-        lower, size = F.lower(text), F.length(F.lower(text))
-        counts = [size - F.length(F.replace(lower, F.lit(c))) for c in string.ascii_lowercase]
-        counted = rows.withColumn("__counts", F.array(*[n.cast("double") for n in counts]))
-        counted = counted.withColumn("__norm", F.greatest(F.sqrt(F.aggregate("__counts", F.lit(0.0), lambda t, x: t + x * x)), F.lit(1e-9)))
-        vector = F.transform("__counts", lambda x: (x / F.col("__norm")).cast("float"))
-        return counted.withColumn("embedding", vector).drop("__counts", "__norm")
+        @F.arrow_udf("array<float>")
+        def letters(texts: pa.Array) -> pa.Array:
+            return pa.array(list(_letter_shares(texts)), pa.list_(pa.float32()))
+
+        return rows.withColumn("embedding", letters(F.col(text)))
+
+    def embed(self, texts: list[str], **params: Any) -> list[np.ndarray]:
+        return list(_letter_shares(pa.array(texts, pa.string())))
+
+
+def _letter_shares(texts: pa.Array) -> np.ndarray:
+    """One row of 26 numbers per text, from one count over the bytes of all of them."""
+    lower = pc.utf8_lower(texts.fill_null("")).cast(pa.large_binary())
+    ends = np.frombuffer(lower.buffers()[1], np.int64)[lower.offset : lower.offset + len(lower) + 1]
+    data = np.frombuffer(lower.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]] if len(lower) else np.zeros(0, np.uint8)
+    letter = data.astype(np.int64) - ord("a")
+    owner = np.repeat(np.arange(len(lower)), np.diff(ends))
+    kept = (letter >= 0) & (letter < 26)
+    counts = np.bincount(owner[kept] * 26 + letter[kept], minlength=26 * len(lower)).reshape(-1, 26).astype(float)
+    return counts / np.maximum(np.sqrt((counts * counts).sum(axis=1)), 1e-9)[:, None]
 
 
 class HashEmbedder(Embedder):
@@ -363,7 +377,7 @@ def embed_query(
     spark: SparkSession, embedder: Embedder, query: str, **params: Any
 ) -> list[float]:
     """The vector of one query text, as stored vectors are: 32-bit floats."""
-    if type(embedder).add_column is Embedder.add_column:
+    if type(embedder).embed is not Embedder.embed:
         return as_float32(embedder.embed([query], **params)[0])
     row = spark.createDataFrame([(query,)], "q string")
     return as_float32(embed_texts(row, embedder, "q", **params).first()["embedding"])

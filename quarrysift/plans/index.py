@@ -339,9 +339,9 @@ class Index:
     def _write_chunks(
         self, files: DataFrame, run: str, dim: int, vectors: list[str], staged: str
     ) -> list[str]:
-        texts = chunking.readable(files).withColumn(
-            "language", language_of(F.col("file_path"), self.overrides)
-        )
+        # Files go into ranges before they are chunked: finding the ranges reads paths only.
+        files = files.withColumn("language", language_of(F.col("file_path"), self.overrides))
+        texts = chunking.readable(files if self.embedder.memo else _ranged(files))
         rows = chunking.chunk_files(texts, self.chunkers, **self.sizes).select(
             F.xxhash64("file_path", "content", "nth").alias("id"),
             "file_path",
@@ -350,8 +350,6 @@ class Index:
             F.col("end.line").alias("end_line"),
             "language",
         )
-        if not self.embedder.memo:
-            rows = _ranged(rows)
         if self.embedder.memo:
             rows = embedding.with_text_key(rows, "content")
             rows.write.parquet(f"{staged}/chunks")
