@@ -33,21 +33,39 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.with_quality(docs, model, "text", ADDED).where(F.col(ADDED) >= LEAST_QUALITY_SCORE).drop(ADDED)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a key that equal rows of id and text share; null ids sort last.
+
+    Ids may be null or stand before several texts, so that they name no document by themselves.
+    """
+    digests = F.xxhash64("text"), F.xxhash64(F.lit(1), "text")
+    names = "no_id", "id", "h0", "h1"
+    values = F.col("doc_id").isNull(), F.col("doc_id"), *digests
+    return docs.withColumn(ADDED, F.struct(*(v.alias(n) for v, n in zip(values, names))))
+
+
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity of 0.8 or more.
 
-    The one with the smallest id stays, once if its row is repeated. Documents with a null id go.
+    The one with the smallest id stays, with a null id only if no other has one. Texts are
+    compared whatever their ids: different texts of one id, or without ids, are different documents.
+    Rows equal in id and text stay once, the one whose other columns sort first.
     """
-    found = neardup.deduplicate(docs, width=5, percent=80)
-    kept = found.where("kept").select(F.col("doc_id").alias(ADDED)).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col(ADDED), "left_semi").dropDuplicates(["doc_id"])
+    rows = keyed(docs)
+    found = neardup.deduplicate(rows, width=5, percent=80, id_col=ADDED)
+    kept = found.where("kept").select(ADDED).distinct()
+    whole = rows.join(kept, ADDED, "left_semi").groupBy(ADDED).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return whole.select("row.*")
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of ten words of a benchmark item."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    dirty = found.where("contaminated").select(F.col("doc_id").alias(ADDED)).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col(ADDED)), "left_anti")
+    """Documents without a passage of ten words of a benchmark item.
+
+    Of several texts with one id or none, only those with a passage go.
+    """
+    rows = keyed(docs)
+    found = decontam.contamination(rows, table(spark, sf_dir, "benchmark"), id_col=ADDED)
+    return rows.join(found.where("contaminated").select(ADDED).distinct(), ADDED, "left_anti").drop(ADDED)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

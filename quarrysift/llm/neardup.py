@@ -191,12 +191,16 @@ def link_cells(rows: DataFrame, percent: int) -> DataFrame:
         def finish() -> pa.RecordBatch:
             keys = list(held)
             found = join_cell([k for k, _ in keys], [p for p, _ in held.values()], [z for _, z in held.values()], percent)
-            columns = [pa.array([x[c] for x in found], types[c]) for c in (0, 1)]
+            ends = [[dict(x[c]) if isinstance(x[c], tuple) else x[c] for x in found] for c in (0, 1)]
+            columns = [pa.array(e, t) for e, t in zip(ends, types)]
             return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
         for batch in batches:
             types = [batch.schema.field(1).type] * 2
             for name, k, p, z in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                if isinstance(k, dict):
+                    # Ids of several fields: dictionaries cannot be keys.
+                    k, p = tuple(k.items()), tuple(p.items())
                 if name != cell:
                     if len(held) > 1:
                         yield finish()
@@ -221,6 +225,7 @@ def deduplicate(
     Null texts and texts without words have no shingles and no links. A row with a null id
     is linked with nothing and not kept; its component is null. Rows that share an id are
     one document with several texts. Repeated rows are kept as they are. Other columns are not read.
+    An id may be a flat struct; it counts as null only if it is null as a whole.
     """
     prepare(docs.sparkSession)
     bands = bands_for(percent / 100)

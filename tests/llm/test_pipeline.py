@@ -1,3 +1,5 @@
+import numpy as np
+
 import corpus_pipeline
 from quarrysift.llm import decontam, neardup, quality
 
@@ -39,3 +41,32 @@ def test_repeated_rows_stay_once(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(20)
     assert corpus_pipeline.distinct(spark, docs.union(docs), DATA).count() == corpus_pipeline.distinct(spark, docs, DATA).count()
     assert quality.FEATURES == 1 << 17
+
+
+def test_texts_of_shared_and_null_ids_stay(spark):
+    text = {c: " ".join(f"{c}{k}" for k in range(40)) for c in "ABCDEF"}
+    rows = [(5, "A"), (5, "B"), (7, "B"), (3, "C"), (9, "C"), (9, "D"), (None, "E"), (None, "E"), (None, "F"), (None, "D"), (5, "B")]
+    schema = spark.read.parquet(f"{DATA}/documents.parquet").schema
+    docs = spark.createDataFrame([(k, text[c], "en", f"s{i}", i) for i, (k, c) in enumerate(rows)], schema)
+    left = corpus_pipeline.distinct(spark, docs, DATA)
+    got = {(r.doc_id, r.text[0], r.source) for r in left.collect()}
+    assert left.columns == docs.columns and left.count() == len(got)
+    assert got == {(5, "A", "s0"), (5, "B", "s1"), (3, "C", "s3"), (9, "D", "s5"), (None, "E", "s6"), (None, "F", "s8")}
+
+
+def test_only_dirty_texts_of_an_id_go(spark):
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").where("size(split(text, ' ')) > 12").first().text
+    rows = [(1, item), (1, "clean one"), (None, item), (None, "clean two"), (2, "clean three"), (2, None)]
+    schema = spark.read.parquet(f"{DATA}/documents.parquet").schema
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], schema)
+    left = corpus_pipeline.uncontaminated(spark, docs, DATA)
+    assert left.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left.collect()))) == sorted(map(str, [rows[1], *rows[3:]]))
+
+
+def test_cells_take_struct_ids(spark):
+    sets = [np.arange(a, a + 20, dtype=np.uint64).tobytes() for a in (0, 1, 90)]
+    data = [(1, (False, k, k), (False, k, k), bytearray(z)) for k, z in enumerate(sets)]
+    kind = "struct<a: boolean, b: long, c: long>"
+    rows = spark.createDataFrame(data, f"cell long, k {kind}, p {kind}, z binary").coalesce(1)
+    assert {tuple(sorted((r.a.b, r.b.b))) for r in neardup.link_cells(rows, 80).collect()} == {(0, 1)}
