@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -79,22 +79,47 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Texts (x) with labels (y, 0 or 1) of about ``per_class`` labelled ids of each class.
+    """Texts (x) with labels (y, 0 or 1) of at most ``per_class`` labelled ids of each class.
 
-    The ids are chosen by a hash of the id, the same in every run. At most four times
-    ``per_class`` ids are broadcast to the texts, so no text moves. Null labels, ids and
-    texts are left out; an id labelled twice counts twice.
+    The ids are chosen in each class by a hash of the id, the same in every run, and broadcast
+    to the texts, so no text moves. Null labels, ids and texts are left out; an id labelled
+    twice counts twice. The third column (h) is a hash of all but the label, for smaller samples.
     """
     marks = labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y"))
-    marks = marks.where("k IS NOT NULL AND y IN (0, 1)")
-    counts = {r["y"]: r["count"] for r in marks.groupBy("y").count().collect()}
-    place = F.pmod(F.xxhash64("k"), F.lit(1_000_003)) / 1_000_003
-    share = F.lit(0.0)
-    for y, n in counts.items():
-        share = F.when(F.col("y") == y, min(1.0, per_class / n)).otherwise(share)
-    marks = marks.where(place < share).limit(4 * per_class)
+    marks = marks.where("k IS NOT NULL AND y IN (0, 1)").groupBy("k", "y").count()
+    counts = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.sum("count").alias("n")).collect()}
+    # Repeated labels are numbered, so that each of them is chosen or not by itself.
+    marks = marks.select("k", "y", F.explode(F.sequence(F.lit(1).cast("long"), "count")).alias("o"))
+    marks = marks.withColumn("p", F.xxhash64("k", "o"))
+    chosen = marks.limit(0)
+    for y in sorted(counts):
+        some = marks.where((F.col("y") == y) & within("p", per_class, counts[y]))
+        chosen = chosen.union(some.orderBy("p", "k", "o").limit(per_class))
     texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("x")).where("x IS NOT NULL")
-    return texts.join(F.broadcast(marks), "k").select("x", "y")
+    return texts.join(F.broadcast(chosen), "k").select("x", "y", F.xxhash64("k", "o", "x").alias("h"))
+
+
+def within(hashed: str, most: int, count: int) -> Column:
+    """Whether a hash is among the half more than ``most`` of ``count`` rows that a limit is then put on."""
+    return F.pmod(F.col(hashed), F.lit(1_000_003)) / 1_000_003 < min(1.0, 1.5 * most / max(1, count))
+
+
+def of_each_class(labelled: DataFrame, totals: Iterable[int], most: int, shaped: Callable[[DataFrame], DataFrame]) -> pa.Table:
+    """What ``shaped`` makes of at most ``most`` rows of each class (y), in the order of their hashes (h).
+
+    ``totals`` are the rows of classes 0 and 1, and ``shaped`` has to keep h and y. Each class has
+    a limit of its own, so none is cut by another.
+    """
+    found = []
+    for y, count in enumerate(totals):
+        rows = labelled.where(F.col("y") == y)
+        for part in (rows.where(within("h", most, count)), rows):
+            got = shaped(part).orderBy("h").limit(most).toArrow()
+            # Equal rows have one hash: a class may consist of few hashes, none of them taken.
+            if len(got) or not count:
+                break
+        found.append(got)
+    return pa.concat_tables(found).sort_by([("h", "ascending"), ("y", "ascending")])
 
 
 def logistic(z: np.ndarray) -> np.ndarray:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,7 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
-# The model's sample: at most this many windows of each language and languages in all.
+# The model's sample: about this many windows of each language, twice as many at most, and languages in all.
 WINDOWS_PER_LANGUAGE = 1200
 LANGUAGES = 200
 WINDOWS_PER_TEXT = 4
@@ -160,52 +160,60 @@ def gradients(weights: dict[str, np.ndarray], windows: np.ndarray, labels: np.nd
     return grads
 
 
-def sample_windows(labelled: DataFrame, text_col: str, label_col: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def sample_windows(labelled: DataFrame, text_col: str, label_col: str, id_col: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Windows of labelled texts for training, bounded per language, and the languages.
 
-    Which texts and which of their windows are taken follows from hashes of the texts, so the
-    sample is the same in every run. Of more than ``LANGUAGES`` languages the most frequent are
-    learned.
+    Which texts are taken follows from hashes of id and text, and which of their windows from
+    their lengths, so the sample is the same in every run. No language is cut by another. Of more
+    than ``LANGUAGES`` languages the most frequent are learned.
     """
     spark = labelled.sparkSession
-    rows = labelled.select(F.col(text_col).alias("x"), F.col(label_col).alias("y"))
+    rows = labelled.select(F.col(text_col).alias("x"), F.col(label_col).alias("y"), F.xxhash64(id_col, text_col).alias("h"))
     rows = rows.where("x IS NOT NULL AND y IS NOT NULL AND length(x) > 0")
-    counts = rows.groupBy("y").count().orderBy(F.desc("count"), "y").limit(LANGUAGES).collect()
+    counts = rows.groupBy("y").agg(F.count("*").alias("count"), F.min("h").alias("least"))
+    counts = counts.orderBy(F.desc("count"), "y").limit(LANGUAGES).collect()
     languages = sorted(r["y"] for r in counts)
     if not languages:
         return np.zeros((0, WINDOW + 3), np.uint8), np.zeros(0, np.int64), []
     texts = WINDOWS_PER_LANGUAGE // WINDOWS_PER_TEXT
     # The expected number of texts taken per language is at most half above the bound.
-    shares = [(r["y"], min(1.0, 1.5 * texts / r["count"])) for r in counts]
-    chosen = spark.createDataFrame(shares, "y string, share double")
-    place = F.pmod(F.xxhash64("x"), F.lit(1_000_003)) / 1_000_003
-    rows = rows.join(F.broadcast(chosen), "y").where(place < F.col("share")).select("x", "y")
+    shares = [(r["y"], min(1.0, 1.5 * texts / r["count"]), r["least"]) for r in counts]
+    chosen = spark.createDataFrame(shares, "y string, share double, least long")
+    place = F.pmod(F.col("h"), F.lit(1_000_003)) / 1_000_003
+    # Equal rows have one hash: a language of few hashes has its least one at any rate.
+    taken = (place < F.col("share")) | (F.col("h") == F.col("least"))
+    rows = rows.join(F.broadcast(chosen), "y").where(taken).select("x", "y", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, label = [], []
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found, label, hashes = [], [], []
+            for text, y, h in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 windows = windows_of(text.encode())
                 rng = np.random.default_rng(len(text))
                 taken = rng.permutation(len(windows))[:WINDOWS_PER_TEXT]
                 found += [windows[k].tobytes() for k in taken]
                 label += [y] * len(taken)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(label, pa.string())], names=["w", "y"])
-
-    taken = rows.mapInArrow(run, "w binary, y string")
-    # At most this many windows reach the driver: a fixed number of megabytes.
-    most = len(languages) * WINDOWS_PER_LANGUAGE * 2
-    got = taken.orderBy(F.xxhash64("w"), "w").limit(most).toArrow()
+                hashes += [h] * len(taken)
+            columns = [pa.array(found, pa.binary()), pa.array(label, pa.string()), pa.array(hashes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["w", "y", "h"])
+
+    taken = rows.mapInArrow(run, "w binary, y string, h long")
+    # At most this many windows of each language reach the driver: a fixed number of megabytes.
+    order = Window.partitionBy("y").orderBy("h", "w")
+    taken = taken.withColumn("n", F.row_number().over(order)).where(F.col("n") <= 2 * WINDOWS_PER_LANGUAGE)
+    got = taken.select("w", "y").orderBy(F.xxhash64("w"), "w", "y").toArrow()
     windows = np.frombuffer(b"".join(got["w"].to_pylist()), np.uint8).reshape(-1, WINDOW + 3)
     place_of = {y: k for k, y in enumerate(languages)}
     labels = np.array([place_of[y] for y in got["y"].to_pylist()], np.int64)
     return windows, labels, languages
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang") -> Network | None:
+def fit(
+    labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id"
+) -> Network | None:
     """Train on labelled rows; None where no row has both a text and a language."""
     prepare(labelled.sparkSession)
-    windows, labels, languages = sample_windows(labelled, text_col, label_col)
+    windows, labels, languages = sample_windows(labelled, text_col, label_col, id_col)
     return train(windows, labels, languages) if languages else None
 
 

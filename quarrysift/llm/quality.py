@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batch_of, calibrate, labelled_sample, logistic, prepare
+from .common import batch_of, calibrate, labelled_sample, logistic, of_each_class, prepare
 
 WORD_BITS = SHAPE_BITS = 16
 FEATURES = (1 << WORD_BITS) + (1 << SHAPE_BITS)
@@ -109,11 +109,6 @@ def class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def training_rows(labelled: DataFrame, totals: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Feature sets and labels of a bounded sample; a set travels as one bit per feature."""
-    share = F.lit(0.0)
-    for y in (0, 1):
-        share = F.when(F.col("y") == y, min(1.0, TRAINED_PER_CLASS / max(1.0, totals[y]))).otherwise(share)
-    place = F.pmod(F.xxhash64("x"), F.lit(999_983)) / 999_983
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
@@ -122,10 +117,9 @@ def training_rows(labelled: DataFrame, totals: np.ndarray) -> tuple[list[np.ndar
                 bits = np.zeros(FEATURES, bool)
                 bits[features(text)] = True
                 rows.append(zlib.compress(np.packbits(bits).tobytes(), 1))
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1)], names=["b", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1), batch.column(2)], names=["b", "y", "h"])
 
-    taken = labelled.where(place < share).mapInArrow(run, "b binary, y int")
-    got = taken.orderBy(F.xxhash64("b"), "y").limit(4 * TRAINED_PER_CLASS).toArrow()
+    got = of_each_class(labelled, totals.astype(int).tolist(), TRAINED_PER_CLASS, lambda x: x.mapInArrow(run, "b binary, y int, h long"))
     sets = [
         np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(b), np.uint8))) for b in got["b"].to_pylist()
     ]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batch_of, calibrate, labelled_sample, logistic, prepare, stored
+from .common import batch_of, calibrate, labelled_sample, logistic, of_each_class, prepare, stored
 
 WORD = re.compile(r"\w+")
 # Lengths of the word beginnings that are features of their own.
@@ -188,12 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Toxicit
     words = telling(feature_counts(labelled), texts)
     parts = telling(feature_counts(labelled, frozenset(words)), texts)
     model = ToxicityModel({**parts, **words}, 1.0, 1.0, 1.0, 0.0)
-    share = F.lit(0.0)
-    for y in (0, 1):
-        share = F.when(F.col("y") == y, min(1.0, CALIBRATED_PER_CLASS / max(1, texts[y]))).otherwise(share)
-    place = F.pmod(F.xxhash64("x"), F.lit(999_983)) / 999_983
-    rows = observe(labelled.where(place < share), model)
-    found = rows.orderBy("y", "words", "scores").limit(4 * CALIBRATED_PER_CLASS).collect()
+    found = of_each_class(labelled, texts, CALIBRATED_PER_CLASS, lambda rows: observe(rows, model)).to_pylist()
     return calibrated(model, [(r["y"], r["words"], r["scores"], r["weights"]) for r in found], texts)
 
 
@@ -217,11 +212,12 @@ def observe(labelled: DataFrame, model: ToxicityModel) -> DataFrame:
                     pa.array(words, pa.int64()),
                     pa.array(scores, pa.list_(pa.float64())),
                     pa.array(kinds, pa.list_(pa.float64())),
+                    batch.column(2),
                 ],
-                names=["y", "words", "scores", "weights"],
+                names=["y", "words", "scores", "weights", "h"],
             )
 
-    return labelled.mapInArrow(run, "y int, words long, scores array<double>, weights array<double>")
+    return labelled.mapInArrow(run, "y int, words long, scores array<double>, weights array<double>, h long")
 
 
 def calibrated(model: ToxicityModel, rows: list[tuple], texts: tuple[int, int]) -> ToxicityModel:

@@ -1,12 +1,14 @@
 """The trained operators: held-out accuracy, odd rows and the parts that can be checked exactly."""
 
+import collections
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from quarrysift.llm import langid, quality, toxicity
+from quarrysift.llm import common, langid, quality, toxicity
 from quarrysift.llm.common import calibrate
 
 DATA = "/root/testdata/sf0.01"
@@ -151,3 +153,40 @@ def test_calibration():
     y = (np.random.default_rng(1).random(400) < 1 / (1 + np.exp(-(2 * x - 1)))).astype(int)
     slope, shift = calibrate(x, y, np.ones(400))
     assert 1.2 < slope < 3 and -2 < shift < 0
+
+
+def test_copies_of_one_text_cut_no_class(spark, monkeypatch):
+    """Copies of a clean text beyond any limit, which a hash of texts takes whole, leave the toxic ones in."""
+    monkeypatch.setattr(toxicity, "CALIBRATED_PER_CLASS", 40)
+    monkeypatch.setattr(quality, "TRAINED_PER_CLASS", 40)
+    monkeypatch.setattr(langid, "WINDOWS_PER_LANGUAGE", 80)
+    place = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003
+    alike = spark.range(100_000).select(F.concat(F.lit("calm talk about tea number "), "id").alias("text"))
+    alike = alike.where((place < 0.015) & (F.pmod(F.xxhash64("text"), F.lit(999_983)) / 999_983 < 0.02)).first().text
+    rows = [(k, alike if k < 1500 else f"calm word{k % 17} talk of tea {k}", 0) for k in range(2000)]
+    rows += [(k, f"you vileword now{k % 13} !!! {k}", 1) for k in range(2000, 2300)]
+    rows = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    labels = rows.select("doc_id", F.col("y").alias("toxic"), F.col("y").alias("quality"))
+    for module, column in ((toxicity, "toxic"), (quality, "quality")):
+        sample = common.labelled_sample(rows, labels, column, 20_000)
+        got = common.of_each_class(sample, (2000, 300), 40, lambda x: x.select("h", "y", "x")).to_pylist()
+        assert collections.Counter(r["y"] for r in got) == {0: 40, 1: 40}
+        assert 0 < sum(r["x"] == alike for r in got) < 40
+        model = module.fit(rows, labels)
+        scores = {r.doc_id: r.score for r in module.score(rows.where("doc_id IN (3, 1600, 2100)"), model).collect()}
+        assert scores[2100] > 0.5 > max(scores[3], scores[1600])
+    tongues = rows.withColumn("lang", F.when(F.col("y") == 1, "vi").otherwise("ca"))
+    _, label, names = langid.sample_windows(tongues, "text", "lang", "doc_id")
+    assert names == ["ca", "vi"] and 0 < (label == 0).sum() <= 160 and 0 < (label == 1).sum() <= 160
+
+
+def test_labels_repeated_cut_no_class(spark):
+    """An id labelled very often is sampled label by label, and equal rows never empty a class."""
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(200)], "doc_id long, text string")
+    labels = [(5, 0)] * 5000 + [(k, k % 2) for k in range(200)]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = collections.Counter((r.y, r.x == "text 5") for r in common.labelled_sample(docs, labels, "toxic", 50).collect())
+    assert got[0, True] + got[0, False] == 50 and got[0, True] > 30 and got[1, False] + got[1, True] == 50
+    same = docs.limit(1).select(F.lit("x").alias("x"), F.lit(1).alias("y"), F.lit(1_000_002).cast("long").alias("h"))
+    same = same.crossJoin(spark.range(900).select()).select("x", "y", "h")
+    assert len(common.of_each_class(same, (0, 900), 10, lambda x: x)) == 10
