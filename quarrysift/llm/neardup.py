@@ -265,9 +265,11 @@ def deduplicate(
     sets = stored(shingle_sets(texts.join(wanted, "k", "left_semi"), width), "sets")
     both = pairs.join(sets.select(F.col("k").alias("a"), F.col("z").alias("za")), "a")
     both = both.join(sets.select(F.col("k").alias("b"), F.col("z").alias("zb")), "b")
-    # Texts that share an id: their classes are one document.
+    # Texts that share an id: their classes are one document, each tied to the smallest.
     shared = member.where("k IS NOT NULL").groupBy("k").agg(F.min("r").alias("a"), F.max("r").alias("b"))
-    links = stored(confirm(both, percent).union(shared.where("a <> b").select("a", "b")), "confirmed")
+    shared = shared.where("a <> b").select("k", "a").join(member.select("k", F.col("r").alias("b")), "k")
+    shared = shared.where("a <> b").select("a", "b").distinct()
+    links = stored(confirm(both, percent).union(shared), "confirmed")
     parts = stored(connected(links), "components")
 
     # Round two: larger buckets that are still in several parts.

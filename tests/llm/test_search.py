@@ -220,6 +220,14 @@ def test_near_duplicates_of_odd_texts(spark, monkeypatch, width, percent, cell):
     assert neardup.deduplicate(docs.limit(0), width, percent).collect() == []
 
 
+def test_an_id_ties_all_its_texts(spark):
+    texts = {c: " ".join(f"{c}{k}" for k in range(30)) for c in "ABCD"}
+    rows = [(1, "A"), (2, "B"), (3, "C"), (9, "A"), (9, "B"), (9, "C"), (9, "C"), (4, "D")]
+    docs = spark.createDataFrame([(k, texts[c]) for k, c in rows], "doc_id long, text string")
+    found = sorted((r.doc_id, r.component_id, r.kept) for r in neardup.deduplicate(docs).collect())
+    assert found == [(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), *[(9, 1, False)] * 4]
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 50), (60, 100), (7, 7), (None, 3)]
     found = {r.node: r.component for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
