@@ -21,8 +21,13 @@ ADDED = "_stage_value"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known: those without letters or with no clear language go."""
+    """Documents whose language is known: those without letters or with no clear language go.
+
+    Where no document has a language there is none to be unclear, and only those without letters go.
+    """
     network = langid.fit(docs, "text", "lang")
+    if network is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     known = (F.col(f"{ADDED}.label") != langid.UNKNOWN) & (F.col(f"{ADDED}.score") >= LEAST_LANGUAGE_SCORE)
     return langid.with_language(docs, network, "text", ADDED).where(known).drop(ADDED)
 

@@ -26,7 +26,8 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
-# The model's sample: about this many windows of each language, twice as many at most, and languages in all.
+# The model's sample: about this many windows of each language, twice as many at most. More languages
+# than ``LANGUAGES`` share the windows of so many.
 WINDOWS_PER_LANGUAGE = 1200
 LANGUAGES = 200
 WINDOWS_PER_TEXT = 4
@@ -164,18 +165,19 @@ def sample_windows(labelled: DataFrame, text_col: str, label_col: str, id_col: s
     """Windows of labelled texts for training, bounded per language, and the languages.
 
     Which texts are taken follows from hashes of id and text, and which of their windows from
-    their lengths, so the sample is the same in every run. No language is cut by another. Of more
-    than ``LANGUAGES`` languages the most frequent are learned.
+    their lengths, so the sample is the same in every run. No language is cut by another, and
+    every language that occurs is learned.
     """
     spark = labelled.sparkSession
     rows = labelled.select(F.col(text_col).alias("x"), F.col(label_col).alias("y"), F.xxhash64(id_col, text_col).alias("h"))
     rows = rows.where("x IS NOT NULL AND y IS NOT NULL AND length(x) > 0")
     counts = rows.groupBy("y").agg(F.count("*").alias("count"), F.min("h").alias("least"))
-    counts = counts.orderBy(F.desc("count"), "y").limit(LANGUAGES).collect()
+    counts = counts.collect()
     languages = sorted(r["y"] for r in counts)
     if not languages:
         return np.zeros((0, WINDOW + 3), np.uint8), np.zeros(0, np.int64), []
-    texts = WINDOWS_PER_LANGUAGE // WINDOWS_PER_TEXT
+    each = min(WINDOWS_PER_LANGUAGE, WINDOWS_PER_LANGUAGE * LANGUAGES // len(languages))
+    texts = max(1, each // WINDOWS_PER_TEXT)
     # The expected number of texts taken per language is at most half above the bound.
     shares = [(r["y"], min(1.0, 1.5 * texts / r["count"]), r["least"]) for r in counts]
     chosen = spark.createDataFrame(shares, "y string, share double, least long")
@@ -200,7 +202,7 @@ def sample_windows(labelled: DataFrame, text_col: str, label_col: str, id_col: s
     taken = rows.mapInArrow(run, "w binary, y string, h long")
     # At most this many windows of each language reach the driver: a fixed number of megabytes.
     order = Window.partitionBy("y").orderBy("h", "w")
-    taken = taken.withColumn("n", F.row_number().over(order)).where(F.col("n") <= 2 * WINDOWS_PER_LANGUAGE)
+    taken = taken.withColumn("n", F.row_number().over(order)).where(F.col("n") <= 2 * texts * WINDOWS_PER_TEXT)
     got = taken.select("w", "y").orderBy(F.xxhash64("w"), "w", "y").toArrow()
     windows = np.frombuffer(b"".join(got["w"].to_pylist()), np.uint8).reshape(-1, WINDOW + 3)
     place_of = {y: k for k, y in enumerate(languages)}

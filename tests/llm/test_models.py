@@ -190,3 +190,13 @@ def test_labels_repeated_cut_no_class(spark):
     same = docs.limit(1).select(F.lit("x").alias("x"), F.lit(1).alias("y"), F.lit(1_000_002).cast("long").alias("h"))
     same = same.crossJoin(spark.range(900).select()).select("x", "y", "h")
     assert len(common.of_each_class(same, (0, 900), 10, lambda x: x)) == 10
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    monkeypatch.setattr(langid, "WINDOWS_PER_LANGUAGE", 60)
+    words = {"de": "der hund und die katze ", "en": "the cat and the dog ", "ru": "кот и собака "}
+    rows = [(k, f"{w}{k} " * 9, y) for y, w in words.items() for k in range(20 if y == "ru" else 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    windows, label, names = langid.sample_windows(docs, "text", "lang", "doc_id")
+    assert names == ["de", "en", "ru"] and set(label.tolist()) == {0, 1, 2} and len(windows) <= 2 * 2 * 60

@@ -70,3 +70,10 @@ def test_cells_take_struct_ids(spark):
     kind = "struct<a: boolean, b: long, c: long>"
     rows = spark.createDataFrame(data, f"cell long, k {kind}, p {kind}, z binary").coalesce(1)
     assert {tuple(sorted((r.a.b, r.b.b))) for r in neardup.link_cells(rows, 80).collect()} == {(0, 1)}
+
+
+def test_documents_with_letters_stay_without_languages(spark):
+    schema = spark.read.parquet(f"{DATA}/documents.parquet").schema
+    rows = [(1, "words"), (2, "12 34 !!"), (3, None), (4, "\u0436"), (5, "")]
+    docs = spark.createDataFrame([(k, t, None, "s", 1) for k, t in rows], schema)
+    assert {r.doc_id for r in corpus_pipeline.language(spark, docs, DATA).collect()} == {1, 4}
