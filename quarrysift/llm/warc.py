@@ -238,8 +238,10 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True, r
     """All records of the listed archives, read by byte ranges of ``range_bytes``.
 
     A response's length and digest are taken from its payload, those of a revisit from its
-    header. A response whose payload does not fit its digest fails the job. A task holds one
-    record and one batch of at most a few megabytes of payloads.
+    header. A response whose payload does not fit its digest fails the job, and so does an archive
+    with more or fewer records than the manifest counts; for that the rows are stored once. A manifest
+    without ``records`` is not compared. A task holds one record and one batch of at most a few
+    megabytes of payloads.
     """
     ranges = manifest.select(
         "file", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes))).alias("start")
@@ -289,11 +291,20 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True, r
                 if rows:
                     yield batch_from(rows)
 
-    return ranges.mapInArrow(
+    found = ranges.mapInArrow(
         run,
         "file string, place long, record_type string, url string, page string, payload_bytes long, "
         "payload_digest string, refers_to string, payload binary",
     )
+    if "records" not in manifest.columns:
+        return found
+    found = stored(found, "warc-records")
+    wanted = manifest.groupBy("file").agg(F.sum("records").alias("wanted"))
+    counts = wanted.join(found.groupBy("file").count(), "file", "left")
+    bad = counts.where(F.coalesce("count", F.lit(0)) != F.col("wanted")).orderBy("file").first()
+    if bad is not None:
+        raise ValueError(f"{bad['file']} has {bad['count'] or 0} whole records of {bad['wanted']}")
+    return found
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url") -> DataFrame:

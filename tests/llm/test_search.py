@@ -173,6 +173,19 @@ def test_a_cut_archive_gives_its_whole_records(tmp_path):
         assert [d for _, d in warc.members(warc.Source(file, len(raw), 0), 0, len(raw))] == datas[:2]
 
 
+@pytest.mark.parametrize("place", [-9, 40])
+def test_a_damaged_archive_of_a_manifest_is_an_error(spark, tmp_path, place):
+    pages = spark.createDataFrame([(k, f"http://x/{k}", f"page {k} " * 90) for k in range(5)], "page_id long, url string, html string")
+    manifest, folder = warc.write_archives(warc.plan_records(pages.coalesce(1)), f"file://{tmp_path}/warc")
+    assert warc.read_archives(manifest, folder).count() == 5
+    path = tmp_path / "warc" / manifest.first().file
+    raw = path.read_bytes()
+    path.write_bytes(raw[:place] + (bytes(200) + raw[place + 200 :] if place > 0 else b""))
+    with pytest.raises(ValueError, match="4 whole records of 5"):
+        warc.read_archives(manifest, folder)
+    assert warc.read_archives(manifest.drop("records"), folder).count() == 4
+
+
 # Near duplicates
 
 
