@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from quarrysift.session import get_session, ship_package  # noqa: E402
 
-DATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -30,13 +28,3 @@ def spark():
             session.sparkContext.addPyFile(os.path.join(here, name))
     yield session
     session.stop()
-
-
-def write_tree(root, files):
-    for path, content in files.items():
-        target = root / path
-        target.parent.mkdir(parents=True, exist_ok=True)
-        if isinstance(content, bytes):
-            target.write_bytes(content)
-        else:
-            target.write_text(content, newline="")

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import write_tree
+from helpers import write_tree
 
 from quarrysift import __version__
 from quarrysift.cli import main

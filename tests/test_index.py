@@ -4,7 +4,7 @@ import re
 import threading
 
 import pytest
-from conftest import write_tree
+from helpers import write_tree
 from pyspark.sql import functions as F
 from test_embedding import Counting
 

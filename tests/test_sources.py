@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import write_tree
+from helpers import write_tree
 from pyspark.sql import functions as F
 
 from quarrysift.sources import corpus, settings
