@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, neardup, quality, tokenfiles, topk, toxicity, warc
+from . import bpe, chat, decontam, langid, neardup, quality, tokenfiles, topk, toxicity, veccodes, warc
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +196,35 @@ def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation with its roles repaired, turn by turn in the ChatML form."""
     found = chat.format_chats(table(spark, folder, "conversations"))
     return found.withColumn("inserted", F.array_join("inserted", ","))
+
+
+def _codes_sql(rounds: int = veccodes.ROUNDS) -> str:
+    """Every round is two tables: the parts with their nearest entries, and the entries moved."""
+    near = """SELECT p.vec_id, p.k, p.x, arg_min(c.j, c.d * 16 + c.j) AS j, min(c.d) AS d FROM (
+  SELECT p.vec_id, p.k, c.j, list_sum(list_transform(list_zip(p.x, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+  FROM p JOIN {books} c ON p.k = c.k) c JOIN p ON p.vec_id = c.vec_id AND p.k = c.k GROUP BY p.vec_id, p.k, p.x"""
+    steps = []
+    for r in range(rounds):
+        steps.append(f"a{r} AS MATERIALIZED ({near.format(books=f'c{r}')})")
+        steps.append(f"""m{r} AS MATERIALIZED (SELECT k, j, list(m ORDER BY i) AS c FROM (
+  SELECT k, j, i, floor(sum(x[i])::DOUBLE / count(*))::BIGINT AS m FROM (SELECT k, j, x, unnest(range(1, len(x) + 1)) AS i FROM a{r})
+  GROUP BY k, j, i) GROUP BY k, j)""")
+        steps.append(f"""c{r + 1} AS MATERIALIZED (SELECT c{r}.k, c{r}.j, coalesce(m{r}.c, c{r}.c) AS c
+  FROM c{r} LEFT JOIN m{r} ON c{r}.k = m{r}.k AND c{r}.j = m{r}.j)""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, k, e[k * (len(e) // 8) + 1:(k + 1) * (len(e) // 8)] AS x FROM (SELECT *, unnest(range(8)) AS k FROM v)),
+c0 AS MATERIALIZED (SELECT k, n - 1 AS j, x AS c FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY vec_id) AS n FROM p) WHERE n <= 16),
+{", ".join(steps)},
+last AS MATERIALIZED ({near.format(books=f"c{rounds}")}),
+own AS (SELECT vec_id, string_agg(printf('%02x', j), '' ORDER BY k) AS code, sum(d)::BIGINT AS error FROM last GROUP BY vec_id),
+whole AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY k, j)) AS codebooks_sha256 FROM c{rounds})
+SELECT own.vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM own JOIN v ON own.vec_id = v.vec_id CROSS JOIN whole"""
+
+
+@query(_codes_sql())
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight-part codes of all vectors, with codebooks of sixteen entries learned on all of them."""
+    return veccodes.compress(table(spark, folder, "embeddings"))
