@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, neardup, quality, tokenfiles, topk, toxicity, veccodes, warc
+from . import bpe, chat, decontam, langid, neardup, prefixtrie, quality, tokenfiles, topk, toxicity, veccodes, warc
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,3 +228,44 @@ FROM own JOIN v ON own.vec_id = v.vec_id CROSS JOIN whole"""
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Eight-part codes of all vectors, with codebooks of sixteen entries learned on all of them."""
     return veccodes.compress(table(spark, folder, "embeddings"))
+
+
+# The CRC-32 of an id's digits, bit by bit; a prefix is the text of its turns with their lengths.
+SQL_PREFIX_TRIE = """
+WITH RECURSIVE bits(c, k, crc) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 4294967295::BIGINT FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT c, k + 1, xor(y >> 1, CASE WHEN y % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)
+  FROM (SELECT c, k, CASE WHEN k % 8 = 0 THEN xor(crc, ascii(substr(c::VARCHAR, (k // 8 + 1)::INT, 1))::BIGINT) ELSE crc END AS y
+        FROM bits WHERE k < 8 * length(c::VARCHAR))),
+conv AS (SELECT c, c - c % 5 AS base, xor(crc, 4294967295::BIGINT) % 9 AS h FROM bits WHERE k = 8 * length(c::VARCHAR)),
+own AS (SELECT conv_id, i, strlen(x) AS b, concat(strlen(r), ':', b, ':', r, x) AS turn FROM (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    sha256(concat(strlen(coalesce(role, '')), ':', role, text))) AS i FROM conversations WHERE conv_id IS NOT NULL)),
+heads AS (SELECT c, any_value(h) AS h, count(own.conv_id) AS n FROM conv LEFT JOIN own ON own.conv_id = base AND i <= h GROUP BY c),
+whole AS (
+  SELECT c, i AS d, turn, b FROM conv JOIN own ON own.conv_id = base AND i <= h
+  UNION ALL
+  SELECT c, i - h + n, turn, b FROM heads JOIN own ON own.conv_id = c AND i > h),
+path AS (
+  SELECT w.c, w.d, any_value(w.b) AS b, string_agg(v.turn, '' ORDER BY v.d) AS p,
+         coalesce(string_agg(v.turn, '' ORDER BY v.d) FILTER (WHERE v.d < w.d), '') AS up
+  FROM whole w JOIN whole v ON v.c = w.c AND v.d <= w.d GROUP BY w.c, w.d
+  UNION ALL SELECT c, 0, 0, '', NULL FROM conv),
+size AS (SELECT c, max(d) AS n FROM path GROUP BY c),
+node AS (SELECT p, d, any_value(up) AS up, any_value(b) AS b, min(path.c) AS c, count(*) AS n,
+                coalesce(string_agg(path.c::VARCHAR, ',' ORDER BY path.c) FILTER (WHERE d = size.n), '') AS ends
+         FROM path JOIN size ON path.c = size.c GROUP BY p, d),
+child AS (SELECT up, count(*) AS n FROM node WHERE d > 0 GROUP BY up),
+below AS (SELECT path.p, sum((node.n - 1) * node.b)::BIGINT AS saved, count(*) FILTER (WHERE child.n IS NULL) AS leaves
+          FROM node LEFT JOIN child ON child.up = node.p JOIN path ON path.c = node.c AND path.d <= node.d GROUP BY path.p)
+SELECT node.c AS conv_id, node.d AS depth, top.c AS parent_conv_id, node.n AS n_convs, coalesce(child.n, 0) AS n_children,
+       leaves AS n_leaves, saved AS saved_tokens, sha256(node.ends) AS ends_sha256
+FROM node JOIN below ON below.p = node.p LEFT JOIN child ON child.up = node.p LEFT JOIN node top ON top.p = node.up"""
+
+
+@query(SQL_PREFIX_TRIE)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """All prefixes of the conversations rebuilt with the heads of every fifth one."""
+    turns = table(spark, folder, "conversations")
+    return prefixtrie.prefix_trie(turns, lambda c: c - c % 5, lambda c: F.crc32(c.cast("string")) % 9, most=8)
