@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, neardup, prefixtrie, quality, tokenfiles, topk, toxicity, veccodes, warc
+from . import bpe, chat, decontam, langid, licenses, neardup, prefixtrie, quality, tokenfiles, topk, toxicity, veccodes, warc
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -269,3 +269,41 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """All prefixes of the conversations rebuilt with the heads of every fifth one."""
     turns = table(spark, folder, "conversations")
     return prefixtrie.prefix_trie(turns, lambda c: c - c % 5, lambda c: F.crc32(c.cast("string")) % 9, most=8)
+
+
+def _licenses_sql() -> str:
+    """Grams as texts of words; diagonals are merged as in the operator."""
+    rows = [(label, text, "false") for label, text in licenses.TEMPLATES] + [(label, text, "true") for label, text in licenses.PHRASES]
+    values = ", ".join(f"({n}, '{label}', {exact}, '{text}')" for n, (label, text, exact) in enumerate(rows))
+
+    def words(column: str) -> str:
+        low = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return rf"list_filter(string_split_regex({low}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+    return f"""
+WITH template(tid, label, exact, text) AS (VALUES {values}),
+tw AS (SELECT tid, label, exact, ws, len(ws) AS n, least(len(ws), {licenses.GRAM}) AS m FROM (SELECT tid, label, exact, {words("text")} AS ws FROM template)),
+tg AS (SELECT tid, label, exact, n, m, q, array_to_string(ws[q + 1:q + m], ' ') AS g FROM (SELECT *, unnest(range(n - m + 1)) AS q FROM tw)),
+dw AS (SELECT doc_id, {words("text")} AS ws FROM documents),
+dg AS (SELECT doc_id, m, p, array_to_string(ws[p + 1:p + m], ' ') AS g
+       FROM (SELECT doc_id, ws, m, unnest(range(greatest(len(ws) - m + 1, 0))) AS p FROM dw CROSS JOIN (SELECT DISTINCT m FROM tw))),
+vote AS (SELECT DISTINCT doc_id, tid, label, exact, n, tg.m, p - q AS d, q FROM dg JOIN tg ON dg.m = tg.m AND dg.g = tg.g),
+base AS (SELECT doc_id, label, d, 1::DOUBLE AS share FROM vote WHERE exact GROUP BY doc_id, tid, label, n, m, d HAVING count(*) = n - m + 1),
+gap AS (SELECT *, coalesce(d - lag(d) OVER (PARTITION BY doc_id, tid ORDER BY d) > least({licenses.NEAR}, n // 4), false) AS apart FROM vote WHERE NOT exact),
+island AS (SELECT *, sum(apart::INT) OVER (PARTITION BY doc_id, tid ORDER BY d RANGE UNBOUNDED PRECEDING) AS part FROM gap),
+covered AS (SELECT doc_id, tid, label, n, part, count(DISTINCT w) AS c FROM (
+  SELECT doc_id, tid, label, n, part, unnest(range(q, q + m)) AS w FROM island) GROUP BY doc_id, tid, label, n, part),
+found AS (SELECT doc_id, label, d, share FROM base
+          UNION ALL SELECT doc_id, label, NULL, c / n FROM covered WHERE c * 100 >= n * {licenses.LEAST_COVER}),
+own AS (SELECT doc_id, count(d) AS n_base, min(d) AS first_word, max(d) AS last_word, max(share) AS score,
+               coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE d IS NOT NULL), '') AS base_labels,
+               string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found GROUP BY doc_id)
+SELECT dw.doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM dw LEFT JOIN own ON own.doc_id = dw.doc_id"""
+
+
+@query(_licenses_sql())
+def op11_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    return licenses.scan_licenses(table(spark, folder, "documents"))
