@@ -90,7 +90,7 @@ def run_search(spark: SparkSession, args: argparse.Namespace) -> int:
     root = project_root()
     path = args.path or cfg.default_search_glob(root, Path.cwd())
     project = Project(spark, root)
-    if args.refresh or project.index.manifest() is None:
+    if args.refresh or project.index.snapshot() is None:
         project.refresh()
     try:
         found = project.index.results(

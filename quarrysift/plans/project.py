@@ -78,7 +78,7 @@ class Project:
 
     def search(self, query: str, limit: int = 5, offset: int = 0, refresh: bool = True, **filters):
         """Search after bringing the index up to date; a first index is always built."""
-        if refresh or self.index.manifest() is None:
+        if refresh or self.index.snapshot() is None:
             self.refresh()
         return self.index.search(query, limit, offset, **filters)
 

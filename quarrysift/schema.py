@@ -47,7 +47,7 @@ CHUNK = T.StructType(
     ]
 )
 
-#: Stored index rows; ``run`` and ``language`` are directory levels.
+#: Stored index rows; the last three are directory levels.
 INDEX_ROW = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -57,6 +57,7 @@ INDEX_ROW = T.StructType(
         T.StructField("end_line", T.IntegerType()),
         T.StructField("embedding", T.ArrayType(T.FloatType())),
         T.StructField("run", T.StringType()),
+        T.StructField("bucket", T.StringType()),
         T.StructField("language", T.StringType()),
     ]
 )
@@ -71,4 +72,7 @@ FILE_STATE = T.StructType(
     ]
 )
 
+#: What a refresh did with each file.
+ACTION = T.StructType([*FILE_STATE.fields, T.StructField("action", T.StringType())])
+
 RESULT_COLUMNS = ["file_path", "language", "content", "start_line", "end_line", "score"]

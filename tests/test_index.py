@@ -1,4 +1,3 @@
-import json
 import os
 import re
 import threading
@@ -44,7 +43,7 @@ def test_life_of_a_table_index(spark, tmp_path):
     assert contents(index) == first
     ids = {r["file_path"]: r["id"] for r in index.chunks().collect()}
     assert nonzero(index.refresh(table(spark, files))) == {"execution_starts": 5, "unchanged": 5}
-    assert index.manifest().version == 1
+    assert index.snapshot().version == 1
 
     before = index.chunks()
     files.update({"a.py": "omega", "f.rs": "new", "d.txt": "filled"})
@@ -72,9 +71,9 @@ def test_life_of_a_table_index(spark, tmp_path):
         if not text:
             del wanted["a.py", "python"]
         assert contents(index) == wanted
-    index.compact()
-    assert contents(index) == wanted and not index.manifest().gone
-    assert len(os.listdir(tmp_path / "i" / "manifests")) <= 6  # two snapshots and their checksums
+    # Two snapshots and their checksums; one folder per bucket and snapshot.
+    assert len(os.listdir(tmp_path / "i" / "snapshots")) <= 4
+    assert len(os.listdir(tmp_path / "i" / "chunks")) <= 2 and len(os.listdir(tmp_path / "i" / "state")) == 2
 
     changed = Index(spark, str(tmp_path / "i"), LetterEmbedder(), overrides={"inc": "sql"})
     assert nonzero(changed.refresh(table(spark, files)))["reprocesses"] == 5
@@ -162,10 +161,13 @@ def test_a_path_may_occur_once(spark, tmp_path):
     files = table(spark, {"a.py": "alpha"})
     with pytest.raises(Exception, match="a path twice: a.py"):
         index.refresh(files.unionByName(files))
-    assert index.manifest() is None
+    assert index.snapshot() is None
     seen = []
     index.refresh(files, seen.append)
-    assert [nonzero(s) for s in seen] == [{"execution_starts": 1, "adds": 1}]
+    counters = {"execution_starts": 1, "adds": 1}
+    assert nonzero(seen[0]) == counters
+    # The last report has seen all tasks end.
+    assert seen[-1]["tasks"] == seen[-1]["tasks_done"] > 0
 
 
 def test_vectors_are_kept_by_text(spark, tmp_path):
@@ -174,10 +176,8 @@ def test_vectors_are_kept_by_text(spark, tmp_path):
     index.refresh(table(spark, {"a.py": "same", "b.py": "other!", "c.py": "fresh text"}))
     found = {r["file_path"]: r["embedding"][0] for r in index.chunks().collect()}
     assert found == {"a.py": 4.0, "b.py": 6.0, "c.py": 10.0}
-    runs = index.manifest().vectors
+    runs = index.snapshot().vectors
     assert [spark.read.parquet(p).count() for p in index._folders("vectors", runs)] == [2, 1]
-    index.compact()
-    assert len(index.manifest().vectors) == 1 and index._vectors(index.manifest().vectors).count() == 3
     files = {"a.py": "other!", "d.py": "fresh text", "e.py": "one more text"}
     index.refresh(table(spark, files))
     found = {r["file_path"]: r["embedding"][0] for r in index.chunks().collect()}
@@ -215,12 +215,12 @@ def test_wrong_dimension_leaves_the_index_as_it_was(spark, tmp_path):
     other = Index(spark, str(tmp_path / "i"), WrongSize())
     with pytest.raises(Exception, match="expected 3 dimensions"):
         other.refresh(table(spark, {"a.py": "beta"}))
-    assert contents(index) == {("a.py", "python"): "alpha"} and index.manifest().version == 1
+    assert contents(index) == {("a.py", "python"): "alpha"} and index.snapshot().version == 1
 
 
 def test_a_late_writer_is_refused(spark, tmp_path):
     index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
-    stale = index.manifest()
+    stale = index.snapshot()
     index.refresh(table(spark, {"a.py": "alpha"}))
     with pytest.raises(RuntimeError, match="finished first"):
         current = table(spark, {"z.py": "z"}).select(
@@ -240,7 +240,73 @@ def test_concurrent_refreshes_run_one_after_the_other(spark, tmp_path):
     threads = [threading.Thread(target=run) for _ in range(3)]
     [t.start() for t in threads]
     [t.join() for t in threads]
-    assert sorted(r["num_adds"] for r in results) == [0, 0, 2]
+    # Whoever came while the first refresh ran got its counters.
+    assert 2 in {r["num_adds"] for r in results} <= {0, 2}
+    assert index_module._first_runs == {} and len(contents(Index(spark, str(tmp_path / "i"), LetterEmbedder()))) == 2
+
+
+def test_callers_share_the_first_run(spark, tmp_path, monkeypatch):
+    files, index = table(spark, {"a.py": "alpha"}), Index(spark, str(tmp_path / "i"), LetterEmbedder())
+    started, go, runs, results = threading.Event(), threading.Event(), [], []
+    real = Index._apply
+
+    def slow(self, *rest, **more):
+        runs.append(1)
+        started.set()
+        go.wait(60)
+        if len(runs) == 1:
+            raise OSError("no disk")
+        return real(self, *rest, **more)
+
+    monkeypatch.setattr(Index, "_apply", slow)
+
+    def call():
+        try:
+            results.append(index.refresh(files)["num_adds"])
+        except OSError as exc:
+            results.append(str(exc))
+
+    for wanted, n_runs in ((["no disk"] * 3, 1), ([1] * 3, 2)):
+        threads = [threading.Thread(target=call) for _ in range(3)]
+        threads[0].start()
+        started.wait(60)
+        [t.start() for t in threads[1:]]
+        while len(index_module._first_runs) < 1:
+            pass
+        threads[1].join(0.5), threads[2].join(0.5)
+        go.set()
+        [t.join() for t in threads]
+        assert results == wanted and len(runs) == n_runs
+        started.clear(), go.clear(), results.clear()
+
+
+def test_only_buckets_with_changes_are_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index_module, "BUCKET_BYTES", 40)
+    index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
+    files = {f"f{i}.{'py' if i % 2 else 'rs'}": f"text {i} " * 3 for i in range(20)}
+    index.refresh(table(spark, files))
+    first = index.snapshot()
+    assert first.n_buckets > 5 and set(first.folders.values()) == {first.state}
+    files["f3.py"] = "other words"
+    del files["f4.rs"]
+    index.refresh(table(spark, files))
+    now = index.snapshot()
+    assert 1 <= sum(run == now.state for run in now.folders.values()) <= 2 < len(now.folders)
+    assert {k[0]: v for k, v in contents(index).items()} == {k: v.strip() for k, v in files.items()}
+    # The last file of a bucket goes, and the bucket with it.
+    index.refresh(table(spark, {"f3.py": files["f3.py"]}))
+    assert len(index.snapshot().folders) == 1 and len(contents(index)) == 1
+    index.refresh(table(spark, {}))
+    assert index.snapshot().folders == {} and contents(index) == {}
+
+
+def test_reports_rise_while_tasks_run(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index_module, "REPORT_SECONDS", 0.01)
+    index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
+    seen = []
+    index.refresh(table(spark, {f"{i}.py": f"text {i}" for i in range(200)}).repartition(20), seen.append)
+    done = [s["tasks_done"] for s in seen[1:]]
+    assert done == sorted(done) and len(set(done)) > 2 and done[-1] == seen[-1]["tasks"]
 
 
 def test_tree_refresh_reads_only_what_may_have_changed(spark, tmp_path):
@@ -304,8 +370,8 @@ def test_project_end_to_end(spark, project):
     assert "Total matched files: 4" in checks["File walk"].details
     assert "Files: 4" in checks["Index status"].details
     assert all(c.ok for c in checks.values())
-    manifest = json.loads(json.dumps(project.index.manifest().__dict__))
-    assert manifest["dim"] == 256 and manifest["n_files"] == 4
+    snapshot = project.index.snapshot()
+    assert snapshot.dim == 256 and snapshot.n_files == 4
 
 
 def test_notices_trigger_one_refresh(spark, project, tmp_path):
