@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql import types as T
 
 from .common import ROWS_PER_BATCH, prepare, stored
@@ -296,7 +297,7 @@ def format_chats(
 
 
 def arrow_type(kind: T.DataType) -> pa.DataType:
-    return {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}[kind.simpleString()]
+    return to_arrow_type(kind)
 
 
 def repair_file(name: str, ends: dict[str, tuple]) -> Iterator[pa.RecordBatch]:

@@ -88,20 +88,28 @@ def labelled_sample(
     marks = labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y"))
     marks = marks.where("k IS NOT NULL AND y IN (0, 1)").groupBy("k", "y").count()
     counts = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.sum("count").alias("n")).collect()}
-    # Repeated labels are numbered, so that each of them is chosen or not by itself.
-    marks = marks.select("k", "y", F.explode(F.sequence(F.lit(1).cast("long"), "count")).alias("o"))
+    # Of an id's labels as many are drawn as fall to it, rounded up or down by a hash; together they are half
+    # more than the limit at most, so an id labelled very often is no long list. Each is then ordered by itself.
+    shares = [min(1.0, 1.5 * per_class / max(1, counts.get(y, 0))) for y in (0, 1)]
+    drawn = F.floor(F.col("count") * F.when(F.col("y") == 0, shares[0]).otherwise(shares[1]) + uniform(F.xxhash64("k")))
+    drawn = F.least("count", drawn)
+    marks = marks.select("k", "y", F.explode(F.sequence(F.lit(0).cast("long"), drawn)).alias("o")).where("o > 0")
     marks = marks.withColumn("p", F.xxhash64("k", "o"))
     chosen = marks.limit(0)
     for y in sorted(counts):
-        some = marks.where((F.col("y") == y) & within("p", per_class, counts[y]))
-        chosen = chosen.union(some.orderBy("p", "k", "o").limit(per_class))
+        chosen = chosen.union(marks.where(F.col("y") == y).orderBy("p", "k", "o").limit(per_class))
     texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("x")).where("x IS NOT NULL")
     return texts.join(F.broadcast(chosen), "k").select("x", "y", F.xxhash64("k", "o", "x").alias("h"))
 
 
 def within(hashed: str, most: int, count: int) -> Column:
     """Whether a hash is among the half more than ``most`` of ``count`` rows that a limit is then put on."""
-    return F.pmod(F.col(hashed), F.lit(1_000_003)) / 1_000_003 < min(1.0, 1.5 * most / max(1, count))
+    return uniform(F.col(hashed)) < min(1.0, 1.5 * most / max(1, count))
+
+
+def uniform(hashed: Column) -> Column:
+    """A hash as a number from 0 up to but not 1."""
+    return F.pmod(hashed, F.lit(1_000_003)) / 1_000_003
 
 
 def of_each_class(labelled: DataFrame, totals: Iterable[int], most: int, shaped: Callable[[DataFrame], DataFrame]) -> pa.Table:

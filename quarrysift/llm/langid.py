@@ -169,7 +169,7 @@ def sample_windows(labelled: DataFrame, text_col: str, label_col: str, id_col: s
     every language that occurs is learned.
     """
     spark = labelled.sparkSession
-    rows = labelled.select(F.col(text_col).alias("x"), F.col(label_col).alias("y"), F.xxhash64(id_col, text_col).alias("h"))
+    rows = labelled.select(F.col(text_col).alias("x"), F.col(label_col).cast("string").alias("y"), F.xxhash64(id_col, text_col).alias("h"))
     rows = rows.where("x IS NOT NULL AND y IS NOT NULL AND length(x) > 0")
     counts = rows.groupBy("y").agg(F.count("*").alias("count"), F.min("h").alias("least"))
     counts = counts.collect()

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batch_of, calibrate, labelled_sample, logistic, of_each_class, prepare
+from .common import batch_of, calibrate, labelled_sample, logistic, of_each_class, prepare, stored
 
 WORD_BITS = SHAPE_BITS = 16
 FEATURES = (1 << WORD_BITS) + (1 << SHAPE_BITS)
@@ -29,7 +29,9 @@ COUNTED_PER_CLASS = 20_000
 TRAINED_PER_CLASS = 1_000
 SMOOTHING = 1.0
 PENALTY = 1.0
-EPOCHS = 12
+# Passes over the rows at most, and the share of the dual value that the duality gap may be at the end.
+EPOCHS = 300
+MOST_GAP = 1e-3
 # Words remembered per worker with their shapes and places.
 MEMO_WORDS = 400_000
 
@@ -46,7 +48,7 @@ class Features:
     def shape(word: str) -> str:
         """Letters become a or A, digits 0, other signs stay; runs of one sign count once."""
         out = "".join("a" if c.islower() else "A" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-        return re.sub(r"(.)\1+", r"\1+", out, flags=re.DOTALL)[:12]
+        return re.sub(r"(.)\1+", r"\1+", out, flags=re.DOTALL)
 
     def __call__(self, text: str | None) -> np.ndarray:
         if len(self.words) > MEMO_WORDS or len(self.grams) > MEMO_WORDS:
@@ -127,13 +129,15 @@ def training_rows(labelled: DataFrame, totals: np.ndarray) -> tuple[list[np.ndar
 
 
 def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray, cost: np.ndarray) -> np.ndarray:
-    """Weights (the last one of a constant feature) that minimise half their square plus the hinge losses."""
+    """Weights (the last one of a constant feature) that minimise half their square plus the hinge losses.
+
+    It ends when the duality gap is small: no weights can do better by more than that.
+    """
     weights = np.zeros(FEATURES + 1)
     alpha = np.zeros(len(rows))
     square = np.array([v @ v + 1.0 for v in values])
     rng = np.random.default_rng(11)
     for _ in range(EPOCHS):
-        moved = 0.0
         for i in rng.permutation(len(rows)):
             f, v, y = rows[i], values[i], signs[i]
             gradient = y * (v @ weights[f] + weights[FEATURES]) - 1
@@ -143,8 +147,10 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], signs: np.nda
                 alpha[i] = new
                 weights[f] += change * v
                 weights[FEATURES] += change
-                moved = max(moved, abs(change))
-        if moved < 1e-4:
+        margin = np.array([v @ weights[f] for f, v in zip(rows, values)]) + weights[FEATURES]
+        norm = weights @ weights
+        gap = norm + (cost * np.maximum(0, 1 - signs * margin)).sum() - alpha.sum()
+        if gap <= MOST_GAP * max(1.0, alpha.sum() - norm / 2):
             break
     return weights
 
@@ -152,7 +158,8 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], signs: np.nda
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> QualityModel:
     """Train on texts labelled 0 or 1; without labels every score is one half."""
     prepare(docs.sparkSession)
-    labelled = labelled_sample(docs, labels, label_col, COUNTED_PER_CLASS)
+    # Counts and training rows are taken from one stored sample.
+    labelled = stored(labelled_sample(docs, labels, label_col, COUNTED_PER_CLASS), "quality-sample")
     counts, totals = class_counts(labelled)
     if not totals.sum():
         return QualityModel(np.zeros(FEATURES), 0.0, 1.0, 0.0)

@@ -9,9 +9,11 @@ may end after it. So one large archive is read by many tasks without an index.
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,8 +37,8 @@ VERSION = b"WARC/1.1"
 LINE = b"\r\n"
 # Of a candidate so much is unpacked to tell whether a record begins there.
 PROBE_BYTES = 64
-# Header lines of one record end within so many bytes.
-HEADER_BYTES = 1 << 20
+# A task reads ranges of about this many bytes.
+TASK_BYTES = 256 << 20
 
 MANIFEST = "file string, bytes long, records long"
 
@@ -78,18 +80,23 @@ def record(page: str | None, url: str | None, payload: bytes, digest: str, first
     if target:
         lines.append(f"WARC-Target-URI: {target}")
     if page is not None:
-        lines.append(f"X-Page: {page}")
+        lines.append(f"X-Page: {quote(page, safe='')}")
     if first is None:
         block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + payload
         lines.append("Content-Type: application/http; msgtype=response")
     else:
         block = b""
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        lines.append(f"X-Refers-To-Page: {first}")
+        lines.append(f"X-Refers-To-Page: {quote(first, safe='')}")
     lines.append(f"Content-Length: {len(block)}")
     return "\r\n".join(lines).encode() + LINE * 2 + block + LINE * 2
 
 
+def unquoted(value: str | None) -> str | None:
+    """An id as it was: in a header blanks, line breaks and the like stand percent-encoded."""
+    return None if value is None else unquote(value)
+
+
 def packed(data: bytes) -> bytes:
     pack = zlib.compressobj(6, zlib.DEFLATED, 31)
     return pack.compress(data) + pack.flush()
@@ -210,7 +217,7 @@ def members(source: Source, start: int, end: int) -> Iterator[tuple[int, bytes]]
 
 def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     """Headers by lower-case name, and the block."""
-    end = data.find(LINE * 2, 0, HEADER_BYTES)
+    end = data.find(LINE * 2)
     if end < 0:
         raise ValueError("the record's header has no end")
     headers = {}
@@ -247,8 +254,9 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True, r
         "file", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes))).alias("start")
     )
     # Ranges are short rows: dealing them out evenly costs nothing.
-    count = ranges.count()
-    ranges = ranges.repartition(max(1, count), "file", "start")
+    count, total = ranges.agg(F.count(F.lit(1)), F.sum(F.least(F.lit(range_bytes), F.col("bytes") - F.col("start")))).first()
+    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism * 2, math.ceil((total or 0) / TASK_BYTES))
+    ranges = ranges.repartition(max(1, min(count, tasks)), "file", "start")
     schema = pa.schema(FIELDS)
 
     def batch_from(rows: list[tuple]) -> pa.RecordBatch:
@@ -278,10 +286,10 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True, r
                                 place,
                                 kind,
                                 headers.get("warc-target-uri"),
-                                headers.get("x-page"),
+                                unquoted(headers.get("x-page")),
                                 size,
                                 digest,
-                                headers.get("x-refers-to-page"),
+                                unquoted(headers.get("x-refers-to-page")),
                                 payload if with_payload else None,
                             )
                         )

@@ -321,3 +321,23 @@ def test_chats_are_legal_and_do_not_depend_on_the_split(spark):
             assert state > 0
         assert state == chat.FINAL and text.count("<|im_end|>") == text.count("<|im_start|>")
     assert chat.format_chats(frame.limit(0)).collect() == []
+
+
+def test_odd_ids_and_long_urls_of_archives(spark):
+    ids = [" a ", "b\r\nX-Page: z", "50%25", "", "é \t", None]
+    rows = [(k, "http://x/" + "y" * (1 << 21 if n == 0 else n), f"payload {n}" * 40 * (n % 2) + "z" * 200) for n, k in enumerate(ids)]
+    rows += [(" b", "u", "z" * 200)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = {r["page_id"]: (r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.round_trip(pages).collect()}
+    assert set(got) == {*ids, " b"} and all(got[k][0] == len(h) for k, _, h in rows)
+    same = sorted(k for k, _, h in rows if h == "z" * 200 and k is not None)
+    assert {k: got[k][2] for k in same} == {k: (None if k == same[0] else same[0]) for k in same}
+
+
+def test_chats_with_other_id_types(spark):
+    rows = [(1, 0, "user", "a"), (2, 0, "user", "b"), (1, 1, "assistant", "c")]
+    for kind in ("smallint", "decimal(5,0)", "double"):
+        turns = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+        turns = turns.withColumn("conv_id", turns["conv_id"].cast(kind))
+        found = chat.format_chats(turns)
+        assert found.schema["conv_id"].dataType == turns.schema["conv_id"].dataType and found.count() == 3

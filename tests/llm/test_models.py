@@ -200,3 +200,101 @@ def test_every_language_is_learned(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     windows, label, names = langid.sample_windows(docs, "text", "lang", "doc_id")
     assert names == ["de", "en", "ru"] and set(label.tolist()) == {0, 1, 2} and len(windows) <= 2 * 2 * 60
+
+
+def test_all_segments_of_a_long_text_count(spark):
+    """The curve sees what the score sees, however many segments a text has."""
+    model = toxicity.ToxicityModel({"vile": (4.0, 3.5)}, 1.0, 1e-4, 1.0, 0.0)
+    text = ("vile " + "plain " * 12) * 400
+    rows = spark.createDataFrame([(text, 1, 5), ("plain", 0, 6)], "x string, y int, h long")
+    seen = {r["y"]: r for r in toxicity.observe(rows, model).collect()}
+    weights = model.weigher()(toxicity.WORD.findall(text))
+    found = toxicity.segments(weights)
+    assert len(found) == 400 and seen[1]["excess"] == pytest.approx(model.excess(len(weights), found)) and seen[0]["excess"] == 0
+    assert seen[1]["best"] == pytest.approx(4.0 - toxicity.DRIFT)
+
+
+def test_all_firm_features_are_kept(spark):
+    counts = spark.range(120_000).select(F.concat(F.lit("w"), "id").alias("f"), F.lit(0).alias("n0"), F.lit(900).alias("n1"))
+    assert len(toxicity.telling(counts, (1000, 1000))) == 120_000
+
+
+def test_no_held_out_label_is_read(spark, tmp_path):
+    """Other labels of the rows held out change no score."""
+    import shutil
+
+    import __spark_entry__ as entry
+
+    data = "/root/testdata/sf0.001"
+    for name in ("documents", "labels"):
+        shutil.copy(f"{data}/{name}.parquet", tmp_path / f"{name}.parquet")
+    first = sorted(map(tuple, entry.queries()["op4_toxicity"](spark, str(tmp_path)).collect()))
+    labels = spark.read.parquet(f"{data}/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    turned = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    other = tmp_path / "other"
+    other.mkdir()
+    shutil.copy(f"{data}/documents.parquet", other / "documents.parquet")
+    turned.write.parquet(str(other / "labels.parquet"))
+    assert sorted(map(tuple, entry.queries()["op4_toxicity"](spark, str(other)).collect())) == first
+
+
+def plain_toxicity(model, text):
+    """The score of a text by its definition: every word weighed, all maximal segments, their evidence beyond chance."""
+    weights = []
+    for word in toxicity.WORD.findall(text or ""):
+        low = word.lower()
+        known = [model.weights[low[:n] + "*"] for n in toxicity.BEGINNINGS if low[:n] + "*" in model.weights and len(low) >= n]
+        own = model.weights[low][0] if low in model.weights else max(known, key=lambda x: x[1])[0] if known else 0.0
+        weights.append(own - toxicity.DRIFT)
+    total = 0.0
+    for _, _, s in all_segments(weights) if weights else []:
+        evidence = model.rate * s - np.log(model.scale * len(weights))
+        total += evidence if evidence >= -np.log(toxicity.MOST_EXPECTED) else 0.0
+    return 1 / (1 + np.exp(-np.clip(model.slope * np.log1p(total) + model.shift, -40, 40)))
+
+
+def test_whole_toxicity_scores_by_brute_force(spark):
+    data = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{data}/labels.parquet"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if len(r["text"] or "") < 3000}
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert all(found[k] == pytest.approx(plain_toxicity(model, t)) for k, t in texts.items()) and len(texts) > 100
+
+
+def test_whole_shapes_of_long_words():
+    shape = quality.Features.shape
+    assert shape("aB1-aB1-aB1-aB1") == "aA0-aA0-aA0-aA0" and shape("aB1-aB1-aB1-aB1") != shape("aB1-aB1-aB1-")
+    features = quality.Features()
+    assert set(features("aB1-aB1-aB1-aB1")) != set(features("aB1-aB1-aB1-xB1"))
+
+
+def test_dual_descent_closes_the_gap():
+    """The dual value reaches the primal one: the optimum, and not just some separation."""
+    rng = np.random.default_rng(5)
+    sets = [np.sort(rng.choice(60, rng.integers(1, 12), replace=False)) for _ in range(80)]
+    values = [rng.normal(size=len(s)) for s in sets]
+    signs = np.where(rng.random(80) < 0.5, 1.0, -1.0)
+    for penalty in (0.05, 1.0):
+        cost = np.full(80, penalty)
+        weights = quality.dual_descent(sets, values, signs, cost)
+        margin = np.array([v @ weights[s] + weights[quality.FEATURES] for s, v in zip(sets, values)])
+        primal = 0.5 * weights @ weights + (cost * np.maximum(0, 1 - signs * margin)).sum()
+        x = np.zeros((80, 61))
+        for row, (s, v) in enumerate(zip(sets, values)):
+            x[row, s], x[row, 60] = v, 1.0
+        q = (x * signs[:, None]) @ (x * signs[:, None]).T
+        alpha = np.zeros(80)
+        for _ in range(4000):
+            for i in range(80):
+                alpha[i] = np.clip(alpha[i] - (q[i] @ alpha - 1) / q[i, i], 0, penalty)
+        best = alpha.sum() - 0.5 * alpha @ q @ alpha
+        assert -1e-6 <= primal - best <= 2 * quality.MOST_GAP * max(1.0, best)
+
+
+def test_languages_named_by_numbers(spark):
+    rows = [(i, f"{'der hund und die katze' if i % 2 else 'le chien et le chat'} {i}", i % 2) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang int")
+    found = {(r["doc_id"] % 2, r["lang_pred"]) for r in langid.identify(docs, langid.fit(docs, "text", "lang")).collect()}
+    assert found == {(0, "0"), (1, "1")}

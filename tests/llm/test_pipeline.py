@@ -77,3 +77,18 @@ def test_documents_with_letters_stay_without_languages(spark):
     rows = [(1, "words"), (2, "12 34 !!"), (3, None), (4, "\u0436"), (5, "")]
     docs = spark.createDataFrame([(k, t, None, "s", 1) for k, t in rows], schema)
     assert {r.doc_id for r in corpus_pipeline.language(spark, docs, DATA).collect()} == {1, 4}
+
+
+def test_any_columns_come_through(spark):
+    """Columns of any type, and those named as a stage might name its own, stay as they are."""
+    text = "the quick words of one text and of the next one and so on without an end at all"
+    rows = [(1, text, "en", {"a": 1}, "v", [None]), (2, text, "en", {"b": 2}, "w", [1]), (3, "other words", "en", None, None, None), (1, text, "en", {"a": 0}, "x", [2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, m map<string,int>, _stage_value string, l array<int>")
+    for stage in (corpus_pipeline.language, corpus_pipeline.good_quality, corpus_pipeline.distinct, corpus_pipeline.uncontaminated):
+        left = stage(spark, docs, DATA)
+        assert left.columns == docs.columns
+        kept = {(r.doc_id, r._stage_value) for r in left.collect()}
+        if stage is corpus_pipeline.distinct:
+            assert kept == {(1, "x"), (3, None)}
+        if stage is corpus_pipeline.uncontaminated:
+            assert len(kept) == 4
