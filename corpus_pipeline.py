@@ -16,8 +16,12 @@ from quarrysift.llm.common import prepare, stored, table
 # A language is taken as known from this share of the probability on.
 LEAST_LANGUAGE_SCORE = 0.4
 LEAST_QUALITY_SCORE = 0.5
-# Names for what a stage adds and takes away again; no column of documents may have them.
-ADDED = "_stage_value"
+
+
+def free_name(docs: DataFrame) -> str:
+    """A name, for what a stage adds and takes away again, that no column of documents has."""
+    taken = {c.lower() for c in docs.columns}
+    return next(n for n in (f"_stage_value{k or ''}" for k in range(len(taken) + 1)) if n not in taken)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,17 +32,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     network = langid.fit(docs, "text", "lang")
     if network is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    known = (F.col(f"{ADDED}.label") != langid.UNKNOWN) & (F.col(f"{ADDED}.score") >= LEAST_LANGUAGE_SCORE)
-    return langid.with_language(docs, network, "text", ADDED).where(known).drop(ADDED)
+    added = free_name(docs)
+    known = (F.col(f"{added}.label") != langid.UNKNOWN) & (F.col(f"{added}.score") >= LEAST_LANGUAGE_SCORE)
+    return langid.with_language(docs, network, "text", added).where(known).drop(added)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels of those at hand, takes for good."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.with_quality(docs, model, "text", ADDED).where(F.col(ADDED) >= LEAST_QUALITY_SCORE).drop(ADDED)
+    added = free_name(docs)
+    return quality.with_quality(docs, model, "text", added).where(F.col(added) >= LEAST_QUALITY_SCORE).drop(added)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, added: str) -> DataFrame:
     """The documents with a key that equal rows of id and text share; null ids sort last.
 
     Ids may be null or stand before several texts, so that they name no document by themselves.
@@ -46,7 +52,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     digests = F.xxhash64("text"), F.xxhash64(F.lit(1), "text")
     names = "no_id", "id", "h0", "h1"
     values = F.col("doc_id").isNull(), F.col("doc_id"), *digests
-    return docs.withColumn(ADDED, F.struct(*(v.alias(n) for v, n in zip(values, names))))
+    return docs.withColumn(added, F.struct(*(v.alias(n) for v, n in zip(values, names))))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +60,16 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The one with the smallest id stays, with a null id only if no other has one. Texts are
     compared whatever their ids: different texts of one id, or without ids, are different documents.
-    Rows equal in id and text stay once, the one whose other columns sort first.
+    Rows equal in id and text stay once, the one whose other columns come first as JSON, whatever their types.
     """
-    rows = keyed(docs)
-    found = neardup.deduplicate(rows, width=5, percent=80, id_col=ADDED)
-    kept = found.where("kept").select(ADDED).distinct()
-    whole = rows.join(kept, ADDED, "left_semi").groupBy(ADDED).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    added = free_name(docs)
+    rows = keyed(docs, added)
+    found = neardup.deduplicate(rows, width=5, percent=80, id_col=added)
+    kept = found.where("kept").select(added).distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    others = F.to_json(F.struct(F.lit(0).alias(added), *(c for c, name in zip(columns, docs.columns) if name != "text")))
+    first = F.min_by(F.struct(*columns), others)
+    whole = rows.join(kept, added, "left_semi").groupBy(added).agg(first.alias("row"))
     return whole.select("row.*")
 
 
@@ -68,9 +78,10 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Of several texts with one id or none, only those with a passage go.
     """
-    rows = keyed(docs)
-    found = decontam.contamination(rows, table(spark, sf_dir, "benchmark"), id_col=ADDED)
-    return rows.join(found.where("contaminated").select(ADDED).distinct(), ADDED, "left_anti").drop(ADDED)
+    added = free_name(docs)
+    rows = keyed(docs, added)
+    found = decontam.contamination(rows, table(spark, sf_dir, "benchmark"), id_col=added)
+    return rows.join(found.where("contaminated").select(added).distinct(), added, "left_anti").drop(added)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
