@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,3 +109,80 @@ def nearest(
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, "distance"])
 
     return rows.mapInArrow(scan, T.StructType(fields))
+
+
+# Rows of a block: a block of queries times a block of vectors is one matrix product.
+BLOCK_ROWS = 2048
+
+
+def blocks(rows: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
+    """Rows packed into blocks: keys, and vectors as one run of 32-bit floats. Null vectors are left out."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, parts, held = [], [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = batch.column(1)
+            if (np.diff(column.offsets.to_numpy()) != dim).any():
+                raise RuntimeError(f"no distance for a stored vector (batch, {key}): not all have {dim} dimensions")
+            keys.append(batch.column(0).to_numpy().astype(np.int64))
+            parts.append(column.flatten().to_numpy(zero_copy_only=False).astype(np.float32))
+            held += batch.num_rows
+            if held >= BLOCK_ROWS:
+                yield packed(keys, parts)
+                keys, parts, held = [], [], 0
+        if held:
+            yield packed(keys, parts)
+
+    def packed(keys: list, parts: list) -> pa.RecordBatch:
+        columns = [pa.array([np.concatenate(x).tobytes()], pa.binary()) for x in (keys, parts)]
+        return pa.RecordBatch.from_arrays(columns, names=["ids", "data"])
+
+    given = rows.where(F.col(vector).isNotNull()).select(F.col(key).cast("bigint"), F.col(vector).cast("array<float>"))
+    return given.mapInArrow(pack, "ids binary, data binary")
+
+
+def nearest_batch(
+    rows: DataFrame, queries: DataFrame, keep: int, *, key: str = "id", query_key: str = "query_id", vector: str = "embedding"
+) -> DataFrame:
+    """The ``keep`` nearest rows for each of a table of queries: query_id, rank, id, distance, score.
+
+    Both sides are packed into blocks, and each pair of blocks is one matrix product in a task; the
+    pairs are dealt out, so that queries and rows may both be many. A task remembers the ``keep``-th distance of
+    every query it has met and forwards only rows up to it; their distances are then taken exactly, and
+    one window per query merges what is left. Equal distances are ordered by id. Keys are whole numbers.
+    """
+    first = rows.where(F.col(vector).isNotNull()).select(F.size(vector)).head()
+    dim = first[0] if first else 0
+    left = blocks(queries, query_key, vector, dim).withColumnsRenamed({"ids": "query_ids", "data": "query_data"})
+    right = blocks(rows, key, vector, dim)
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds: dict[bytes, np.ndarray] = {}
+        for batch in batches:
+            for query_ids, query_data, ids, data in zip(*(c.to_pylist() for c in batch.columns)):
+                a = np.frombuffer(query_data, np.float32).reshape(-1, dim).astype(np.float64)
+                b = np.frombuffer(data, np.float32).reshape(-1, dim).astype(np.float64)
+                squares = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
+                # Rounding of the product must not cost a row: the bound is a little wider.
+                slack = 1e-9 * ((a * a).sum(axis=1) + (b * b).sum(axis=1).max(initial=0))
+                best = np.partition(squares, keep - 1, axis=1)[:, :keep] if squares.shape[1] > keep else squares
+                # The same queries may come in several blocks of rows.
+                seen = bounds.get(query_ids)
+                if seen is not None:
+                    best = np.concatenate([seen, best], axis=1)
+                    best = np.partition(best, keep - 1, axis=1)[:, :keep] if best.shape[1] > keep else best
+                bounds[query_ids] = best
+                limit = best.max(axis=1) if best.shape[1] >= keep else np.full(len(a), np.inf)
+                q, r = np.nonzero(~(squares > (limit + slack)[:, None]))
+                exact = np.sqrt(((a[q] - b[r]) ** 2).sum(axis=1))
+                columns = [np.frombuffer(query_ids, np.int64)[q], np.frombuffer(ids, np.int64)[r], exact]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "id", "distance"])
+
+    # A pair of blocks at a time: queries are the stated set, in blocks against all rows.
+    pairs = left.crossJoin(right).select("query_ids", "query_data", "ids", "data")
+    near = pairs.mapInArrow(multiply, "query_id bigint, id bigint, distance double")
+    order = Window.partitionBy("query_id").orderBy("distance", "id")
+    ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+    return ranked.select("query_id", "rank", "id", "distance", l2_to_score(F.col("distance")).alias("score"))

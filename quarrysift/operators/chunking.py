@@ -5,17 +5,18 @@ from __future__ import annotations
 import importlib
 import re
 from collections import Counter
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from pathlib import PurePosixPath
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, UserDefinedTableFunction
 
 from ..functions.text import decoded, is_not_blank, path_suffix
-from ..functions.vectors import let
 from ..schema import CHUNK
 
 # Sizes in characters.
@@ -171,6 +172,23 @@ def load_chunker(reference: str) -> Chunker:
     return found
 
 
+def chunk_rows(
+    path: str, language: str, text: str, chunkers: Mapping[str, Chunker], sizes: Mapping[str, int]
+) -> Iterator[tuple]:
+    """The chunks of one file as rows of :data:`quarrysift.schema.CHUNK`, without the path."""
+    pure = PurePosixPath(path)
+    chunker = chunkers.get(pure.suffix)
+    if chunker is None:
+        found = default_chunks(text, language, **sizes)
+    else:
+        override, found = chunker(pure, text)
+        language = language if override is None else override
+    seen: Counter[str] = Counter()
+    for number, chunk in enumerate(found):
+        yield language, number, seen[chunk.text], chunk.text, vars(chunk.start), vars(chunk.end)
+        seen[chunk.text] += 1
+
+
 def chunk_files(
     texts: DataFrame, chunkers: Mapping[str, Chunker] | None = None, **sizes: int
 ) -> DataFrame:
@@ -186,27 +204,8 @@ def chunk_files(
         rows = []
         for batch in batches:
             for path, language, text in zip(*(column.to_pylist() for column in batch.columns)):
-                pure = PurePosixPath(path)
-                chunker = table.get(pure.suffix)
-                if chunker is None:
-                    found = default_chunks(text, language, **sizes)
-                else:
-                    override, found = chunker(pure, text)
-                    language = language if override is None else override
-                seen: Counter[str] = Counter()
-                for number, chunk in enumerate(found):
-                    rows.append(
-                        {
-                            "file_path": path,
-                            "language": language,
-                            "chunk_no": number,
-                            "nth": seen[chunk.text],
-                            "content": chunk.text,
-                            "start": vars(chunk.start),
-                            "end": vars(chunk.end),
-                        }
-                    )
-                    seen[chunk.text] += 1
+                for row in chunk_rows(path, language, text, table, sizes):
+                    rows.append(dict(zip(CHUNK.names, (path, *row))))
                     if len(rows) >= _ROWS_PER_BATCH:
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)
                         rows = []
@@ -216,77 +215,87 @@ def chunk_files(
     return texts.select("file_path", "language", "content").mapInArrow(run, CHUNK)
 
 
-def readable(files: DataFrame) -> DataFrame:
-    """Files with bytes in ``content`` as text: undecodable and blank ones go."""
-    text = files.withColumn("content", decoded(F.col("content")))
-    return text.where(F.col("content").isNotNull() & is_not_blank(F.col("content")))
+def chunk_function(
+    chunkers: Mapping[str, Chunker] | None = None, **sizes: int
+) -> UserDefinedTableFunction:
+    """The chunkers as a table function of path, language and text, for LATERAL joins.
 
+    ``spark.udtf.register("chunks", chunk_function({".toml": my_chunker}))`` makes it known to SQL::
 
-def section_spans(content: Column, header: str) -> Column:
-    """Sections that start at lines matching ``header``, as an array of structs.
+        SELECT f.file_path, c.* FROM files f, LATERAL chunks(f.file_path, f.language, f.content) c
 
-    Fields: ``section`` (1, 2, ...), ``start_line``, ``end_line`` (1-based,
-    inclusive) and ``lines``. Lines before the first header belong to none.
-    Everything happens inside one row, so no line is ever shuffled.
+    It gives the columns of :data:`quarrysift.schema.CHUNK` without the path. Whether the arguments are
+    texts is checked when the query is analysed. A file without path or text has no chunks; without a
+    language it is plain text.
     """
+    table = dict(chunkers or {})
+    schema = T.StructType([f for f in CHUNK.fields if f.name != "file_path"])
 
-    def spans(lines: Column, at: Column) -> Column:
-        ends = F.concat(
-            F.when(F.size(at) > 1, F.slice(at, 2, F.size(at))).otherwise(
-                F.array().cast("array<int>")
-            ),
-            F.array(F.size(lines) + 1),
-        )
-        return F.transform(
-            F.arrays_zip(at.alias("start"), ends.alias("stop")),
-            lambda s, i: F.struct(
-                (i + 1).alias("section"),
-                s["start"].alias("start_line"),
-                (s["stop"] - 1).alias("end_line"),
-                F.slice(lines, s["start"], s["stop"] - s["start"]).alias("lines"),
-            ),
-        )
+    class ChunkFile:
+        @staticmethod
+        def analyze(path: AnalyzeArgument, language: AnalyzeArgument, content: AnalyzeArgument) -> AnalyzeResult:
+            for name, argument in (("path", path), ("language", language), ("content", content)):
+                if argument.isTable or not isinstance(argument.dataType, (T.StringType, T.NullType)):
+                    raise ValueError(f"chunk function: {name} must be a string, not {argument.dataType}")
+            return AnalyzeResult(schema)
+
+        def eval(self, path: str | None, language: str | None, content: str | None) -> Iterator[tuple]:
+            if path is not None and content is not None:
+                yield from chunk_rows(path, language or "text", content, table, sizes)
+
+    return F.udtf(ChunkFile, useArrow=True)
 
-    def headers(lines: Column) -> Column:
-        numbers = F.sequence(F.lit(1), F.size(lines))
-        return F.filter(numbers, lambda i: F.rlike(F.get(lines, i - 1), F.lit(header)))
-
-    return let(
-        F.split(content, "\n", -1),
-        lambda lines: let(
-            headers(lines),
-            # With no header there is nothing to pair.
-            lambda at: F.when(F.size(at) > 0, spans(lines, at)).otherwise(F.array()),
-        ),
-    )
+
+def lateral_chunks(texts: DataFrame, function: UserDefinedTableFunction) -> DataFrame:
+    """Each file of ``texts`` with its chunks by a table function; its other columns stay beside them."""
+    names = {"language": "given_language", "content": "given_content"}
+    given = texts.withColumnsRenamed(names)
+    chunks = function(*(F.col(name).outer() for name in ("file_path", *names.values())))
+    return given.lateralJoin(chunks).drop(*names.values())
+
+
+def readable(files: DataFrame) -> DataFrame:
+    """Files with bytes in ``content`` as text: undecodable and blank ones go."""
+    text = files.withColumn("content", decoded(F.col("content")))
+    return text.where(F.col("content").isNotNull() & is_not_blank(F.col("content")))
 
 
 def section_chunks(files: DataFrame, header: str = r"^\[(?!\[)") -> DataFrame:
     """Section chunks of ``files``: the TOML chunker as one projection.
 
-    A file without any header is one chunk. Text is trimmed, blank sections go.
+    A section starts at a line that matches ``header`` and ends before the next one; lines before
+    the first belong to none. A file without any header is one chunk. Text is trimmed, blank
+    sections go. The text is split at headers as a whole, so no line is looked at by itself and nothing moves.
     """
+    # Lines end at \n only, also for the anchors of the pattern.
+    begins = rf"(?md)(?=[^\n]*?(?:{header}))"
     n_lines = F.size(F.split(F.regexp_replace("content", r"\n\z", ""), "\n", -1))
-    # Section 0 stands for a file without headers.
-    whole = F.array(
-        F.struct(
-            F.lit(0).alias("section"),
-            F.lit(1).alias("start_line"),
-            n_lines.alias("end_line"),
-            F.array(F.col("content")).alias("lines"),
+    split = files.select(
+        "file_path",
+        n_lines.alias("n_lines"),
+        F.split("content", rf"(?md)\n(?=[^\n]*?(?:{header}))", -1).alias("parts"),
+        F.regexp_like("content", F.lit(rf"\A{begins}")).alias("at_once"),
+    )
+    # Lines before each part: one more is added for every part and every break in it.
+    inside = F.transform("parts", lambda p: F.length(p) - F.length(F.replace(p, F.lit("\n"), F.lit(""))) + 1)
+    starts = F.aggregate(inside, F.array(F.lit(0)), lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n))
+    placed = split.withColumn("starts", starts)
+    rows = placed.select(
+        "file_path", "n_lines", "starts", "at_once", F.size("parts").alias("n"), F.posexplode("parts").alias("at", "part")
+    )
+    whole = (F.col("n") == 1) & ~F.col("at_once")
+    trimmed = F.regexp_replace(F.regexp_replace("part", r"\A\s+", ""), r"\s+\z", "")
+    return (
+        rows.where(F.col("at_once") | (F.col("at") > 0) | whole)
+        .select(
+            "file_path",
+            F.when(whole, 1).otherwise(F.col("at") + F.col("at_once").cast("int")).alias("section"),
+            (F.get("starts", F.col("at")) + 1).alias("start_line"),
+            F.least(F.get("starts", F.col("at") + 1), "n_lines").alias("end_line"),
+            F.when(whole, F.col("part")).otherwise(trimmed).alias("content"),
         )
+        .where(F.col("content") != "")
     )
-    found = let(section_spans(F.col("content"), header), lambda s: F.when(F.size(s) > 0, s).otherwise(whole))
-    rows = files.select("file_path", n_lines.alias("n_lines"), F.explode(found).alias("s"))
-    text = F.array_join("s.lines", "\n")
-    trimmed = F.regexp_replace(F.regexp_replace(text, r"\A\s+", ""), r"\s+\z", "")
-    return rows.select(
-        "file_path",
-        F.greatest("s.section", F.lit(1)).alias("section"),
-        F.col("s.start_line").alias("start_line"),
-        F.least("s.end_line", "n_lines").alias("end_line"),
-        F.when(F.col("s.section") > 0, trimmed).otherwise(text).alias("content"),
-    ).where(F.col("content") != "")
 
 
 def suffix_chunkers(files: DataFrame, chunkers: Mapping[str, Chunker]) -> DataFrame:

@@ -140,6 +140,20 @@ def knn(spark: SparkSession, folder: str) -> DataFrame:
     return _knn(spark, folder, limit=10)
 
 
+@query(
+    """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+d AS (SELECT q.vec_id AS query_id, v.vec_id AS id, list_distance(v.e, q.e) AS distance FROM v CROSS JOIN v q WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM d)
+SELECT query_id, rank::INT AS rank, id, round(1 - distance * distance / 2, 6) AS score FROM r WHERE rank <= 10"""
+)
+def knn_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors for every fiftieth one, against all."""
+    rows = table(spark, folder, "embeddings").withColumnRenamed("vec_id", "id")
+    wanted = rows.where("id % 50 = 0").withColumnRenamed("id", "query_id")
+    found = vectors.nearest_batch(rows, wanted, 10)
+    return found.select("query_id", "rank", "id", F.round("score", 6).alias("score"))
+
+
 @query(_knn_sql("WHERE language = 'fr'", "LIMIT 5 OFFSET 3"))
 def knn_lang(spark: SparkSession, folder: str) -> DataFrame:
     """The second page within one language."""
@@ -583,6 +597,13 @@ def chunk_code(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _custom_rest_sql() -> str:
+    """Default chunks of the documents that no custom chunker takes."""
+    return f"""WITH d AS (SELECT doc_id, lang, text, {SQL_CODE_PATH} AS p FROM documents), t AS (SELECT * FROM d WHERE p NOT LIKE '%.toml' AND p NOT LIKE '%.rs'),
+{_chunks_sql("t")} SELECT p AS file_path, 'text' AS language, (row_number() OVER (PARTITION BY p ORDER BY start_char) - 1)::INT AS chunk_no,
+       start_line::INT AS line_no, content FROM k JOIN (SELECT doc_id, p FROM t) w ON w.doc_id = k.doc_id"""
+
+
 def line_chunker(path, content: str) -> tuple[str | None, list[chunking.Chunk]]:
     """A custom chunker: every line that is not empty, in a language of its own."""
     chunks, offset, size = [], 0, 0
@@ -599,14 +620,22 @@ def line_chunker(path, content: str) -> tuple[str | None, list[chunking.Chunk]]:
     f"""WITH f AS (SELECT doc_id, {SQL_CODE_PATH} AS p, string_split(text, chr(10)) AS l FROM documents)
 SELECT p AS file_path, CASE WHEN p LIKE '%.toml' THEN 'lines' ELSE 'rust' END AS language,
        (row_number() OVER (PARTITION BY p ORDER BY i) - 1)::INT AS chunk_no, i::INT AS line_no, l[i] AS content
-FROM f, unnest(range(1, len(l) + 1)) u(i) WHERE (p LIKE '%.toml' OR p LIKE '%.rs') AND l[i] <> ''"""
+FROM f, unnest(range(1, len(l) + 1)) u(i) WHERE (p LIKE '%.toml' OR p LIKE '%.rs') AND l[i] <> ''
+UNION ALL
+SELECT file_path, language, chunk_no, line_no, content FROM ({_custom_rest_sql()})"""
 )
 def chunk_custom(spark: SparkSession, folder: str) -> DataFrame:
-    """A chunker of the user's for two suffixes; for one it also names the language."""
-    chunkers = {".toml": line_chunker, ".rs": line_chunker}
-    files = table(spark, folder, "documents").select(code_path().alias("file_path"), F.col("text").alias("content"))
-    files = chunking.suffix_chunkers(files, chunkers).withColumn("language", language_of(F.col("file_path")))
-    return chunking.chunk_files(files, chunkers).select(
+    """All documents by a table function: a user's chunker for two suffixes, the default one for the rest.
+
+    For one suffix the chunker also names the language. The rest is taken for plain text.
+    """
+    function = chunking.chunk_function({".toml": line_chunker, ".rs": line_chunker})
+    path = code_path()
+    language = F.when(path.endswith(".rs"), "rust").otherwise("text")
+    files = table(spark, folder, "documents").select(
+        path.alias("file_path"), language.alias("language"), F.col("text").alias("content")
+    )
+    return chunking.lateral_chunks(files, function).select(
         "file_path", "language", "chunk_no", F.col("start.line").alias("line_no"), "content"
     )
 
@@ -921,17 +950,17 @@ WHEN size_mb < 500 THEN 'Medium (< 500M)' ELSE 'Large (> 500M)' END"""
 @query(
     f"""WITH {SQL_MERGED},
 b AS (SELECT *, pow(regexp_extract(model_name, '\\d+')::DOUBLE, 2) AS size_mb FROM m
-      ORDER BY greatest(score_general, score_code) DESC NULLS LAST, model_name LIMIT 20),
+      ORDER BY greatest(score_general, score_code) DESC NULLS LAST, model_name LIMIT 1000),
 t AS (SELECT *, {SQL_TIER} AS tier FROM b),
 r AS (SELECT *, row_number() OVER (PARTITION BY tier ORDER BY score_code DESC NULLS LAST, model_name)
              AS rank FROM t)
-SELECT tier, rank::INT AS rank, model_name, round(score_code, 4) AS score_code FROM r WHERE rank <= 3"""
+SELECT tier, rank::INT AS rank, model_name, round(score_code, 4) AS score_code FROM r WHERE rank <= 8"""
 )
 def rank_tiers(spark: SparkSession, folder: str) -> DataFrame:
     """Best models overall, then the best of each size tier."""
-    models = _sized(ranking.best(_merged(spark, folder), 20))
+    models = _sized(ranking.best(_merged(spark, folder)))
     tiers = models.withColumn("tier", ranking.size_tier(F.col("size_mb")))
-    return ranking.per_tier(tiers, 3).select(
+    return ranking.per_tier(tiers).select(
         "tier", "rank", "model_name", F.round("score_code", 4).alias("score_code")
     )
 
@@ -1006,11 +1035,11 @@ def rank_lookup(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""WITH {SQL_MERGED}
 SELECT model_name FROM m ORDER BY greatest(score_general, score_code) DESC NULLS LAST, model_name
-LIMIT 5"""
+LIMIT 100"""
 )
 def rank_missing(spark: SparkSession, folder: str) -> DataFrame:
     """The best models that still lack a size or an architecture."""
-    return ranking.needing_metadata(ranking.best(_merged(spark, folder)), 5)
+    return ranking.needing_metadata(ranking.best(_merged(spark, folder)))
 
 
 # Scores of which some are missing, as NULL and as NaN
@@ -1088,7 +1117,7 @@ def rank_known(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {SQL_NAMES},
 m AS (SELECT names.name, avg(round(p_retailprice * 10)) FILTER (p_type = 'SMALL') AS g,
              avg(round(p_retailprice * 10)) FILTER (p_type = 'ECONOMY') AS c
-      FROM part JOIN names ON i = p_partkey % {len(MODEL_NAMES)} WHERE p_partkey % 4 <> 1 GROUP BY 1),
+      FROM part JOIN names ON i = p_partkey % {len(MODEL_NAMES)} GROUP BY 1),
 f AS (SELECT unnest({ranking.FAMILY}) AS name, unnest(range({len(ranking.FAMILY)})) AS position)
 SELECT position::INT AS position, f.name AS model_name, coalesce(printf('%.4f', c), 'N/A') AS code_score,
        coalesce(printf('%.4f', g), 'N/A') AS general_score, size_mb
@@ -1096,7 +1125,7 @@ FROM f LEFT JOIN m ON m.name = f.name LEFT JOIN size ON size.name = f.name"""
 )
 def rank_family(spark: SparkSession, folder: str) -> DataFrame:
     """The fixed family, with scores or without."""
-    scores = _named(spark, folder).where("p_partkey % 4 <> 1").select(
+    scores = _named(spark, folder).select(
         "model_name",
         F.col("p_type").alias("task_name"),
         F.round(F.col("p_retailprice") * 10).alias("score"),

@@ -7,7 +7,9 @@ from quarrysift.operators.chunking import (
     Chunk,
     Position,
     chunk_files,
+    chunk_function,
     default_chunks,
+    lateral_chunks,
     load_chunker,
     readable,
     section_chunks,
@@ -118,3 +120,43 @@ def test_sizes_can_be_set(spark):
     rows = texts(spark, [("a", "text", "word " * 100)])
     sizes = chunk_files(rows, size=100, minimum=20, overlap=10).select(F.length("content"))
     assert 90 > max(r[0] for r in sizes.collect()) > 20
+
+
+def test_chunkers_as_a_table_function(spark):
+    rows = texts(
+        spark,
+        [("a.toml", "text", TOML), ("b.py", "python", "x = 1\n" * 400), ("c.skip", "text", "gone"), ("d.md", None, "d"), (None, "text", "n"), ("e.py", "python", None)],
+    ).withColumn("size", F.length("content"))
+    chunkers = {".toml": sections_of, ".skip": nothing}
+    function = chunk_function(chunkers, size=500, minimum=100, overlap=50)
+    found = lateral_chunks(rows, function)
+    assert found.columns == ["file_path", "size", "language", "chunk_no", "nth", "content", "start", "end"]
+    given = rows.where("file_path IS NOT NULL AND content IS NOT NULL").fillna("text", ["language"])
+    wanted = chunk_files(given, chunkers, size=500, minimum=100, overlap=50)
+    key = lambda frame: sorted(map(str, frame.select(*wanted.columns).collect()))
+    assert key(found) == key(wanted) and len({r["file_path"] for r in found.collect()}) == 3
+
+    spark.udtf.register("chunks_of", function)
+    rows.createOrReplaceTempView("files_to_chunk")
+    sql = "SELECT f.file_path, c.* FROM files_to_chunk f, LATERAL chunks_of(f.file_path, f.language, f.content) c"
+    assert key(spark.sql(sql)) == key(wanted)
+    with pytest.raises(Exception, match="content must be a string"):
+        spark.sql("SELECT * FROM chunks_of('a.py', 'python', 1)").collect()
+
+
+def test_sections_of_odd_texts(spark):
+    rows = ["", "\n", "[a]", "[a]\n", "\n[a]\n\n[b]", "x\r\n[a]\r\ny", "[[no]]\nz", "q [a]\n[c] d\n", "[a]\n[a]\n\n"]
+    got = section_chunks(texts(spark, [(str(i), "", t) for i, t in enumerate(rows)])).collect()
+    found = {}
+    for r in got:
+        found.setdefault(int(r["file_path"]), []).append((r["section"], r["start_line"], r["end_line"], r["content"]))
+    assert {k: sorted(v) for k, v in found.items()} == {
+        1: [(1, 1, 1, "\n")],
+        2: [(1, 1, 1, "[a]")],
+        3: [(1, 1, 1, "[a]")],
+        4: [(1, 2, 3, "[a]"), (2, 4, 4, "[b]")],
+        5: [(1, 2, 3, "[a]\r\ny")],
+        6: [(1, 1, 2, "[[no]]\nz")],
+        7: [(1, 2, 2, "[c] d")],
+        8: [(1, 1, 1, "[a]"), (2, 2, 3, "[a]")],
+    }

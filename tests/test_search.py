@@ -115,3 +115,28 @@ def test_plan_prunes_and_pushes_down(spark, chunks, tmp_path):
     assert "StringStartsWith(file_path,src/)" in text and "TakeOrderedAndProject" in text
     assert "PartitionFilters: [isnotnull(language" in text and "content" not in text
     assert "Exchange" not in text
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_a_table_of_queries(spark, monkeypatch, block):
+    from quarrysift.functions import vectors
+
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(block)
+    data = rng.integers(-2, 3, (60, 4)).astype(float).tolist()
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(data)] + [(99, None)], "id long, embedding array<float>").repartition(4)
+    wanted = spark.createDataFrame([(i, data[i]) for i in range(0, 60, 7)] + [(500, None)], "query_id long, embedding array<float>")
+    got = vectors.nearest_batch(rows, wanted, 5).collect()
+    away = lambda a, b: float(np.sqrt(((np.array(a) - np.array(b)) ** 2).sum()))
+    brute = [
+        (q, n, i)
+        for q in range(0, 60, 7)
+        for n, (_, i) in enumerate(sorted((away(data[q], v), i) for i, v in enumerate(data))[:5], 1)
+    ]
+    assert sorted((r["query_id"], r["rank"], r["id"]) for r in got) == brute
+    assert all(abs(r["score"] - (1 - r["distance"] ** 2 / 2)) < 1e-12 for r in got)
+    assert len(vectors.nearest_batch(rows, wanted, 100).collect()) == 9 * 60
+    assert vectors.nearest_batch(rows.limit(0), wanted, 5).collect() == [] == vectors.nearest_batch(rows, wanted.limit(0), 5).collect()
+    short = rows.unionByName(spark.createDataFrame([(7, [1.0])], rows.schema))
+    with pytest.raises(Exception, match="no distance for a stored vector"):
+        vectors.nearest_batch(short, wanted, 5).collect()
