@@ -7,14 +7,12 @@ is decided once per directory and then joined to its files.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import ancestor_dirs, decoded, parent_dir
 from ..operators.skew import lookup_join
-from .ignore import is_ignored
+from .ignore import ignored_column, rule_table
 from .selection import Selection
 
 
@@ -33,44 +31,25 @@ def from_table(
     )
 
 
-@F.pandas_udf(T.BooleanType())
-def _ignored(path: pd.Series, chain: pd.Series) -> pd.Series:
-    """Whether the rules of ``chain`` hit a file."""
-    hits = [c is not None and is_ignored(p, False, _pairs(c)) for p, c in zip(path, chain)]
-    return pd.Series(hits, dtype=bool)
-
-
-@F.pandas_udf(T.BooleanType())
-def _closed(directory: pd.Series, chain: pd.Series) -> pd.Series:
-    """Whether the rules of ``chain`` hit a directory or one above it."""
-
-    def closed(path: str, pairs: list[tuple[str, str]]) -> bool:
-        parts = path.split("/") if path else []
-        above = ("/".join(parts[:n]) for n in range(1, len(parts) + 1))
-        return any(is_ignored(one, True, pairs) for one in above)
-
-    return pd.Series([closed(d, _pairs(c)) for d, c in zip(directory, chain)], dtype=bool)
-
-
-def _pairs(chain) -> list[tuple[str, str]]:
-    return [(entry["dir"], entry["rules"]) for entry in chain]
-
-
 def rule_chains(paths: DataFrame, rule_files: DataFrame) -> DataFrame:
     """The directories of ``paths`` that ignore files apply to.
 
-    ``rule_files`` has ``dir`` and ``rules``. ``chain`` lists the ignore files
-    from the root down, at most one per path component, and ``closed`` tells
-    whether a rule hits the directory or one above it.
+    ``rule_files`` has ``dir`` and ``rules``. ``chain`` lists the rules of the ignore files
+    from the root down, at most one file per path component, and ``closed`` tells
+    whether a rule hits the directory or one above it. Rules are parsed once per ignore file; which of them
+    match is decided by column expressions.
     """
     leaves = paths.select("dir").distinct()
     above = leaves.select("dir", F.explode(ancestor_dirs(F.col("dir"))).alias("above"))
-    by_dir = rule_files.withColumnRenamed("dir", "above")
+    by_dir = rule_table(rule_files).withColumnRenamed("dir", "above")
     # Every directory has the root above it, so that key is hot by construction.
     found = lookup_join(above, by_dir, "above", hot=[""])
     entry = F.struct(F.col("above").alias("dir"), "rules")
-    chains = found.groupBy("dir").agg(F.array_sort(F.collect_list(entry)).alias("chain"))
-    return chains.withColumn("closed", _closed("dir", "chain"))
+    chains = found.groupBy("dir").agg(F.array_sort(F.collect_list(entry)).alias("files"))
+    rules = F.transform("files", lambda f: F.transform(f["rules"], lambda r: r.withField("dir", f["dir"])))
+    chains = chains.select("dir", F.flatten(rules).alias("chain"))
+    closed = F.exists(ancestor_dirs(F.col("dir")), lambda one: (one != "") & ignored_column(one, F.col("chain"), True))
+    return chains.withColumn("closed", closed)
 
 
 def select_files(
@@ -93,5 +72,5 @@ def select_files(
         return kept
     narrow = kept.select("file_path", parent_dir(F.col("file_path")).alias("dir"))
     judged = lookup_join(narrow, rule_chains(narrow, rule_files), "dir")
-    dropped = judged.where(F.col("closed") | _ignored("file_path", "chain"))
+    dropped = judged.where(F.col("closed") | ignored_column(F.col("file_path"), F.col("chain"), False))
     return kept.join(dropped.select("file_path"), "file_path", "left_anti")

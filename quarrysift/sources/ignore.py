@@ -8,7 +8,12 @@ files never enters an ignored directory. The last rule that matches decides.
 from __future__ import annotations
 
 import functools
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.globs import path_glob_regex, python_regex
 
@@ -78,3 +83,35 @@ def is_ignored(path: str, is_dir: bool, chain: list[tuple[str, str]]) -> bool:
             if rule.keep is ignored and python_regex(rule.regex).search(rest):
                 ignored = not rule.keep
     return ignored
+
+
+RULES = "array<struct<regex:string,keep:boolean,only_dirs:boolean>>"
+
+
+def rule_table(rule_files: DataFrame) -> DataFrame:
+    """The rules of each ignore file (``dir``, ``rules`` as text) in their order, as ``dir`` and an array of structs."""
+    kind = pa.list_(pa.struct([("regex", pa.string()), ("keep", pa.bool_()), ("only_dirs", pa.bool_())]))
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = zip(*(c.to_pylist() for c in batch.columns))
+            found = [[asdict(r) for r in parse_rules(text or "", nested=bool(directory))] for directory, text in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=["dir", "rules"])
+
+    return rule_files.select("dir", "rules").mapInArrow(parse, f"dir string, rules {RULES}")
+
+
+def ignored_column(path: Column, rules: Column, is_dir: bool) -> Column:
+    """:func:`is_ignored` as a column: ``rules`` are structs with their ``dir``, from the root down.
+
+    All of these directories lie on the way to ``path``; those of its own and below it do not count.
+    """
+
+    def hits(rule: Column) -> Column:
+        above = F.length(rule["dir"])
+        rest = F.substring(path, above + F.when(above > 0, 2).otherwise(1), F.length(path))
+        hit = (above < F.length(path)) & F.rlike(rest, rule["regex"])
+        return hit if is_dir else ~rule["only_dirs"] & hit
+
+    found = F.filter(rules, hits)
+    return (F.size(found) > 0) & ~F.coalesce(F.get(found, F.size(found) - 1)["keep"], F.lit(False))

@@ -203,3 +203,32 @@ def test_variables_of_the_process_alone(monkeypatch):
     monkeypatch.setenv("TWO_API_KEY", "2")
     found = settings.process_only({"TWO_API_KEY": "other"})
     assert "ONE_API_KEY" in found and "TWO_API_KEY" not in found
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rules_as_columns_decide_as_the_walk_does(spark, seed):
+    import random
+
+    from quarrysift.sources import corpus
+    from quarrysift.sources.ignore import is_ignored
+    from quarrysift.sources.selection import Selection
+
+    rng = random.Random(seed)
+    names = ["a", "b", "c.py", "d+x"]
+    dirs = ["", *(f"{x}" for x in names[:2]), *(f"{x}/{y}" for x in names[:2] for y in names[:2]), "a/b/a"]
+    files = sorted({f"{d}/{n}".lstrip("/") for d in dirs for n in ("c.py", "d+x", "a.txt", "[q].py")})
+    lines = ["a/", "*.py", "!c.py", "/b", "b/a", "**/d+x", "!a/", "# no", "", "\\!x", "*", "!*/", "*.txt ", "[[]q].py"]
+    rules = [(d, "\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 4)))) for d in rng.sample(dirs, 4)]
+
+    def kept(path):
+        above = path.split("/")[:-1]
+        chain = [(d, t) for d, t in sorted(rules) if d == "" or path.startswith(d + "/")]
+        closed = any(is_ignored("/".join(above[:n]), True, chain) for n in range(1, len(above) + 1))
+        return not closed and not is_ignored(path, False, chain)
+
+    table = spark.createDataFrame([(f, 1) for f in files], "file_path string, length long")
+    given = spark.createDataFrame(rules, "dir string, rules string")
+    found = corpus.select_files(table, Selection((), ()), given)
+    assert sorted(r["file_path"] for r in found.collect()) == [f for f in files if kept(f)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
