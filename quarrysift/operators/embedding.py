@@ -236,16 +236,12 @@ def recommended_params(provider: str, model: str) -> tuple[dict | None, dict | N
     return None, None
 
 
-def recommended_column(provider: Column, model: Column, side: str) -> Column:
-    """:func:`recommended_params` of many models as a column: ``side`` is indexing or query."""
-    which = {"indexing": 2, "query": 3}[side]
-    chosen = F.lit(None).cast("map<string,string>")
-    for entry in reversed(RECOMMENDED_PARAMS):
-        pairs = [F.lit(x) for pair in entry[which].items() for x in pair]
-        value = F.create_map(*pairs) if pairs else F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-        hit = (provider == entry[0]) & model.rlike(rf"\A(?:{entry[1]})\z")
-        chosen = F.when(hit, value).otherwise(chosen)
-    return chosen
+def recommended_rules(spark: SparkSession) -> DataFrame:
+    """The recommended parameters as a rule table of :func:`quarrysift.operators.rules.match_patterns`."""
+    rows = [(n, *entry) for n, entry in enumerate(RECOMMENDED_PARAMS)]
+    return spark.createDataFrame(
+        rows, "ordinal bigint, provider string, pattern string, indexing map<string,string>, query map<string,string>"
+    )
 
 
 def resolve_params(

@@ -29,12 +29,15 @@ def by_language(chunks: DataFrame, language: str = "language") -> DataFrame:
     )
 
 
-def summary(chunks: DataFrame) -> DataFrame:
-    """One row: totals and a language map. There are only as many entries as languages."""
-    per_file = chunks.groupBy("language", "file_path").agg(F.count("*").alias("n"))
-    per_language = per_file.groupBy("language").agg(
-        F.sum("n").alias("cnt"), F.count("*").alias("files")
-    )
+def partial_counts(chunks: DataFrame, *groups: str) -> DataFrame:
+    """Chunks and files per language, within ``groups`` that no file is in two of. They add up over groups."""
+    per_file = chunks.groupBy(*groups, "language", "file_path").agg(F.count("*").alias("n"))
+    return per_file.groupBy(*groups, "language").agg(F.sum("n").alias("cnt"), F.count("*").alias("files"))
+
+
+def summary(counts: DataFrame) -> DataFrame:
+    """One row from partial counts: totals and a language map. There are only as many entries as languages."""
+    per_language = counts.groupBy("language").agg(F.sum("cnt").alias("cnt"), F.sum("files").alias("files"))
     # A file has one language, so files add up over languages.
     return per_language.agg(
         F.coalesce(F.sum("cnt"), F.lit(0)).alias("total_chunks"),

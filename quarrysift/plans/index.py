@@ -9,6 +9,7 @@ still use them, older ones go.
 
     snapshots/00000003.json                    where each bucket lies, and settings
     chunks/run=00000003-x/bucket=7/language=y/ rows
+    counts/run=00000003-x/                     chunks and files per bucket and language, for status
     state/run=00000003-x/                      what the refresh did with each file, with its fingerprint
     vectors/run=00000003-x/                    vectors by text, for embedders that ask
 """
@@ -36,7 +37,7 @@ from ..functions.text import ancestor_dirs, parent_dir
 from ..operators import chunking, embedding, stats
 from ..operators.diff import diff
 from ..operators.search import SearchSpec, search
-from ..schema import ACTION, FILE, FILE_STATE, INDEX_ROW
+from ..schema import ACTION, COUNTS, FILE, FILE_STATE, INDEX_ROW
 from ..sources.storage import Storage
 from ..sources.tree import read_files
 
@@ -157,6 +158,19 @@ class Index:
         rows = self.spark.read.schema(INDEX_ROW).option("basePath", f"{self.location}/chunks").parquet(*paths)
         return rows.select(*columns)
 
+    def counts(self, snapshot: Snapshot) -> DataFrame:
+        """Chunks and files per bucket and language as the refreshes that wrote the buckets counted them.
+
+        Without its count a snapshot is counted by a scan.
+        """
+        runs = sorted(set(snapshot.folders.values()))
+        known = set(self.storage.names("counts"))
+        if not runs or any(f"run={run}" not in known for run in runs):
+            return stats.partial_counts(self._rows(snapshot.folders))
+        held = self.spark.createDataFrame(list(snapshot.folders.items()), "bucket string, run string")
+        read = self.spark.read.schema(COUNTS).option("basePath", f"{self.location}/counts")
+        return read.parquet(*self._folders("counts", runs)).join(held, ["run", "bucket"], "left_semi")
+
     def state(self, snapshot: Snapshot | None = None) -> DataFrame:
         """Fingerprint, size and time of every file that the snapshot has read."""
         snapshot = snapshot or self.snapshot()
@@ -282,7 +296,7 @@ class Index:
             # Whatever a refresh needed on its way goes, and all it wrote when it fails.
             self.storage.delete(f"staging/run={run}")
             if not done:
-                for kind in ("state", "chunks", "vectors"):
+                for kind in ("state", "chunks", "counts", "vectors"):
                     self.storage.delete(f"{kind}/run={run}")
             else:
                 self._clean()
@@ -402,6 +416,11 @@ class Index:
             ordered.write.mode(mode).partitionBy("bucket", "language").parquet(*self._folders("chunks", [run]))
         folders = {b: r for b, r in new.folders.items() if b not in touched}
         written = [n.removeprefix("bucket=") for n in self.storage.names(f"chunks/run={run}") if n.startswith("bucket=")]
+        if written:
+            # Two columns of what was just written; buckets without changes are not counted again.
+            fresh = self.spark.read.schema(INDEX_ROW).parquet(*self._folders("chunks", [run]))
+            counts = stats.partial_counts(fresh, "bucket").select(*(c for c in COUNTS.names if c != "run"))
+            counts.coalesce(1).write.parquet(*self._folders("counts", [run]))
         return replace(new, folders={**folders, **dict.fromkeys(written, run)})
 
     def _chunk_rows(self, files: DataFrame, new: Snapshot, run: str, staged: str) -> tuple[DataFrame, Snapshot]:
@@ -492,6 +511,7 @@ class Index:
                 continue
             if run not in runs:
                 self.storage.delete(f"chunks/{name}")
+                self.storage.delete(f"counts/{name}")
                 continue
             for part in self.storage.names(f"chunks/{name}"):
                 if part.startswith("bucket=") and (run, part.removeprefix("bucket=")) not in used:
@@ -531,10 +551,9 @@ class Index:
         return SearchResponse(True, rows, len(rows), offset)
 
     def status(self) -> DataFrame:
-        """One row of totals; zeros with ``index_exists`` false before the first refresh."""
+        """One row of totals from the counts kept; zeros with ``index_exists`` false before the first refresh."""
         snapshot = self.snapshot()
-        rows = self.chunks(snapshot or Snapshot())
-        return stats.summary(rows).withColumn("index_exists", F.lit(snapshot is not None))
+        return stats.summary(self.counts(snapshot or Snapshot())).withColumn("index_exists", F.lit(snapshot is not None))
 
     def reset(self) -> bool:
         """Delete the index."""

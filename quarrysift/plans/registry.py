@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import globs, text, vectors
 from ..functions.languages import language_of
-from ..operators import chunking, embedding, ranking, stats, structural
+from ..operators import chunking, embedding, ranking, rules, stats, structural
 from ..operators.diff import diff
 from ..operators.search import SearchSpec, report, search, top
 from ..session import scratch_dir, ship_package
@@ -460,7 +460,7 @@ def status_summary(spark: SparkSession, folder: str) -> DataFrame:
     pairs = F.array_sort(
         F.transform(F.map_entries("languages"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     )
-    return stats.summary(files).withColumn("languages", F.array_join(pairs, ","))
+    return stats.summary(stats.partial_counts(files)).withColumn("languages", F.array_join(pairs, ","))
 
 
 # Chunks
@@ -1142,38 +1142,61 @@ PARAM_MODELS = [
 ]
 
 
-def _params_sql(side: int) -> str:
+def _params_sql() -> str:
     def text(pairs: dict) -> str:
         return "'" + ",".join(f"{k}={v}" for k, v in pairs.items()) + "'"
 
-    cases = [
-        f"WHEN provider = '{e[0]}' AND regexp_full_match(model, '{e[1]}') THEN {text(e[side])}"
-        for e in embedding.RECOMMENDED_PARAMS
-    ]
-    return f"CASE {' '.join(cases)} END"
+    return ", ".join(
+        f"({n}, '{e[0]}', '{e[1]}', {text(e[2])}, {text(e[3])})" for n, e in enumerate(embedding.RECOMMENDED_PARAMS)
+    )
+
+
+# Every second part is one of a service, and every eleventh names a model of its own.
+SQL_PROVIDER = "CASE WHEN {} % 2 = 0 THEN 'litellm' ELSE 'sentence-transformers' END"
 
 
 @query(
     f"""WITH n AS (SELECT unnest({PARAM_MODELS}) AS model, unnest(range({len(PARAM_MODELS)})) AS i),
-r AS (SELECT p_partkey, model, CASE WHEN p_size % 2 = 0 THEN 'litellm' ELSE 'sentence-transformers' END AS provider
-      FROM part JOIN n ON i = p_partkey % {len(PARAM_MODELS)})
-SELECT p_partkey, provider, model, {_params_sql(2)} AS indexing, {_params_sql(3)} AS query FROM r"""
+r AS (SELECT p_partkey, coalesce(model, concat('part/', p_size)) AS model, {SQL_PROVIDER.format('p_size')} AS provider
+      FROM part LEFT JOIN n ON i = p_partkey % {len(PARAM_MODELS) + 1}),
+rules(ordinal, provider, pattern, indexing, query) AS (VALUES {_params_sql()} UNION ALL
+  SELECT 1000 + min(p_partkey), {SQL_PROVIDER.format('p_partkey')} AS v, concat('part/', p_partkey % 997, '[0-9]?') AS x,
+         concat('brand=', arg_min(p_brand, p_partkey)), '' FROM part GROUP BY v, x),
+h AS (SELECT m.provider, m.model, arg_min(indexing, ordinal) AS indexing, arg_min(query, ordinal) AS query
+      FROM (SELECT DISTINCT provider, model FROM r) m JOIN rules ON rules.provider = m.provider
+      WHERE regexp_full_match(m.model, pattern) GROUP BY ALL)
+SELECT p_partkey, r.provider, r.model, indexing, query
+FROM r LEFT JOIN h ON h.provider = r.provider AND h.model = r.model"""
 )
 def embed_defaults(spark: SparkSession, folder: str) -> DataFrame:
-    """Recommended parameters of models as columns."""
-    place = (F.col("p_partkey") % len(PARAM_MODELS)).cast("int")
-    rows = table(spark, folder, "part").select(
+    """Recommended parameters of models by a rule table that grows with the parts."""
+
+    def provider(number: str) -> Column:
+        return F.when(F.col(number) % 2 == 0, "litellm").otherwise("sentence-transformers")
+
+    parts = table(spark, folder, "part")
+    place = (F.col("p_partkey") % (len(PARAM_MODELS) + 1)).cast("int")
+    own = F.concat(F.lit("part/"), F.col("p_size"))
+    rows = parts.select(
         "p_partkey",
-        F.get(F.array(*map(F.lit, PARAM_MODELS)), place).alias("model"),
-        F.when(F.col("p_size") % 2 == 0, "litellm").otherwise("sentence-transformers").alias("provider"),
+        F.coalesce(F.get(F.array(*map(F.lit, PARAM_MODELS)), place), own).alias("model"),
+        provider("p_size").alias("provider"),
+    )
+    pattern = F.concat(F.lit("part/"), F.col("p_partkey") % 997, F.lit("[0-9]?"))
+    more = parts.groupBy(provider("p_partkey").alias("provider"), pattern.alias("pattern")).agg(
+        (F.min("p_partkey") + 1000).alias("ordinal"),
+        F.create_map(F.lit("brand"), F.min_by("p_brand", "p_partkey")).alias("indexing"),
+        F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")).alias("query"),
+    )
+    named = rules.match_patterns(
+        rows, embedding.recommended_rules(spark).unionByName(more), by="provider", value="model"
     )
 
     def shown(side: str) -> Column:
-        found = embedding.recommended_column(F.col("provider"), F.col("model"), side)
-        pairs = F.transform(F.map_entries(found), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+        pairs = F.transform(F.map_entries(F.col("rule")[side]), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
         return F.array_join(pairs, ",").alias(side)
 
-    return rows.select("p_partkey", "provider", "model", shown("indexing"), shown("query"))
+    return named.select("p_partkey", "provider", "model", shown("indexing"), shown("query"))
 
 
 @query(
@@ -1193,18 +1216,28 @@ def knn_null_guard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""WITH f AS (SELECT doc_id, {SQL_PATH} AS p FROM documents)
-SELECT doc_id, substr(md5(p), 1, 12) AS short_id,
-       CASE WHEN p LIKE 'src1/%' THEN concat('/mnt/one', substr(p, 5))
-            WHEN p LIKE 'src2/en/%' THEN concat('/mnt/two', substr(p, 8)) ELSE p END AS shown FROM f"""
+    f"""WITH f AS (SELECT doc_id, {SQL_PATH} AS p FROM documents),
+m AS (SELECT concat('src', p_partkey * 7 % 23, CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN '/en'
+             ELSE concat('/fr/doc_', p_partkey, '.txt') END) AS source,
+             concat('/mnt/', p_partkey) AS target, p_partkey * 7919 % 100003 AS ordinal FROM part),
+h AS (SELECT p, arg_min(concat(target, substr(p, length(source) + 1)), ordinal) AS moved
+      FROM (SELECT DISTINCT p FROM f) JOIN m ON p = source OR starts_with(p, concat(source, '/')) GROUP BY p)
+SELECT doc_id, substr(md5(f.p), 1, 12) AS short_id, coalesce(moved, f.p) AS shown FROM f LEFT JOIN h ON h.p = f.p"""
 )
 def path_labels(spark: SparkSession, folder: str) -> DataFrame:
-    """Short ids and mapped path prefixes."""
-    path = F.col("file_path")
-    moves = [("src1", "/mnt/one"), ("src2/en", "/mnt/two"), ("src2", "src2")]
-    return doc_files(spark, folder).select(
-        "doc_id", text.short_id(path).alias("short_id"), text.map_prefix(path, moves).alias("shown")
+    """Short ids and path prefixes mapped by a rule table that grows with the parts."""
+    below = (
+        F.when(F.col("p_partkey") % 3 == 0, "")
+        .when(F.col("p_partkey") % 3 == 1, "/en")
+        .otherwise(F.concat(F.lit("/fr/doc_"), "p_partkey", F.lit(".txt")))
+    )
+    moves = table(spark, folder, "part").select(
+        F.concat(F.lit("src"), F.col("p_partkey") * 7 % 23, below).alias("source"),
+        F.concat(F.lit("/mnt/"), "p_partkey").alias("target"),
+        (F.col("p_partkey") * 7919 % 100003).alias("ordinal"),
     )
+    files = doc_files(spark, folder).select("doc_id", "file_path")
+    return rules.map_prefixes(files, moves).select("doc_id", text.short_id(F.col("file_path")).alias("short_id"), "shown")
 
 
 @query("SELECT event_type, max(epoch_us(ts)) AS last_us FROM events GROUP BY event_type")

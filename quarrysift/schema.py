@@ -62,6 +62,17 @@ INDEX_ROW = T.StructType(
     ]
 )
 
+#: Counts of one bucket and language of the index, by the run that wrote them.
+COUNTS = T.StructType(
+    [
+        T.StructField("bucket", T.StringType()),
+        T.StructField("language", T.StringType()),
+        T.StructField("cnt", T.LongType()),
+        T.StructField("files", T.LongType()),
+        T.StructField("run", T.StringType()),
+    ]
+)
+
 #: What the index knows about each file it has processed.
 FILE_STATE = T.StructType(
     [

@@ -396,3 +396,35 @@ def test_notices_trigger_one_refresh(spark, project, tmp_path):
     assert nonzero(seen[1]) == {
         "execution_starts": 2, "deletes": 1, "reprocesses": 1, "unchanged": 1,
     }
+
+
+def test_status_comes_from_the_counts_of_written_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index_module, "BUCKET_BYTES", 64)
+    index = Index(spark, str(tmp_path / "i"), LetterEmbedder(), overrides={"inc": "php"})
+    files = {f"d{n}/f{n}.{('py', 'rs', 'inc')[n % 3]}": f"text {n} " * (n + 1) for n in range(12)}
+
+    def scanned():
+        rows = index.chunks().collect()
+        languages = [r["language"] for r in rows]
+        return len(rows), len({r["file_path"] for r in rows}), {x: languages.count(x) for x in set(languages)}
+
+    def told():
+        row = index.status().first()
+        return row["total_chunks"], row["total_files"], row["languages"]
+
+    index.refresh(table(spark, files))
+    assert index.snapshot().n_buckets > 1
+    assert told() == scanned()
+    # One bucket changes; the others keep the counts of the first run.
+    files["d3/f3.py"] = "x"
+    del files["d4/f4.rs"]
+    index.refresh(table(spark, files))
+    assert len(set(index.snapshot().folders.values())) == 2
+    assert told() == scanned()
+    read = index.status().inputFiles()
+    assert read and all("/counts/" in name for name in read)
+    # Without its counts an index is scanned, and an empty one has zeros.
+    index.storage.delete("counts")
+    assert told() == scanned()
+    index.refresh(table(spark, {}))
+    assert told() == (0, 0, {})
