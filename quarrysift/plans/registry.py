@@ -19,8 +19,9 @@ from ..operators import chunking, embedding, ranking, rules, stats, structural
 from ..operators.diff import diff
 from ..operators.search import SearchSpec, report, search, top
 from ..session import scratch_dir, ship_package
-from ..sources import corpus
+from ..sources import codefiles, corpus, tree
 from ..sources.selection import Selection
+from ..sources.storage import Storage
 from .index import Index
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -341,6 +342,26 @@ def size_cap(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH f AS (SELECT {SQL_PATH} AS file_path, strlen(text) AS length, md5(text) AS digest FROM documents)
+SELECT * FROM f WHERE file_path LIKE 'src1%' AND file_path LIKE '%.txt' AND length <= 2000"""
+)
+def tree_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents written as a tree, walked and read back by the data source, which opens what is wanted."""
+    base = tree.mounted(scratch_dir(spark, "tree"))
+    tree.write_files(doc_files(spark, folder), base)
+    walk = tree.walk(spark, base, Selection())
+    listing, result = scratch_dir(spark, "listing"), scratch_dir(spark, "tree-files")
+    codefiles.save_listing(walk.files, listing)
+    files = codefiles.open_files(spark, base, listing, ["src1"], [".txt"], 2000)
+    # The digests are stored, and the tree goes.
+    files.select("file_path", "length", F.md5("content").alias("digest")).write.parquet(result)
+    for left in (base, listing):
+        Storage(spark, left).delete()
+    walk.release()
+    return spark.read.parquet(result)
+
+
 @query(
     r"""SELECT lang, count(*) AS n_files, sum(length(text))::BIGINT AS n_chars FROM documents
 WHERE regexp_matches(text, '[^\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]')

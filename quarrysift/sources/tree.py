@@ -12,7 +12,10 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import stat
+import uuid
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -195,17 +198,18 @@ def single_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(os.path.basename(path), length, mtime)], LISTING)
 
 
-def read_files(listing: DataFrame, base: str) -> DataFrame:
-    """Read the listed files; one that cannot be read gives an ``error`` row.
-
-    Work is spread by file count and by bytes, so neither a huge directory nor
-    many large files end up in one task.
-    """
-    base = os.path.abspath(base)
+def spread(listing: DataFrame) -> DataFrame:
+    """A listing in partitions by file count and bytes, so that neither a huge directory nor many large
+    files end up in one task."""
     total = listing.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
     tasks = max(
         1, -(-total["n"] // _FILES_PER_TASK), -(-(total["bytes"] or 0) // _BYTES_PER_TASK)
     )
+    return listing.repartition(tasks, "file_path")
+
+
+def content_batches(base: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files of listing rows with their bytes, in batches of bounded size."""
     schema = pa.schema(
         [
             ("file_path", pa.string()),
@@ -215,30 +219,66 @@ def read_files(listing: DataFrame, base: str) -> DataFrame:
             ("error", pa.string()),
         ]
     )
+    _require(base)
+    rows, size = [], 0
+    for batch in batches:
+        for row in batch.to_pylist():
+            path = os.path.join(base, row["file_path"])
+            row["content"] = row["error"] = None
+            try:
+                mode = os.stat(path).st_mode
+                if not (stat.S_ISREG(mode) or stat.S_ISDIR(mode)):
+                    raise OSError("not a regular file")
+                with open(path, "rb") as file:
+                    row["content"] = file.read()
+                size += len(row["content"])
+            except OSError as exc:
+                row["error"] = str(exc)
+            rows.append(row)
+            if size >= _BYTES_PER_BATCH or len(rows) >= _ENTRIES_PER_BATCH:
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                rows, size = [], 0
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    def read(batches):
-        _require(base)
-        rows, size = [], 0
+
+def read_files(listing: DataFrame, base: str) -> DataFrame:
+    """Read the listed files; one that cannot be read gives an ``error`` row."""
+    base = os.path.abspath(base)
+    return spread(listing.select(*LISTING.names)).mapInArrow(functools.partial(content_batches, base), FILE)
+
+
+def mounted(location: str) -> str:
+    """The path of a folder on a file system that is mounted everywhere."""
+    path = re.sub(r"\Afile:(?://)?(?=/)", "", location)
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", path):
+        raise ValueError(f"{location} is not a mounted directory")
+    return path
+
+
+def write_files(files: DataFrame, base: str) -> None:
+    """Write ``content`` to ``file_path`` below ``base``, where tasks run; null rows write nothing.
+
+    A task that runs again replaces its files as a whole. Paths must be relative and stay below ``base``.
+    """
+    base = os.path.abspath(base)
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            done = 0
             for row in batch.to_pylist():
-                path = os.path.join(base, row["file_path"])
-                row["content"] = row["error"] = None
-                try:
-                    mode = os.stat(path).st_mode
-                    if not (stat.S_ISREG(mode) or stat.S_ISDIR(mode)):
-                        raise OSError("not a regular file")
-                    with open(path, "rb") as file:
-                        row["content"] = file.read()
-                    size += len(row["content"])
-                except OSError as exc:
-                    row["error"] = str(exc)
-                rows.append(row)
-                if size >= _BYTES_PER_BATCH or len(rows) >= _ENTRIES_PER_BATCH:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                    rows, size = [], 0
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    return (
-        listing.select(*LISTING.names).repartition(tasks, "file_path").mapInArrow(read, FILE)
-    )
+                if row["file_path"] is None or row["content"] is None:
+                    continue
+                target = os.path.normpath(os.path.join(base, row["file_path"]))
+                if not target.startswith(base + os.sep):
+                    raise ValueError(f"{row['file_path']!r} is not below the tree")
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                own = os.path.join(base, f".{uuid.uuid4().hex}")
+                with open(own, "wb") as file:
+                    file.write(row["content"])
+                os.replace(own, target)
+                done += 1
+            yield pa.RecordBatch.from_pydict({"done": pa.array([done], pa.int64())})
+
+    os.makedirs(base, exist_ok=True)
+    files.select("file_path", "content").mapInArrow(write, "done bigint").agg(F.sum("done")).first()
