@@ -16,6 +16,7 @@ a conversation is split.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -222,8 +223,8 @@ def format_chats(
     )
     rows = rows.withColumn("h", F.xxhash64("r", "x"))
     rows = stored(rows.repartitionByRange("c", "t", "h").sortWithinPartitions("c", "t", "h"), "turns")
-    # A task wrote one file, and the names sort as the tasks' ranges do.
-    files = sorted(rows.inputFiles())
+    # A task wrote one file, and the tasks' numbers follow their ranges.
+    files = sorted(rows.inputFiles(), key=task_order)
     id_type = rows.schema["c"].dataType
     listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(max(1, len(files)))
 
@@ -251,7 +252,7 @@ def format_chats(
         [("file", pa.string()), ("single", pa.bool_())]
         + [(n, pa.struct([("c", arrow_type(id_type)), ("table", pa.list_(pa.int64())), ("turns", pa.int64())])) for n in ("first", "last")]
     )
-    summaries = sorted((r.asDict(True) for r in listed.mapInArrow(sum_up, schema).collect()), key=lambda r: r["file"])
+    summaries = sorted((r.asDict(True) for r in listed.mapInArrow(sum_up, schema).collect()), key=lambda r: task_order(r["file"]))
     found, parts = chains(summaries)
     afters = {key: parts[key].after for chain in found for key in chain[:-1]}
 
@@ -296,6 +297,11 @@ def format_chats(
     return listed.mapInArrow(repair, out).withColumnsRenamed({"c": id_col, "t": turn_col})
 
 
+def task_order(file: str) -> tuple[int, str]:
+    """Files by the number of the task that wrote them; names alone sort part-100000 before part-99999."""
+    return int(re.search(r"part-(\d+)[^/]*$", file)[1]), file
+
+
 def arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 

@@ -334,6 +334,11 @@ def test_odd_ids_and_long_urls_of_archives(spark):
     assert {k: got[k][2] for k in same} == {k: (None if k == same[0] else same[0]) for k in same}
 
 
+def test_files_follow_their_tasks():
+    names = [f"file:/a/part-7/part-{n:05d}-0f-c000.snappy.parquet" for n in (0, 9, 99_999, 100_000, 1_234_567)]
+    assert sorted(reversed(names), key=chat.task_order) == names
+
+
 def test_chats_with_other_id_types(spark):
     rows = [(1, 0, "user", "a"), (2, 0, "user", "b"), (1, 1, "assistant", "c")]
     for kind in ("smallint", "decimal(5,0)", "double"):

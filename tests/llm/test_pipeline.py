@@ -1,7 +1,12 @@
+import hashlib
+
 import numpy as np
+import public_tokenizers
+import tokenizers
+from test_exact import brute_components, brute_hits
 
 import corpus_pipeline
-from quarrysift.llm import decontam, neardup, quality
+from quarrysift.llm import decontam, langid, neardup, quality
 
 DATA = "/root/testdata/sf0.001"
 
@@ -92,3 +97,31 @@ def test_any_columns_come_through(spark):
             assert kept == {(1, "x"), (3, None)}
         if stage is corpus_pipeline.uncontaminated:
             assert len(kept) == 4
+
+
+def test_rows_of_a_plain_pipeline(spark):
+    """All rows of the pipeline by plain Python; only the two models are fitted by Spark, each on what its stage gets."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    labels, scores = langid.predictor(langid.fit(docs))([t for _, t in rows])
+    rows = [r for r, y, p in zip(rows, labels, scores) if y != langid.UNKNOWN and p >= corpus_pipeline.LEAST_LANGUAGE_SCORE]
+
+    left = docs.where(docs.doc_id.isin([k for k, _ in rows]))
+    model, features = quality.fit(left, spark.read.parquet(f"{DATA}/labels.parquet")), quality.Features()
+    rows = [(k, t) for k, t in rows if model.score(features(t)) >= corpus_pipeline.LEAST_QUALITY_SCORE]
+
+    first = {k for k, _, _, kept in brute_components(rows, 5, 80) if kept}
+    rows = [(k, t) for k, t in rows if k in first]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    rows = [(k, t) for k, t in rows if not brute_hits(t, items)[1]]
+
+    library = tokenizers.Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    library.no_truncation()
+    library.no_padding()
+    wanted = set()
+    for k, t in rows:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        wanted.add((k, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+    got = [(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, DATA).collect()]
+    assert len(got) == len(wanted) > 100 and set(got) == wanted
