@@ -10,9 +10,10 @@ A node is a bracketed group, or a word, number or string with whatever is
 attached to it: ``a``, ``(x, y)``, ``a.b``, ``f(x)[0]``. A match is reported for every token it
 can start at.
 
-Spark does the selection: language, path and literal filters run in the JVM, so
-only files that contain all words of the pattern reach the token matcher, which
-works on one file at a time.
+Spark does the work: language, path and literal filters run in the JVM, files that
+contain all words of the pattern become token rows, and windows over those rows match
+(:mod:`.tokenrows`). Only a pattern that uses a name twice is searched for file by file,
+since what follows depends on what the name holds.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..functions.globs import path_glob
 from ..functions.languages import LANGUAGE_BY_SUFFIX, UNMATCHABLE, language_of
 from ..functions.text import decoded, gutter
+from .lexing import CLOSER, LINKS, Tokens, is_supported, lexer
+from .tokenrows import matches_of, token_lists
 
 MATCH = T.StructType(
     [
@@ -60,112 +63,6 @@ ROW = T.StructType(
 
 _ROWS_PER_BATCH = 2_000
 
-# Comment and string syntax by kind of language.
-_COMMENTS = {
-    "hash": r"\#[^\n]*",
-    "slash": r"//[^\n]*|/\*(?:[^*]|\*(?!/))*\*/",
-    "dash": r"--[^\n]*|/\*(?:[^*]|\*(?!/))*\*/",
-    "markup": r"<!--(?:[^-]|-(?!->))*-->",
-    "data": r"(?!)",
-}
-_DOUBLE = r'"(?:\\.|[^"\\\n])*"'
-_SINGLE = r"'(?:\\.|[^'\\\n])*'"
-_STRINGS = {
-    "hash": rf'"""(?:[^"]|"(?!""))*"""|\'\'\'(?:[^\']|\'(?!\'\'))*\'\'\'|{_DOUBLE}|{_SINGLE}',
-    "slash": rf"{_DOUBLE}|{_SINGLE}|`(?:\\.|[^`\\])*`",
-    "dash": rf"{_DOUBLE}|{_SINGLE}",
-    "markup": r"""(?<==)"[^"]*"|(?<==)'[^']*'""",
-    "data": _DOUBLE,
-}
-_KIND = {
-    **dict.fromkeys(["python", "ruby", "shell", "r", "elixir", "yaml", "toml"], "hash"),
-    **dict.fromkeys(["sql", "lua"], "dash"),
-    **dict.fromkeys(["html", "xml", "vue", "svelte", "dtd"], "markup"),
-    "json": "data",
-}
-_OPERATORS = r"->|=>|::|:=|\.\.\.|===|!==|[=!<>]=|&&|\|\||<<|>>|[-+*/%&|^]=|\*\*|\S"
-_CLOSER = {"(": ")", "[": "]", "{": "}"}
-_LINKS = {".", "::", "->", "?."}
-
-
-def is_supported(language: str) -> bool:
-    """Whether files of a language have a token structure to match."""
-    return language not in UNMATCHABLE
-
-
-@functools.cache
-def _lexer(language: str) -> re.Pattern[str]:
-    kind = _KIND.get(language, "slash")
-    strings = _STRINGS[kind]
-    if language in ("rust", "pascal"):
-        # A quote may open a lifetime, which has no closing one.
-        strings = strings.replace(_SINGLE, r"'(?:\\[^\n']+|[^'\\\n])'")
-    return re.compile(
-        r"\s*(?:(?P<word>[^\W\d]\w*)|(?P<number>\d[\w.]*)"
-        rf"|(?P<comment>{_COMMENTS[kind]})|(?P<string>{strings})"
-        rf"|(?P<open>[(\[{{])|(?P<close>[)\]}}])|(?P<operator>{_OPERATORS}))"
-    )
-
-
-class Tokens:
-    """The tokens of a text, with the partner of every paired bracket."""
-
-    def __init__(self, text: str, language: str) -> None:
-        self.text: list[str] = []
-        self.start: list[int] = []
-        self.kind: list[str] = []
-        self.partner: dict[int, int] = {}
-        opened: dict[str, list[int]] = {")": [], "]": [], "}": []}
-        for found in _lexer(language).finditer(text):
-            kind = found.lastgroup
-            if kind == "comment":
-                continue
-            token = found[kind]
-            if kind == "open":
-                opened[_CLOSER[token]].append(len(self.text))
-            elif kind == "close" and opened[token]:
-                # Brackets left open inside a closed pair stay without partner.
-                start = opened[token].pop()
-                self.partner[start] = len(self.text)
-                self.partner[len(self.text)] = start
-                for others in opened.values():
-                    while others and others[-1] > start:
-                        others.pop()
-            self.text.append(token)
-            self.start.append(found.start(kind))
-            self.kind.append(kind)
-
-    def end(self, i: int) -> int:
-        return self.start[i] + len(self.text[i])
-
-    def closes(self, i: int) -> bool:
-        """Whether no sibling follows at ``i``: the end or a paired closing bracket."""
-        return i >= len(self.text) or self.partner.get(i, i) < i
-
-    def after(self, i: int) -> int:
-        """Where the sibling after the one at ``i`` starts."""
-        return self.partner.get(i, i) + 1
-
-    def node_ends(self, i: int) -> list[int]:
-        """Ends of the nodes that start at ``i``, longest first."""
-        if self.closes(i) or self.kind[i] in ("operator", "close"):
-            return []
-        if self.kind[i] == "open" and i not in self.partner:
-            return []
-        ends = [self.after(i)]
-        while not self.closes(ends[-1]):
-            at = ends[-1]
-            if self.text[at] in _LINKS and not self.closes(at + 1):
-                if self.kind[at + 1] not in ("word", "number"):
-                    break
-                ends.append(at + 2)
-            elif self.text[at] in "([" and at in self.partner:
-                ends.append(self.after(at))
-            else:
-                break
-        return ends[::-1]
-
-
 @dataclass(frozen=True)
 class Element:
     """One step of a pattern: literal text, a node, a run, or a containment."""
@@ -241,17 +138,17 @@ class Pattern:
             if name and len(found_in) > 1:
                 raise ValueError(rf"\{name} stands on both sides of a \{{{{ \}}}}")
         used = [name for _, name in names if name]
-        self._repeated = tuple(sorted({name for name in used if used.count(name) > 1}))
+        self.repeated = tuple(sorted({name for name in used if used.count(name) > 1}))
 
     def _literal(self, source: str, into: list[Element], brackets: list[str]) -> None:
-        for found in _lexer(self.language).finditer(source):
+        for found in lexer(self.language).finditer(source):
             if found.lastgroup == "comment":
                 continue
             token = found[found.lastgroup]
             if found.lastgroup == "open":
                 brackets.append(token)
             elif found.lastgroup == "close":
-                if not brackets or _CLOSER.get(brackets.pop()) != token:
+                if not brackets or CLOSER.get(brackets.pop()) != token:
                     raise ValueError(f"unbalanced {token} in the pattern")
             elif found.lastgroup == "word":
                 self.words.add(token)
@@ -259,7 +156,7 @@ class Pattern:
 
     def find(self, tokens: Tokens) -> list[tuple[int, int, dict[str, tuple[int, int]]]]:
         """(first token, end token, captures) of every match, in source order."""
-        return _Finder(tokens, self._repeated).all(self.elements)
+        return _Finder(tokens, self.repeated).all(self.elements)
 
 
 class _Finder:
@@ -281,7 +178,7 @@ class _Finder:
         for i, token in enumerate(tokens.text):
             if first.kind == "literal" and token != first.value:
                 continue
-            if first.kind == "node" and i and tokens.text[i - 1] in _LINKS:
+            if first.kind == "node" and i and tokens.text[i - 1] in LINKS:
                 continue
             captures: dict[str, tuple[int, int]] = {}
             end = self.match(elements, 0, i, captures)
@@ -449,11 +346,13 @@ def grep(
     path_filter: str | None = None,
     overrides: Mapping[str, str] | None = None,
     listing: DataFrame | None = None,
+    tokens: DataFrame | None = None,
 ) -> GrepRun:
     """Match ``pattern`` in ``files`` (columns of :data:`quarrysift.schema.FILE`).
 
     ``listing`` is the same files as paths only, where reading ``files`` for
-    their names would mean opening them.
+    their names would mean opening them. ``tokens`` is a stored table of :func:`tokenize`
+    for these files, which are then not opened.
     """
     known = sorted({*LANGUAGE_BY_SUFFIX.values(), *(overrides or {}).values()})
     compiled, rejected = compile_patterns(pattern, known)
@@ -470,21 +369,50 @@ def grep(
     paths = (files if listing is None else listing).select("file_path")
     messages = F.create_map(*[F.lit(x) for pair in (rejected or {"": ""}).items() for x in pair])
     warned = chosen(paths, rejected).select("language").distinct()
-    texts = chosen(files, compiled).select(
-        "file_path", "language", decoded(F.col("content")).alias("content"), "error"
-    )
+    # Languages that read the pattern alike are matched together.
+    alike: dict[tuple, list[str]] = {}
+    for name, one in compiled.items():
+        if not languages or name.lower() in {asked.lower() for asked in languages}:
+            alike.setdefault((one.elements, one.repeated), []).append(name)
+    if tokens is not None:
+        chosen_tokens = chosen(tokens.withColumnRenamed("path", "file_path"), compiled)
+        tokens = chosen_tokens.withColumnRenamed("file_path", "path")
+    texts = _texts(chosen(files, compiled))
     keep = F.col("content").isNotNull()
     # Every language needs these words, so files without them need no matching.
     words = set.intersection(*(p.words for p in compiled.values())) if compiled else set()
     for word in sorted(words):
         keep = keep & F.col("content").contains(word)
+    texts = texts.where(keep | F.col("error").isNotNull())
+    found = []
+    for (elements, repeated), names in alike.items():
+        among = F.col("language").isin(names)
+        if repeated:
+            found.append(_match_files(texts.where(among), compiled))
+        elif tokens is None:
+            found.append(matches_of(token_lists(texts.where(among)), elements))
+        else:
+            for word in sorted(words):
+                among = among & F.array_contains("token", word)
+            found.append(matches_of(tokens.where(among), elements))
+    rows = functools.reduce(DataFrame.unionByName, found) if found else _match_files(texts, {})
     return GrepRun(
-        _match_files(texts.where(keep | F.col("error").isNotNull()), compiled),
+        rows.select(*ROW.names),
         warned.select(F.element_at(messages, F.col("language")).alias("message"), "language"),
         chosen(paths, compiled),
     )
 
 
+def _texts(files: DataFrame) -> DataFrame:
+    return files.select("file_path", "language", decoded(F.col("content")).alias("content"), "error")
+
+
+def tokenize(files: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
+    """Tokens of ``files``, to be stored (by language, say) and searched many times."""
+    named = files.withColumn("language", language_of(F.col("file_path"), overrides, None))
+    return token_lists(_texts(named.where(~F.col("language").isin(list(UNMATCHABLE)))))
+
+
 def _match_files(texts: DataFrame, compiled: dict[str, Pattern]) -> DataFrame:
     schema = to_arrow_schema(ROW)
 
