@@ -10,10 +10,11 @@ A node is a bracketed group, or a word, number or string with whatever is
 attached to it: ``a``, ``(x, y)``, ``a.b``, ``f(x)[0]``. A match is reported for every token it
 can start at.
 
-Spark does the work: language, path and literal filters run in the JVM, files that
-contain all words of the pattern become token rows, and windows over those rows match
-(:mod:`.tokenrows`). Only a pattern that uses a name twice is searched for file by file,
-since what follows depends on what the name holds.
+Spark does the selection: language, path and literal filters run in the JVM, so
+only files that contain all words of the pattern reach the token matcher, which
+works on one file at a time. With a stored table of tokens (:func:`tokenize`) the
+matching itself is done by windows over token rows (:mod:`.tokenrows`), except for a
+pattern that uses a name twice, since what follows depends on what the name holds.
 """
 
 from __future__ import annotations
@@ -352,7 +353,7 @@ def grep(
 
     ``listing`` is the same files as paths only, where reading ``files`` for
     their names would mean opening them. ``tokens`` is a stored table of :func:`tokenize`
-    for these files, which are then not opened.
+    for these files, which are then opened only for patterns that repeat a name.
     """
     known = sorted({*LANGUAGE_BY_SUFFIX.values(), *(overrides or {}).values()})
     compiled, rejected = compile_patterns(pattern, known)
@@ -387,10 +388,8 @@ def grep(
     found = []
     for (elements, repeated), names in alike.items():
         among = F.col("language").isin(names)
-        if repeated:
+        if repeated or tokens is None:
             found.append(_match_files(texts.where(among), compiled))
-        elif tokens is None:
-            found.append(matches_of(token_lists(texts.where(among)), elements))
         else:
             for word in sorted(words):
                 among = among & F.array_contains("token", word)

@@ -70,17 +70,20 @@ def test_rows_find_what_the_search_finds(spark, texts, table, pattern):
 
 
 def test_without_a_stored_table(spark, texts):
-    found = structural.grep(files(spark, texts), r"f(\{{ b \}})").matches.collect()
-    assert plain(found) == plain(wanted(texts, r"f(\{{ b \}})"))
-    none = structural.grep(files(spark, texts).limit(0), r"\X").rows
-    assert none.count() == 0
+    given = files(spark, texts)
+    for tokens in (None, structural.tokenize(given)):
+        found = structural.grep(given, r"f(\{{ b \}})", tokens=tokens).matches.collect()
+        assert plain(found) == plain(wanted(texts, r"f(\{{ b \}})"))
+    none = given.limit(0)
+    assert structural.grep(none, r"\X", tokens=structural.tokenize(none)).rows.count() == 0
 
 
 def test_long_literals_and_line_ends(spark):
     words = " ".join(f"w{i}" for i in range(40))
     texts = [("a.py", f"é\r\n{words}\r\n'''x\n'''\n{words}"), ("b.py", words[:-1])]
     for pattern in (words, r"\A w0 w1", "'''x\n''' w0"):
-        found = structural.grep(files(spark, texts), pattern).matches.collect()
+        given = files(spark, texts)
+        found = structural.grep(given, pattern, tokens=structural.tokenize(given)).matches.collect()
         assert plain(found) == plain(wanted(texts, pattern)) and found
 
 
