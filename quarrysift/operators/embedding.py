@@ -26,6 +26,9 @@ MAX_BATCH = 64
 #: Most attempts of one request.
 MAX_ATTEMPTS = 6
 
+# Letters are counted in this many bytes of text at a time; what that needs is some 40 times as much.
+_BYTES_AT_ONCE = 1 << 18
+
 CACHE_SCHEMA = "text_key string, embedding array<float>"
 
 
@@ -59,7 +62,9 @@ class LetterEmbedder(Embedder):
     def add_column(self, rows: DataFrame, text: str, **params: Any) -> DataFrame:
         @F.arrow_udf("array<float>")
         def letters(texts: pa.Array) -> pa.Array:
-            return pa.array(list(_letter_shares(texts)), pa.list_(pa.float32()))
+            shares = _letter_shares(texts).astype(np.float32)
+            ends = np.arange(0, shares.size + 1, 26, dtype=np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(shares.ravel()))
 
         return rows.withColumn("embedding", letters(F.col(text)))
 
@@ -68,14 +73,25 @@ class LetterEmbedder(Embedder):
 
 
 def _letter_shares(texts: pa.Array) -> np.ndarray:
-    """One row of 26 numbers per text, from one count over the bytes of all of them."""
-    lower = pc.utf8_lower(texts.fill_null("")).cast(pa.large_binary())
-    ends = np.frombuffer(lower.buffers()[1], np.int64)[lower.offset : lower.offset + len(lower) + 1]
-    data = np.frombuffer(lower.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]] if len(lower) else np.zeros(0, np.uint8)
-    letter = data.astype(np.int64) - ord("a")
-    owner = np.repeat(np.arange(len(lower)), np.diff(ends))
-    kept = (letter >= 0) & (letter < 26)
-    counts = np.bincount(owner[kept] * 26 + letter[kept], minlength=26 * len(lower)).reshape(-1, 26).astype(float)
+    """One row of 26 numbers per text, counted over some bytes at a time, however long or many the texts are."""
+    counts = np.zeros((len(texts), 26), np.int64)
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    first = 0
+    while first < len(texts):
+        # As many texts as fit, and one at least.
+        last = max(first + 1, int(np.searchsorted(total, total[first] + _BYTES_AT_ONCE, "right")) - 1)
+        lower = pc.utf8_lower(texts.slice(first, last - first).fill_null("")).cast(pa.large_binary())
+        ends = np.frombuffer(lower.buffers()[1], np.int64)[lower.offset : lower.offset + len(lower) + 1]
+        data = np.frombuffer(lower.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        for at in range(0, len(data), _BYTES_AT_ONCE):
+            letter = data[at : at + _BYTES_AT_ONCE] - np.uint8(ord("a"))
+            kept = letter < 26
+            bounds = np.clip(ends - ends[0] - at, 0, len(letter))
+            owner = np.repeat(np.arange(len(lower)), np.diff(bounds))[kept]
+            found = np.bincount(owner * 26 + letter[kept], minlength=26 * len(lower))
+            counts[first:last] += found.reshape(-1, 26)
+        first = last
     return counts / np.maximum(np.sqrt((counts * counts).sum(axis=1)), 1e-9)[:, None]
 
 

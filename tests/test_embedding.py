@@ -1,6 +1,8 @@
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +49,18 @@ def test_letters(spark):
     assert emb.check_embedder(spark, emb.LetterEmbedder()) == (26, "")
 
 
+def test_letters_need_little_memory_beside_their_texts():
+    texts = pa.array(["abcé z" * 500] * 3_000 + [None, "", "xyzA" * 1_000_000])
+    tracemalloc.start()
+    shares = emb._letter_shares(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The texts have 14 MB.
+    assert peak < 30e6
+    assert shares[:3_000, [0, 1, 2, 25]].tolist() == [[0.5] * 4] * 3_000
+    assert not shares[3_000:3_002].any() and shares[-1, [0, 23, 24, 25]].tolist() == [0.5] * 4
+
+
 def test_each_text_is_embedded_once(spark):
     target, second = scratch_dir(spark, "v"), scratch_dir(spark, "v")
     rows = frame(spark, ["aa", "b", "aa", "aa", "ccc"])
