@@ -18,6 +18,7 @@ from ..functions.languages import language_of
 from ..operators import chunking, embedding, ranking, rules, stats, structural
 from ..operators.diff import diff
 from ..operators.search import SearchSpec, report, search, top
+from ..schema import LISTING
 from ..session import scratch_dir, ship_package
 from ..sources import codefiles, corpus, tree
 from ..sources.selection import Selection
@@ -354,8 +355,9 @@ def tree_files(spark: SparkSession, folder: str) -> DataFrame:
     listing, result = scratch_dir(spark, "listing"), scratch_dir(spark, "tree-files")
     codefiles.save_listing(walk.files, listing)
     files = codefiles.open_files(spark, base, listing, ["src1"], [".txt"], 2000)
-    # The digests are stored, and the tree goes.
+    # The digests are stored, and the tree goes; the driver only removes what tasks have left of it.
     files.select("file_path", "length", F.md5("content").alias("digest")).write.parquet(result)
+    tree.empty_dirs(spark.read.schema(LISTING).parquet(listing), base)
     for left in (base, listing):
         Storage(spark, left).delete()
     walk.release()

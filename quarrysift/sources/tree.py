@@ -10,6 +10,7 @@ entered. A level that was written survives the loss of any executor.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import os
 import re
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import parent_dir
 from ..schema import FILE, LISTING
 from ..session import scratch_dir
 from .ignore import IGNORE_FILE, is_ignored
@@ -34,6 +36,7 @@ _LEVEL = (
 _ENTRIES_PER_BATCH = 20_000
 _BYTES_PER_BATCH = 16 << 20
 _DIRS_PER_TASK = 64
+_TASKS_PER_CORE = 4
 _FILES_PER_TASK = 2_000
 _BYTES_PER_TASK = 128 << 20
 
@@ -100,7 +103,7 @@ def _children(base: str, directory: str, rule_dirs: list[str], selection: Select
             if not selection.file_passes(path, None) or is_ignored(path, False, chain):
                 continue
             length, mtime = _stat(entry.path)
-            if selection.file_passes(path, length):
+            if selection.size_passes(length):
                 yield "file", path, length, mtime, None
 
 
@@ -143,15 +146,19 @@ def walk(spark: SparkSession, base: str, selection: Selection, start: str = "")
         _ignore_text.cache_clear()
         _require(base)
         rows = []
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
         for batch in batches:
             for directory, rule_dirs in zip(*(c.to_pylist() for c in batch.columns)):
                 for row in _children(base, directory, rule_dirs, selection):
-                    rows.append(dict(zip(schema.names, row)))
+                    rows.append(row)
                     if len(rows) >= _ENTRIES_PER_BATCH:
-                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                        yield packed()
                         rows = []
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            yield packed()
 
     # Ignore files between base and start apply as well.
     _ignore_text.cache_clear()
@@ -168,9 +175,10 @@ def walk(spark: SparkSession, base: str, selection: Selection, start: str = "")
     level, n_dirs = 0, int(entered)
     frontier = spark.createDataFrame([(start, above)], "file_path string, rule_dirs array<string>")
     while n_dirs:
-        tasks = -(-n_dirs // _DIRS_PER_TASK)
+        # A directory may hold any number of files, so a few of them are enough for a task.
+        tasks = max(-(-n_dirs // _DIRS_PER_TASK), min(n_dirs, _TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
         if tasks > 1:
-            frontier = frontier.repartition(tasks, "file_path")
+            frontier = frontier.repartition(tasks)
         frontier.mapInArrow(list_level, _LEVEL).write.parquet(f"{target}/level={level}")
         frontier = (
             spark.read.schema(_LEVEL)
@@ -260,6 +268,7 @@ def write_files(files: DataFrame, base: str) -> None:
     """Write ``content`` to ``file_path`` below ``base``, where tasks run; null rows write nothing.
 
     A task that runs again replaces its files as a whole. Paths must be relative and stay below ``base``.
+    A file is written beside its place, since a rename between directories locks the whole file system.
     """
     base = os.path.abspath(base)
 
@@ -272,8 +281,9 @@ def write_files(files: DataFrame, base: str) -> None:
                 target = os.path.normpath(os.path.join(base, row["file_path"]))
                 if not target.startswith(base + os.sep):
                     raise ValueError(f"{row['file_path']!r} is not below the tree")
-                os.makedirs(os.path.dirname(target), exist_ok=True)
-                own = os.path.join(base, f".{uuid.uuid4().hex}")
+                directory = os.path.dirname(target)
+                own = os.path.join(directory, f".{uuid.uuid4().hex}")
+                os.makedirs(directory, exist_ok=True)
                 with open(own, "wb") as file:
                     file.write(row["content"])
                 os.replace(own, target)
@@ -282,3 +292,26 @@ def write_files(files: DataFrame, base: str) -> None:
 
     os.makedirs(base, exist_ok=True)
     files.select("file_path", "content").mapInArrow(write, "done bigint").agg(F.sum("done")).first()
+
+
+def empty_dirs(listing: DataFrame, base: str) -> None:
+    """Remove every file in the directories that listed files lie in, a directory in a task; those gone do not count.
+
+    Directories stay. In its own order a directory is emptied far faster than file by file from several tasks.
+    """
+    base = os.path.abspath(base)
+
+    def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _require(base)
+        for batch in batches:
+            for directory in batch.column(0).to_pylist():
+                with contextlib.suppress(FileNotFoundError), os.scandir(os.path.join(base, directory)) as entries:
+                    for entry in entries:
+                        if not entry.is_dir(follow_symlinks=False):
+                            with contextlib.suppress(FileNotFoundError):
+                                os.unlink(entry.path)
+            yield pa.RecordBatch.from_pydict({"done": pa.array([batch.num_rows], pa.int64())})
+
+    dirs = listing.select(parent_dir(F.col("file_path")).alias("dir")).distinct()
+    tasks = _TASKS_PER_CORE * listing.sparkSession.sparkContext.defaultParallelism
+    dirs.repartition(tasks).mapInArrow(remove, "done bigint").agg(F.sum("done")).first()

@@ -1,4 +1,5 @@
 import os
+from pathlib import Path
 
 import pytest
 from helpers import write_tree
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarrysift.sources import corpus, settings
 from quarrysift.sources.selection import Selection
-from quarrysift.sources.tree import read_files, single_file, walk
+from quarrysift.sources.tree import empty_dirs, read_files, single_file, walk
 
 
 def listed(spark, root, selection, start=""):
@@ -232,3 +233,15 @@ def test_rules_as_columns_decide_as_the_walk_does(spark, seed):
     assert sorted(r["file_path"] for r in found.collect()) == [f for f in files if kept(f)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
+def test_directories_are_listed_and_emptied_by_several_tasks(spark, tmp_path):
+    write_tree(tmp_path, {f"d{i}/f{j}.py": "x" for i in range(12) for j in range(3)} | {"d0/left.xyz": "x"})
+    found = walk(spark, str(tmp_path), Selection())
+    assert found.files.count() == 36
+    # The twelve directories are one level.
+    assert len(list(Path(found.folder.removeprefix("file:"), "level=1").glob("part-*.parquet"))) > 4
+    (tmp_path / "d1/f1.py").unlink()
+    empty_dirs(found.files, str(tmp_path))
+    assert sorted(p.name for p in tmp_path.rglob("*")) == sorted(f"d{i}" for i in range(12))
+    found.release()
