@@ -28,6 +28,8 @@ MAX_ATTEMPTS = 6
 
 # Letters are counted in this many bytes of text at a time; what that needs is some 40 times as much.
 _BYTES_AT_ONCE = 1 << 18
+# Keys of texts that a task remembers; those it has forgotten are dropped after the shuffle.
+_KEYS_REMEMBERED = 1 << 15
 
 CACHE_SCHEMA = "text_key string, embedding array<float>"
 
@@ -336,24 +338,28 @@ def with_text_key(rows: DataFrame, text: str) -> DataFrame:
 
 
 def distinct_texts(rows: DataFrame, text: str) -> DataFrame:
-    """One row (``text_key``, ``__text``) per key, without sorting texts.
+    """One row (``text_key``, ``__text``) per key.
 
-    Each task drops what it has seen before, so a text that many rows share moves
-    once per task; after the shuffle by key the same pass leaves one of each.
+    Each task drops what it has seen of late, so a text that many rows share moves a few times
+    per task; after the shuffle by key Spark leaves one of each. Neither holds all keys of a task in memory.
     """
     narrow = rows.select("text_key", F.col(text).alias("__text"))
-
-    def first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
-        for batch in batches:
-            fresh = []
-            for key in batch.column(0).to_pylist():
-                fresh.append(key not in seen)
-                seen.add(key)
-            yield batch.filter(pa.array(fresh, pa.bool_()))
-
-    once = narrow.mapInArrow(first_seen, narrow.schema)
-    return once.repartition("text_key").mapInArrow(first_seen, narrow.schema)
+    once = narrow.mapInArrow(_first_seen, narrow.schema)
+    # The aggregate takes the shuffle as it is: texts are sorted by key where they have come to, and may spill.
+    return once.repartition("text_key").groupBy("text_key").agg(F.any_value("__text").alias("__text"))
+
+
+def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose first column has not been seen of late."""
+    seen: set[str] = set()
+    for batch in batches:
+        fresh = []
+        for key in batch.column(0).to_pylist():
+            fresh.append(key not in seen)
+            seen.add(key)
+            if len(seen) >= _KEYS_REMEMBERED:
+                seen.clear()
+        yield batch.filter(pa.array(fresh, pa.bool_()))
 
 
 def embed_once(

@@ -74,6 +74,19 @@ def test_each_text_is_embedded_once(spark):
     assert spark.read.parquet(second).count() == 1
 
 
+def test_distinct_texts_need_no_memory_of_all_keys(spark, monkeypatch):
+    monkeypatch.setattr(emb, "_KEYS_REMEMBERED", 3)
+    keys = pa.array(["a", "b", "a", "c", "a", "a", None, None])
+    batch = pa.RecordBatch.from_arrays([keys], names=["text_key"])
+    assert list(emb._first_seen([batch]))[0]["text_key"].to_pylist() == ["a", "b", "c", "a", None]
+    monkeypatch.undo()
+    # Only dropping what was seen of late runs in Python; what is left of it is dropped by Spark.
+    rows = emb.with_text_key(frame(spark, ["x", "y", None, "x", None, "z", "x"]), "t").repartition(3)
+    found = emb.distinct_texts(rows, "t")
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r["__text"] or "" for r in found.collect()) == ["", "x", "y", "z"]
+
+
 def test_hot_keys_are_split_without_losing_rows(spark):
     rows = spark.range(9000).select(
         "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("bigint").alias("k")
