@@ -55,8 +55,10 @@ Progress = Callable[[dict[str, int]], None]
 #: files that may have changed or gone meanwhile is stored in the folder it is given.
 Reader = Callable[[DataFrame | None, str], DataFrame]
 
-# A bucket holds about this many bytes of files, and a task writes no more of it.
+# A bucket holds about this many bytes of files.
 BUCKET_BYTES = 256 << 20
+# A task reads and writes about this many bytes of files, all of one bucket.
+TASK_BYTES = 64 << 20
 # Buckets are folders that the driver lists; beyond this number they grow and several tasks write each.
 MOST_BUCKETS = 1 << 14
 # Snapshots whose folders are kept.
@@ -394,12 +396,17 @@ class Index:
         sizes = changed.groupBy(bucket.alias("bucket")).agg(F.sum("length").alias("size")).collect()
         touched = {str(r["bucket"]) for r in sizes}
         # Enough tasks for the largest bucket and, if buckets are few, for all cores.
-        slices = max(1, math.ceil(max((r["size"] or 0 for r in sizes), default=0) / BUCKET_BYTES))
+        slices = max(1, math.ceil(max((r["size"] or 0 for r in sizes), default=0) / TASK_BYTES))
         slices = max(slices, self.spark.sparkContext.defaultParallelism // max(1, len(touched)))
         slice_of = F.pmod(F.xxhash64("file_path", F.lit(1)), F.lit(slices))
+        numbered = [(int(b), n) for n, b in enumerate(sorted(touched, key=int))]
+        numbers = F.broadcast(self.spark.createDataFrame(numbered, "bucket int, number int"))
 
         def placed(rows: DataFrame) -> DataFrame:
-            return rows.withColumn("bucket", bucket).repartition("bucket", slice_of)
+            # A partition for each slice of a bucket: by hash, several buckets would meet in one task.
+            rows = rows.withColumn("bucket", bucket).join(numbers, "bucket", "left")
+            task = (F.coalesce("number", F.lit(0)) * slices + slice_of).cast("int")
+            return rows.repartitionById(max(1, len(touched)) * slices, task).drop("number")
 
         parts = []
         old = {b: r for b, r in new.folders.items() if b in touched}

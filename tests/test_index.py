@@ -300,6 +300,18 @@ def test_only_buckets_with_changes_are_written(spark, tmp_path, monkeypatch):
     assert index.snapshot().folders == {} and contents(index) == {}
 
 
+def test_a_task_has_one_slice_of_a_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index_module, "BUCKET_BYTES", 120)
+    index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
+    index.refresh(table(spark, {f"f{i}.py": f"text {i} " * 3 for i in range(60)}))
+    buckets = {}
+    for path in (tmp_path / "i/chunks").rglob("part-*.parquet"):
+        buckets.setdefault(re.match(r"part-\d+", path.name)[0], set()).add(path.parent.parent.name)
+    # There are more buckets than shuffle partitions, which hashing would fill with several each.
+    assert len(buckets) > 8 and all(len(names) == 1 for names in buckets.values())
+    assert len(contents(index)) == 60
+
+
 def test_reports_rise_while_tasks_run(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(index_module, "REPORT_SECONDS", 0.01)
     index = Index(spark, str(tmp_path / "i"), LetterEmbedder())
